@@ -81,6 +81,19 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), length=2048)
 
 
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import media_features, store_column
+
+    return media_features(store_column(_read(spark, sf_dir, "documents")))
+
+
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import Settings, near_duplicates
+
+    found = near_duplicates(_read(spark, sf_dir, "documents"), Settings(words=3, percent=85))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokenfile import token_files
 
@@ -91,6 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op6_chat": op6_chat,
     "op5_packing": op5_packing,
+    "op7_media": op7_media,
+    "op8_neardup": op8_neardup,
     "op10_tokenfile": op10_tokenfile,
 }
 
