@@ -94,6 +94,12 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .htmltext import extract_pages
+
+    return extract_pages(_read(spark, sf_dir, "pages"))
+
+
 def op10_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokenfile import token_files
 
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op7_media": op7_media,
     "op8_neardup": op8_neardup,
+    "op9_html": op9_html,
     "op10_tokenfile": op10_tokenfile,
 }
 
