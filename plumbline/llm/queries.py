@@ -17,6 +17,14 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier keeps."""
+    from .quality import classify
+
+    scored = classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return scored.where("_kept").selectExpr("doc_id", "round(_junk, 6) AS junk", "round(_toxic, 6) AS toxic")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive
 
@@ -107,6 +115,7 @@ def op10_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op4_warc": op4_warc,
     "op6_chat": op6_chat,
     "op5_packing": op5_packing,
