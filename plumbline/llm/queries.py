@@ -25,6 +25,66 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.where("_kept").selectExpr("doc_id", "round(_junk, 6) AS junk", "round(_toxic, 6) AS toxic")
 
 
+def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, and which."""
+    from .decontam import contaminated
+
+    return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "edits")
+
+
+def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linededup import drop_lines
+
+    return drop_lines(_read(spark, sf_dir, "documents")).selectExpr("doc_id", "text", "_lines AS n_lines", "_dropped AS n_dropped")
+
+
+_OP3_SQL = r"""
+WITH line AS (
+  SELECT doc_id, text, pos, trim(part, ' ') AS raw FROM (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS part, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM documents WHERE text IS NOT NULL)
+), masked AS (
+  SELECT doc_id, text, pos, regexp_replace(raw, '[^\s0-9]*[0-9]\S*', '<*>', 'g') AS m FROM line WHERE raw <> ''
+), keyed AS (
+  SELECT doc_id, text, pos, m, length(m) - length(replace(m, ' ', '')) + 1 AS n,
+         array_to_string(string_split(m, ' ')[1:3], ' ') AS lead
+  FROM masked
+), template AS (
+  SELECT DISTINCT n, lead, m FROM keyed
+), open_leaf AS (
+  SELECT n, lead FROM template WHERE n >= 5 GROUP BY n, lead HAVING count(*) > 1
+), token AS (
+  SELECT n, lead, m, generate_subscripts(string_split(m, ' '), 1) AS slot, unnest(string_split(m, ' ')) AS tok
+  FROM template JOIN open_leaf USING (n, lead)
+), modal AS (
+  SELECT n, lead, slot, tok AS modal FROM (
+    SELECT n, lead, slot, tok, row_number() OVER (PARTITION BY n, lead, slot ORDER BY count(*) DESC, tok DESC) AS r
+    FROM token GROUP BY n, lead, slot, tok) WHERE r = 1
+), general AS (
+  SELECT n, lead, m FROM token JOIN modal USING (n, lead, slot)
+  GROUP BY n, lead, m HAVING sum(CASE WHEN tok = modal THEN 1 ELSE 0 END) >= 0.8 * n
+), named AS (
+  SELECT k.doc_id, k.text, k.pos, k.n, k.lead, CASE WHEN g.m IS NULL THEN k.m END AS own
+  FROM keyed k LEFT JOIN general g ON k.n = g.n AND k.lead = g.lead AND k.m = g.m
+), recurring AS (
+  SELECT n, lead, own, min(doc_id) AS first_id FROM (SELECT DISTINCT n, lead, own, doc_id, text FROM named)
+  GROUP BY n, lead, own HAVING count(*) >= CASE WHEN n >= 50 THEN 2 ELSE 5 END
+), dropped AS (
+  SELECT x.doc_id, x.text, x.pos FROM named x JOIN recurring r
+    ON x.n = r.n AND x.lead = r.lead AND x.own IS NOT DISTINCT FROM r.own
+  WHERE x.doc_id <> r.first_id
+), kept AS (
+  SELECT l.doc_id, l.text, string_agg(l.part, chr(10) ORDER BY l.pos) FILTER (WHERE d.pos IS NULL) AS clean,
+         count(*) AS n_lines, count(d.pos) AS n_dropped
+  FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS part, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+        FROM documents WHERE text IS NOT NULL) l
+  LEFT JOIN dropped d ON l.doc_id = d.doc_id AND l.text = d.text AND l.pos = d.pos
+  GROUP BY l.doc_id, l.text
+)
+SELECT doc_id, coalesce(clean, '') AS text, CAST(n_lines AS INTEGER) AS n_lines, CAST(n_dropped AS INTEGER) AS n_dropped FROM kept
+"""
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive
 
@@ -116,6 +176,8 @@ def op10_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_decontam": op2_decontam,
+    "op3_linededup": op3_linededup,
     "op4_warc": op4_warc,
     "op6_chat": op6_chat,
     "op5_packing": op5_packing,
@@ -125,4 +187,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tokenfile": op10_tokenfile,
 }
 
-ORACLE: dict[str, str] = {"op4_warc": _OP4_SQL, "op6_chat": _OP6_SQL}
+ORACLE: dict[str, str] = {"op3_linededup": _OP3_SQL, "op4_warc": _OP4_SQL, "op6_chat": _OP6_SQL}
