@@ -35,8 +35,8 @@ class Settings:
     words: int = 5
     percent: int = 80
     #: MinHash samples, and bits of the odd sketch they are folded into.
-    samples: int = 720
-    bits: int = 2048
+    samples: int = 1536
+    bits: int = 4096
     #: Rows of a band, and the chance that a pair at the threshold shares no band.
     rows: int = 5
     miss: float = 1e-6
@@ -48,11 +48,12 @@ class Settings:
     @property
     def most_odd(self) -> int:
         """A pair at the threshold has more odd bits than this about once in a
-        million: 4.5 deviations of the samples that differ and 2 of the folding."""
+        million: 4.5 deviations of the samples that differ, and one of as many
+        independent bits for the folding (which varies half as much)."""
         t = self.percent / 100
         differ = 2 * (self.samples * (1 - t) + 4.5 * math.sqrt(self.samples * t * (1 - t)))
         p = (1 - (1 - 2 / self.bits) ** differ) / 2
-        return math.ceil(self.bits * p + 2 * math.sqrt(self.bits * p * (1 - p)))
+        return math.ceil(self.bits * p + math.sqrt(self.bits * p * (1 - p)))
 
 
 def signatures(values: np.ndarray, of: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -156,12 +157,12 @@ def components(edges: DataFrame) -> DataFrame:
 def links(classes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """Verified links (a, b) that connect what is connected, between classes
     (set, doc_id, row, n_shingles, bands, sketch)."""
-    keyed = materialise(classes.select("set", F.explode("bands").alias("key")), "bands")
+    keyed = materialise(classes.select("set", F.posexplode("bands").alias("band", "key")), "bands")
     buckets = keyed.groupBy("key").agg(F.min("set").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    members = materialise(keyed.join(buckets, "key").select("key", "set", "centre"), "members")
+    members = materialise(keyed.join(buckets, "key").select("key", "band", "set", "centre"), "members")
     about = classes.select("set", "doc_id", "row", "n_shingles", "sketch")
     a, b = (about.select(*(F.col(c).alias(f"{k}_{c}" if c != "set" else k) for c in about.columns)) for k in "ab")
-    near = (odd_bits(F.col("a_sketch"), F.col("b_sketch")) <= s.most_odd) & (100 * F.least("a_n_shingles", "b_n_shingles") >= s.percent * F.greatest("a_n_shingles", "b_n_shingles"))
+    near = (100 * F.least("a_n_shingles", "b_n_shingles") >= s.percent * F.greatest("a_n_shingles", "b_n_shingles")) & (odd_bits(F.col("a_sketch"), F.col("b_sketch")) <= s.most_odd)
     # first, each class against the nearest of its buckets' centres
     stars = members.where("set <> centre").select(F.col("set").alias("a"), F.col("centre").alias("b")).distinct()
     told = stars.join(a, "a").join(b, "b").where(near).withColumn("far", odd_bits(F.col("a_sketch"), F.col("b_sketch")))
@@ -171,15 +172,20 @@ def links(classes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     found = materialise(verify(materialise(pick, "star-pairs"), texts, s), "star-links")
     # then, in each bucket, what isn't in its largest component against the rest
     named = components(found).withColumnRenamed("node", "set")
-    labelled = members.select("key", "set").join(named, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    labelled = members.select("key", "band", "set").join(named, "set", "left").withColumn("component", F.coalesce("component", "set"))
     labelled = materialise(labelled, "labelled")
     sizes = labelled.groupBy("key", "component").count()
     main = sizes.groupBy("key").agg(F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
+    about = classes.select("set", "doc_id", "row", "n_shingles", "sketch", *(F.col("bands")[i].alias(f"k{i}") for i in range(s.bands)))
     mixed = labelled.join(main, "key").join(about, "set")
-    left = mixed.where("component <> main").select("key", "component", *(F.col(c).alias("a" if c == "set" else f"a_{c}") for c in about.columns))
+    left = mixed.where("component <> main").select("key", "band", "component", *(F.col(c).alias("a" if c == "set" else f"a_{c}") for c in about.columns))
     right = mixed.select("key", F.col("component").alias("other"), F.col("main").alias("of"), *(F.col(c).alias("b" if c == "set" else f"b_{c}") for c in about.columns))
-    cross = left.join(right, (left["key"] == right["key"]) & (F.col("component") != F.col("other")) & ((F.col("other") == F.col("of")) | (F.col("a") < F.col("b"))) & near)
-    rest = cross.groupBy("a", "b").agg(*(F.first(c).alias(n) for c, n in (("a_doc_id", "a_doc"), ("a_row", "a_row"), ("b_doc_id", "b_doc"), ("b_row", "b_row"))))
+    apart = (F.col("component") != F.col("other")) & ((F.col("other") == F.col("of")) | (F.col("a") < F.col("b")))
+    # a pair is taken in the first bucket that it shares
+    for i in range(s.bands - 1):
+        apart &= (F.col("band") <= i) | (F.col(f"a_k{i}") != F.col(f"b_k{i}"))
+    cross = left.join(right, (left["key"] == right["key"]) & apart & near)
+    rest = cross.select("a", "b", F.col("a_doc_id").alias("a_doc"), "a_row", F.col("b_doc_id").alias("b_doc"), "b_row")
     return found.union(materialise(verify(materialise(rest, "rest-pairs"), texts, s), "rest-links"))
 
 
