@@ -242,4 +242,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings
     """``docs`` without those that hold a benchmark item."""
     found = contaminated(docs, benchmark, settings).select(F.col("doc_id").alias("_i"), F.col("row").alias("_h")).distinct()
     found = materialise(found, "contaminated")
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_i")) & F.xxhash64("text").eqNullSafe(F.col("_h")), "left_anti")
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_i"]) & F.xxhash64(docs["text"]).eqNullSafe(found["_h"]), "left_anti")

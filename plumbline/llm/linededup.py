@@ -87,8 +87,8 @@ def drop_lines(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     s = settings or Settings()
     docs = docs.drop("_lines", "_dropped").where("text IS NOT NULL")
     found = lines_to_drop(docs, s).select(F.col("i").alias("_i"), F.col("h").alias("_h"), F.col("drop").alias("_drop"))
-    both = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_i")) & (F.xxhash64("text") == F.col("_h")), "left")
-    parts = F.split("text", "\n")
-    kept = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(F.filter(parts, lambda _, k: ~F.array_contains("_drop", k)), "\n"))
-    names = [F.col(f"`{c}`") if c != "text" else kept.alias("text") for c in docs.columns]
-    return both.select(*names, F.size(parts).alias("_lines"), F.coalesce(F.size("_drop"), F.lit(0)).alias("_dropped"))
+    both = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_i"]) & (F.xxhash64(docs["text"]) == found["_h"]), "left")
+    parts, drop = F.split(docs["text"], "\n"), found["_drop"]
+    kept = F.when(drop.isNull(), docs["text"]).otherwise(F.array_join(F.filter(parts, lambda _, k: ~F.array_contains(drop, k)), "\n"))
+    names = [docs[f"`{c}`"] if c != "text" else kept.alias("text") for c in docs.columns]
+    return both.select(*names, F.size(parts).alias("_lines"), F.when(drop.isNull(), 0).otherwise(F.size(drop)).alias("_dropped"))

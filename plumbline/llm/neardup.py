@@ -218,5 +218,5 @@ def drop_near_duplicates(docs: DataFrame, settings: Settings | None = None) -> D
     found = near_duplicates(docs, settings).where("kept").select(F.col("doc_id").alias("_i"), F.col("row").alias("_h"))
     keep = materialise(found.groupBy("_i", "_h").count(), "kept")
     repeated = keep.where("count > 1").limit(1).count()
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_i")) & (F.xxhash64("text") == F.col("_h")), "left_semi")
+    rows = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["_i"]) & (F.xxhash64(docs["text"]) == keep["_h"]), "left_semi")
     return rows.dropDuplicates(["doc_id", "text"]) if repeated else rows
