@@ -231,6 +231,10 @@ def read_warc(files: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "path", "offset"])
 
     found = find_records(files, range_bytes).select("path", "offset", "successor")
+    # a task for each range: these rows are narrow, but what they name is not
+    size = files.agg(F.sum("bytes")).first()[0] or 0
+    n = max(1, min(-(-size // range_bytes), 20_000))
+    found = found.repartition(n, "path", F.floor(F.col("offset") / range_bytes)).sortWithinPartitions("path", "offset")
     return found.mapInArrow(read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, path string, offset long")
 
 
