@@ -25,9 +25,15 @@ def scratch(spark: SparkSession, tag: str) -> str:
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if "://" not in base and not base.startswith("file:"):
-        base = "file://" + base
-    return f"{base.rstrip('/')}/plumbline/{tag}-{uuid.uuid4().hex}"
+    return f"{qualified(spark, base).rstrip('/')}/plumbline/{tag}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as a URI; one without a scheme is in the cluster's default store."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    whole = where.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return whole if "://" in whole or not whole.startswith("file:") else "file://" + whole.removeprefix("file:")
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
