@@ -22,6 +22,8 @@ from .common import materialise
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
+#: Of those, what leaves no border in the text around it.
+_SILENT = frozenset("script style noscript template".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _BESIDE = frozenset("nav footer aside form button select dialog menu object canvas video audio fieldset".split())
@@ -97,7 +99,7 @@ def parse(page: str) -> tuple[list[tuple[Element, str]], list[Element]]:
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
-        if tag not in _INLINE:
+        if tag not in _INLINE and tag not in _SILENT:
             out.append((top, ""))
         if m[1] or m[4]:
             e = top

@@ -25,7 +25,7 @@ def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     total = np.zeros(len(h), np.uint64)
     for j in range(k):
         shifted = np.zeros(len(h), np.uint64)
-        shifted[: len(h) - j] = h[j:]
+        shifted[: max(len(h) - j, 0)] = h[j:]
         inside = place + j < n[doc]
         total += np.where(inside, shifted * _TURN[j], np.uint64(0))
     total = mix(total + np.minimum(n, k).astype(np.uint64)[doc])
