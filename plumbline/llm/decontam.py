@@ -36,10 +36,10 @@ class Settings:
     places (or of 32, 16 or 8 for shorter items) are walked ``walks`` times and
     ``sampled`` places are the key; tests measure the recall that this gives."""
 
-    share: float = 0.15
+    share: float = 0.2
     steps: int = 64
     sampled: int = 14
-    walks: int = 3
+    walks: int = 5
     seed: int = 29
     #: Bytes of benchmark text that one pass over the documents holds.
     block_bytes: int = 8 << 20

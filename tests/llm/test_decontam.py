@@ -49,7 +49,7 @@ def test_target_recall_under_edits():
     rng = random.Random(11)
     items = [(i, _sentence(rng, rng.randint(14, 60)).encode()) for i in range(100)]
     index = decontam.Index(items, decontam.Settings())
-    for share, least in ((0.0, 1.0), (0.02, 0.98), (0.05, 0.95), (0.08, 0.9)):
+    for share, least in ((0.0, 1.0), (0.02, 0.98), (0.05, 0.95), (0.08, 0.93), (0.12, 0.85)):
         found = 0
         for i, t in items:
             text = f"{_sentence(rng, 200)} {_edited(t.decode(), int(share * len(t)), rng)} {_sentence(rng, 200)}"
@@ -70,7 +70,7 @@ def test_against_all_pairs(spark, sf):
     for (d, i), edits in got.items():
         if (d, i) not in want:
             text = plain(next(x["text"] for x in docs if x["doc_id"] == d))
-            assert _distance(texts[i].encode(), text.encode()) <= edits <= 0.15 * len(texts[i].encode())
+            assert _distance(texts[i].encode(), text.encode()) <= edits <= 0.2 * len(texts[i].encode())
 
 
 def test_case_punctuation_short_items_and_edges(spark):
