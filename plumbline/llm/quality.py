@@ -301,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample: int = 6000, te
     share = min(1.0, sample / max(total, 1))
     chosen = docs.where(F.pmod(F.xxhash64(text_col), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))) if share < 1 else docs
     # copies of one text are one example
-    rows = chosen.select(F.col(text_col).alias("t")).mapInArrow(take, "i array<int>, v array<float>, junk long, toxic long").limit(2 * sample).toArrow()
+    rows = chosen.select(F.col(text_col).alias("t")).distinct().mapInArrow(take, "i array<int>, v array<float>, junk long, toxic long").limit(2 * sample).toArrow()
     if not rows.num_rows:
         out.weights = {k: np.zeros(N_FEATURES + 1) - 1e-6 for k in posterior}
         return out
