@@ -45,13 +45,26 @@ def _lines(docs: DataFrame, s: Settings) -> DataFrame:
     return line.select("i", "h", "n", leaf.alias("leaf"), F.xxhash64("masked").alias("own"), tokens.alias("tokens"), "masked")
 
 
-def generalised(docs: DataFrame, lines: DataFrame, s: Settings) -> DataFrame:
-    """(leaf, own) of the lines that their leaf's pattern covers."""
-    templates = lines.where(F.col("tokens") >= s.merged_from).select("leaf", "own").distinct()
-    several = materialise(templates.groupBy("leaf").count().where("count > 1").select("leaf"), "leaves")
+def _enough(s: Settings):
+    """In how many documents a template must be, by its tokens."""
+    return F.when(F.col("tokens") >= s.long, s.docs_long).otherwise(s.docs_short)
+
+
+#: Leaves are first looked for by this many residues of their hash: a table of a
+#: fixed greatest size, which is broadcast so that other lines aren't shuffled.
+RESIDUES = 1 << 20
+
+
+def generalised(docs: DataFrame, templates: DataFrame, s: Settings) -> DataFrame:
+    """(leaf, own) of the lines that their leaf's pattern covers; of leaves in
+    which a template could recur often enough at all."""
+    leaves = templates.where(F.col("tokens") >= s.merged_from).groupBy("leaf", "tokens").agg(F.count("*").alias("several"), F.sum("n").alias("n"))
+    leaves = materialise(leaves.where((F.col("several") > 1) & (F.col("n") >= _enough(s))).select("leaf"), "leaves")
+    residue = leaves.select(F.pmod("leaf", F.lit(RESIDUES)).alias("residue")).distinct()
     # the words themselves, of these leaves only
-    texts = _lines(docs, s).join(several, "leaf", "left_semi").groupBy("leaf", "own", "tokens").agg(F.first("masked").alias("masked"))
-    texts = materialise(texts.where(F.col("tokens") >= s.merged_from), "leaf-lines")
+    lines = _lines(docs, s).where(F.col("tokens") >= s.merged_from).withColumn("residue", F.pmod("leaf", F.lit(RESIDUES)))
+    lines = lines.join(F.broadcast(residue), "residue", "left_semi").join(leaves, "leaf", "left_semi")
+    texts = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.first("masked").alias("masked")), "leaf-lines")
     token = texts.select("leaf", "own", "tokens", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     counted = token.groupBy("leaf", "at", "token").count()
     pattern = counted.groupBy("leaf", "at").agg(F.max(F.struct("count", "token"))["token"].alias("modal"))
@@ -63,13 +76,16 @@ def lines_to_drop(docs: DataFrame, s: Settings) -> DataFrame:
     """(i, h, drop): for each document that has any, the numbers of its lines to
     drop. ``h`` tells rows of one id apart."""
     lines = materialise(_lines(docs, s).drop("masked"), "lines")
-    general = generalised(docs, lines, s).withColumn("covered", F.lit(True))
-    named = lines.join(general, ["leaf", "own"], "left").withColumn("own", F.when(F.col("covered"), F.lit(None).cast("long")).otherwise(F.col("own"))).drop("covered")
+    templates = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.count("*").alias("n")), "templates")
+    general = generalised(docs, templates, s).withColumn("covered", F.lit(True))
+    # most lines are alone: only templates that may be dropped go on
+    alone = templates.where(F.col("n") >= _enough(s)).select("leaf", "own", F.lit(False).alias("covered"))
+    asked = materialise(general.union(alone).groupBy("leaf", "own").agg(F.max("covered").alias("covered")), "asked-templates")
+    named = lines.join(asked, ["leaf", "own"]).withColumn("own", F.when(~F.col("covered"), F.col("own"))).drop("covered")
     named = materialise(named, "named-lines")
     # one row for a document and template, then summed before the shuffle
     once = named.select("leaf", "own", "tokens", "i", "h").distinct()
-    enough = F.when(F.col("tokens") >= s.long, s.docs_long).otherwise(s.docs_short)
-    often = once.groupBy("leaf", "own", "tokens").agg(F.count("*").alias("docs"), F.min("i").alias("first")).where(F.col("docs") >= enough)
+    often = once.groupBy("leaf", "own", "tokens").agg(F.count("*").alias("docs"), F.min("i").alias("first")).where(F.col("docs") >= _enough(s))
     often = materialise(often.select(F.col("leaf").alias("l"), F.col("own").alias("o"), "first"), "recurring")
     drop = named.join(often, (F.col("leaf") == F.col("l")) & F.col("own").eqNullSafe(F.col("o"))).where(~F.col("i").eqNullSafe(F.col("first")))
     return materialise(drop.groupBy("i", "h").agg(F.collect_set("n").alias("drop")), "dropped-lines")
