@@ -71,8 +71,8 @@ def parse_head(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
     return (fields, end + 4 - at) if fields.get("content-length", "").isdecimal() else None
 
 
-def first_of_equal(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """(sha, bytes, first) of payloads of several rows, first = least page id.
+def first_of_equal(pages: DataFrame) -> DataFrame:
+    """(_sha, _first) of payloads of several rows: the least page id of each.
 
     Narrow rows, summed before the shuffle, so a payload of a third of all rows
     costs one row a task.
@@ -94,7 +94,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: in
     body = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), body.alias("_html"), F.sha2(body, 256).alias("_sha"))
     # the file's size tells Spark whether it can be broadcast
-    again = materialise(first_of_equal(rows.where(F.octet_length("_html") >= least_bytes), least_bytes), "warc-repeated")
+    again = materialise(first_of_equal(rows.where(F.octet_length("_html") >= least_bytes)), "warc-repeated")
     big = F.octet_length("_html") >= least_bytes
     rows = rows.join(again, "_sha", "left").select("_id", "_url", "_html", F.when(big, F.col("_first")).alias("_first"))
 
