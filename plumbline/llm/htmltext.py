@@ -28,8 +28,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _BESIDE = frozenset("nav footer aside form button select dialog menu object canvas video audio fieldset".split())
 _BESIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs "
-    "sidebar aside widget footer masthead topbar comment comments disqus respond replies cookie cookies consent gdpr notice notices notification alert popup modal overlay "
+    "ad ads adv advert adverts advertisement advertising adsense adbox adslot adunit banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs topnav sidenav "
+    "sidebar aside widget footer masthead topbar comment comments commentlist disqus respond replies cookie cookies cookiebar consent gdpr notice notices notification alert popup modal overlay "
     "newsletter subscribe signup login share sharing social related recommended recommendations toolbar pager pagination skip hidden".split()
 )
 _BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
