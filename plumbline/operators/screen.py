@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ratio, total
+from ..functions.numeric import ratio
 
 
 def long_results(df: DataFrame, module: str, key: list[str], metrics: list[str]) -> DataFrame:
