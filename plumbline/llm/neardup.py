@@ -28,6 +28,10 @@ from .shingles import shingle_sets
 from .words import mix
 
 
+#: Sets whose samples are held at once, however short their texts are.
+SETS = 512
+
+
 @dataclass(frozen=True)
 class Settings:
     """Links are pairs with ``percent`` * union <= 100 * intersection."""
@@ -89,9 +93,13 @@ def sign(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "
                 full = np.flatnonzero(n)
                 bands: list = [[]] * len(texts)
                 sketch: list = [[]] * len(texts)
-                if len(full):
-                    keys, odd = signatures(values, np.concatenate((of[full], of[-1:])), s)
-                    for i, k, o in zip(full.tolist(), keys, odd, strict=True):
+                # the empty ones between have no values, so these lie side by side
+                begin = np.append(of[full], of[-1])
+                for x in range(0, len(full), SETS):
+                    part = full[x : x + SETS]
+                    inside = begin[x : x + len(part) + 1]
+                    keys, odd = signatures(values[inside[0] : inside[-1]], inside - inside[0], s)
+                    for i, k, o in zip(part.tolist(), keys, odd, strict=True):
                         bands[i], sketch[i] = k, o
                 digest = [hashlib.md5(values[x:y].tobytes(), usedforsecurity=False).digest() for x, y in zip(of[:-1].tolist(), of[1:].tolist(), strict=True)]
                 longs = pa.list_(pa.int64())

@@ -103,3 +103,12 @@ def test_query(spark, sf):
     want = {d: b for (d, _), b in zip(rows, _brute(rows, 3, 85), strict=True)}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries.op8_neardup(spark, sf).collect()}
     assert got == want
+
+
+def test_many_tiny_texts_in_one_batch(spark):
+    rows = [(i, f"a{i % 1500} b c d" if i % 7 else "") for i in range(3000)]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), neardup.Settings(words=3, percent=85)).collect()}
+    first: dict[str, int] = {}
+    for i, t in rows:
+        first.setdefault(t, i)
+    assert got == {i: first[t] if t else i for i, t in rows}
