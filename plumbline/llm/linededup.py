@@ -60,9 +60,11 @@ def generalised(docs: DataFrame, templates: DataFrame, s: Settings) -> DataFrame
     which a template could recur often enough at all."""
     leaves = templates.where(F.col("tokens") >= s.merged_from).groupBy("leaf", "tokens").agg(F.count("*").alias("several"), F.sum("n").alias("n"))
     leaves = materialise(leaves.where((F.col("several") > 1) & (F.col("n") >= _enough(s))).select("leaf"), "leaves")
-    residue = leaves.select(F.pmod("leaf", F.lit(RESIDUES)).alias("residue")).distinct()
+    # by bits and without a filter, so that no null check computes a line's hash again
+    low = F.col("leaf").bitwiseAND(RESIDUES - 1).alias("residue")
+    residue = leaves.select(low).distinct()
     # the words themselves, of these leaves only
-    lines = _lines(docs, s).where(F.col("tokens") >= s.merged_from).withColumn("residue", F.pmod("leaf", F.lit(RESIDUES)))
+    lines = _lines(docs, s).select("*", low)
     lines = lines.join(F.broadcast(residue), "residue", "left_semi").join(leaves, "leaf", "left_semi")
     texts = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.first("masked").alias("masked")), "leaf-lines")
     token = texts.select("leaf", "own", "tokens", F.posexplode(F.split("masked", " ")).alias("at", "token"))
