@@ -39,7 +39,7 @@ class Settings:
     share: float = 0.2
     steps: int = 64
     sampled: int = 14
-    walks: int = 5
+    walks: int = 3
     seed: int = 29
     #: Bytes of benchmark text that one pass over the documents holds.
     block_bytes: int = 8 << 20
