@@ -157,8 +157,12 @@ class Index:
     def _above(self, steps: int) -> int:
         return min(self.s.steps, steps * 2)
 
-    def candidates(self, buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Distinct (start of the item, item) suggested by agreeing keys."""
+    def candidates(self, buf: np.ndarray, starts: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        """Distinct (text, start of the item, item) suggested by agreeing keys.
+
+        ``texts``: where each text begins. The text is that of the window, since
+        an item whose beginning is missing may seem to start before it.
+        """
         found = []
         held = np.concatenate((buf, np.full(self.s.steps + 1, 32, np.uint8)))
         for walk, prefixes, keys, item, offset in self.parts:
@@ -167,8 +171,9 @@ class Index:
             n = b - a
             at, a, n = at[n > 0], a[n > 0], n[n > 0]
             k = np.repeat(a - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            found.append(np.stack((np.repeat(at, n) - offset[k], item[k]), 1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            at = np.repeat(at, n)
+            found.append(np.stack((np.searchsorted(texts, at, "right") - 1, at - offset[k], item[k]), 1))
+        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
 def matches(texts: list[bytes], index: Index) -> list[tuple[int, int, int]]:
@@ -178,20 +183,18 @@ def matches(texts: list[bytes], index: Index) -> list[tuple[int, int, int]]:
     best: dict[tuple[int, int], int | None] = {}
     reach: dict[tuple[int, int], int] = {}
     raw = buf.tobytes()
-    for begin, item in index.candidates(buf, starts).tolist():
+    for d, begin, item in index.candidates(buf, starts, at).tolist():
         text = index.texts[item]
         most = int(index.s.share * len(text))
-        doc = int(np.searchsorted(at, min(max(begin, 0), len(buf) - 1), "right")) - 1
-        for d in {max(doc, 0), min(doc + (begin < at[max(doc, 0)]), len(texts) - 1)}:
-            key = (d, item)
-            # a place that the last one looked at already covers
-            if best.get(key) == 0 or reach.get(key, -1) >= begin:
-                continue
-            reach[key] = begin + most
-            low, high = max(int(at[d]), begin - most), min(int(at[d + 1]), begin + 2 * most + len(text))
-            got = edits_within(text, raw[low:high], most) if high - low >= len(text) - most else None
-            if got is not None and (best.get(key) is None or got < best[key]):
-                best[key] = got
+        key = (d, item)
+        # a place that the last one looked at already covers
+        if best.get(key) == 0 or reach.get(key, begin - 1) >= begin:
+            continue
+        reach[key] = begin + most
+        low, high = max(int(at[d]), begin - most), min(int(at[d + 1]), begin + 2 * most + len(text))
+        got = edits_within(text, raw[low:high], most) if high - low >= len(text) - most else None
+        if got is not None and (best.get(key) is None or got < best[key]):
+            best[key] = got
     return [(d, i, e) for (d, i), e in best.items() if e is not None]
 
 

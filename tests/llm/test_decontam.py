@@ -71,6 +71,16 @@ def test_recall_up_to_the_accepted_share():
         assert found >= least * len(items), share
 
 
+def test_item_without_its_first_word_begins_a_text():
+    rng = random.Random(5)
+    item = "extraordinary " + _sentence(rng, 30)
+    index = decontam.Index([(1, item.encode())], decontam.Settings())
+    cut = item.split(" ", 1)[1].encode()
+    texts = [_sentence(rng, 40).encode(), cut, cut + b" " + _sentence(rng, 40).encode(), _sentence(rng, 40).encode()]
+    assert sorted(d for d, _, _ in decontam.matches(texts, index)) == [1, 2]
+    assert [d for d, _, _ in decontam.matches([cut], index)] == [0]
+
+
 def test_against_all_pairs(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
