@@ -3,8 +3,8 @@
 A random walk (CGK) reads a string one character at a time and, by a random bit
 for each step and character, stays or moves on; what it reads is an embedding in
 which few edits become few differing places. Bit sampling keeps some places of
-the embedding as a key. Every window of a document that begins at a word is
-walked for several independent walks and looked up among the windows of the
+the embedding as a key. Every window of a document that begins at a word (or, in
+scripts without spaces, at any character) is walked for several independent walks and looked up among the windows of the
 benchmark items; windows whose first sampled places no item has are dropped
 early. What agrees is verified with the exact edit distance of the whole item
 against the place in the document.
@@ -15,6 +15,7 @@ one space.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,8 @@ from .common import materialise, text_steps
 
 _SOLID = np.zeros(256, bool)
 _SOLID[48:58] = _SOLID[97:123] = _SOLID[128:] = True
+#: Characters of two bytes that are signs.
+_SIGN = np.array([unicodedata.category(chr(c))[0] not in "LMN" for c in range(0x800)])
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,6 +64,20 @@ def normalise(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return buf[keep], place[at]
 
 
+def window_starts(buf: np.ndarray) -> np.ndarray:
+    """Where windows begin in normalised text: at words, at every character from
+    U+0800 on (scripts without spaces are there) and every other sign that is
+    neither letter nor number, and after those."""
+    before = np.concatenate((np.array([32], np.uint8), buf[:-1]))
+    if not (buf > 127).any():
+        return np.flatnonzero((before == 32) & (buf != 32))
+    at = np.flatnonzero((buf & 0xC0) != 0x80)
+    c, then = buf[at].astype(np.int64), buf[np.minimum(at + 1, len(buf) - 1)]
+    apart = (c >= 0xE0) | (c >= 0xC0) & _SIGN[(c & 31) << 6 | then & 63]
+    after = np.concatenate(([False], apart[:-1]))
+    return at[(c != 32) & ((before[at] == 32) | apart | after)]
+
+
 def edits_within(item: bytes, text: bytes, most: int) -> int | None:
     """Least edit distance of ``item`` to any part of ``text``, if it is at most
     ``most``: dynamic programming with a column as bits of one integer."""
@@ -141,8 +158,7 @@ class Index:
             flat = b"".join(self.texts[i] + b" " for i in mine)
             own = np.frombuffer(flat + b" " * (steps + 1), np.uint8)
             first = np.cumsum([0, *(len(self.texts[i]) + 1 for i in mine)])
-            word = np.flatnonzero(np.concatenate(([True], (own[:-1] == 32) & (own[1:] != 32))))
-            word = word[word < first[-1]]
+            word = window_starts(own)
             item = np.searchsorted(first, word, "right") - 1
             # windows that are whole in the item
             inside = word + steps <= first[item + 1] - 1
@@ -179,7 +195,7 @@ class Index:
 def matches(texts: list[bytes], index: Index) -> list[tuple[int, int, int]]:
     """(text, item, edits) of the items found in whole texts, fewest edits."""
     buf, at = normalise(texts)
-    starts = np.flatnonzero((buf[:-1] == 32) & (buf[1:] != 32)) + 1
+    starts = window_starts(buf)
     best: dict[tuple[int, int], int | None] = {}
     reach: dict[tuple[int, int], int] = {}
     raw = buf.tobytes()

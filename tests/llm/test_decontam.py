@@ -81,6 +81,22 @@ def test_item_without_its_first_word_begins_a_text():
     assert [d for d, _, _ in decontam.matches([cut], index)] == [0]
 
 
+def test_item_inside_text_without_spaces():
+    rng = random.Random(6)
+    for script in ("".join(map(chr, range(0x4E00, 0x5000))), "".join(map(chr, range(0xE01, 0xE2F))), "".join(map(chr, range(0x3042, 0x3090)))):
+        run = lambda n: "".join(rng.choice(script) for _ in range(n))
+        item = run(60)
+        index = decontam.Index([(1, item.encode())], decontam.Settings())
+        cut = item[:20] + run(2) + item[22:]
+        texts = [run(300), run(151) + item + run(151), run(150) + cut + run(150), run(10) + "\uff0cABC" + item]
+        got = {d: e for d, _, e in decontam.matches([t.encode() for t in texts], index)}
+        assert got.keys() == {1, 2, 3} and got[1] == got[3] == 0
+    # words after signs of scripts that do have spaces
+    item = _sentence(rng, 30)
+    index = decontam.Index([(1, item.encode())], decontam.Settings())
+    assert decontam.matches([f"mot «{item}» mot".encode(), f"word \u201c{item}\u201d word".encode()], index) == [(0, 0, 0), (1, 0, 0)]
+
+
 def test_against_all_pairs(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
