@@ -3,8 +3,11 @@
 A line's tokens with digits in them are variable fields. The tree has a fixed
 depth: token count, then the leading tokens; that is a leaf. Within a leaf the
 commonest token of every position makes a pattern, and lines that agree with it
-at most positions are one template, whatever stands at the others; any other
-line is a template of its own. A template that recurs in enough documents is
+at most positions are one template, whatever stands at the others. Lines that it
+leaves are grouped by bands of their further tokens (more bands than positions may
+differ, so lines of one template share a whole band) and the line nearest to each
+group's pattern makes a further template, again and again until none comes; any
+other line is a template of its own. A template that recurs in enough documents is
 dropped from all but the first of them.
 """
 
@@ -56,8 +59,9 @@ RESIDUES = 1 << 20
 
 
 def generalised(docs: DataFrame, templates: DataFrame, s: Settings) -> DataFrame:
-    """(leaf, own) of the lines that their leaf's pattern covers; of leaves in
-    which a template could recur often enough at all."""
+    """(leaf, own, form) of the lines that a pattern of their leaf covers, ``form``
+    is null for the first pattern; of leaves in which a template could recur often
+    enough at all."""
     leaves = templates.where(F.col("tokens") >= s.merged_from).groupBy("leaf", "tokens").agg(F.count("*").alias("several"), F.sum("n").alias("n"))
     leaves = materialise(leaves.where((F.col("several") > 1) & (F.col("n") >= _enough(s))).select("leaf"), "leaves")
     # by bits and without a filter, so that no null check computes a line's hash again
@@ -66,12 +70,66 @@ def generalised(docs: DataFrame, templates: DataFrame, s: Settings) -> DataFrame
     # the words themselves, of these leaves only
     lines = _lines(docs, s).select("*", low)
     lines = lines.join(F.broadcast(residue), "residue", "left_semi").join(leaves, "leaf", "left_semi")
-    texts = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.first("masked").alias("masked")), "leaf-lines")
+    texts = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.first("masked").alias("masked"), F.count("*").alias("n")), "leaf-lines")
     token = texts.select("leaf", "own", "tokens", F.posexplode(F.split("masked", " ")).alias("at", "token"))
-    counted = token.groupBy("leaf", "at", "token").count()
-    pattern = counted.groupBy("leaf", "at").agg(F.max(F.struct("count", "token"))["token"].alias("modal"))
-    agree = token.join(pattern, ["leaf", "at"]).groupBy("leaf", "own", "tokens").agg(F.count_if(F.col("token") == F.col("modal")).alias("same"))
-    return materialise(agree.where(F.col("same") >= s.alike * F.col("tokens")).select("leaf", "own"), "generalised")
+    agree = _agree(token, _modal(token, "leaf"), "leaf")
+    covered = agree.where(F.col("same") >= s.alike * F.col("tokens")).drop("tokens").join(texts, ["leaf", "own"])
+    # a pattern mixed of several templates may cover too few lines to recur: they stay for the next
+    covered = materialise(_open(covered, "leaf", s).select("leaf", "own", F.lit(None).cast("long").alias("form")), "generalised")
+    found = covered
+    while True:
+        texts = _open(texts.join(covered, ["leaf", "own"], "left_anti"), "leaf", s)
+        more = materialise(_open(texts.withColumn("form", F.explode(_bands(s))), "form", s), "line-bands")
+        if more.isEmpty():
+            return found
+        texts = materialise(texts, "leaf-lines")
+        covered = materialise(_further(more, s), "generalised")
+        if covered.isEmpty():
+            return found
+        found = found.union(covered)
+
+
+def _modal(token: DataFrame, group: str) -> DataFrame:
+    counted = token.groupBy(group, "at", "token").count()
+    return counted.groupBy(group, "at").agg(F.max(F.struct("count", "token"))["token"].alias("modal"))
+
+
+def _agree(token: DataFrame, pattern: DataFrame, group: str) -> DataFrame:
+    """(group, own, tokens, same): at how many positions lines agree with the pattern."""
+    return token.join(pattern, [group, "at"]).groupBy(group, "own", "tokens").agg(F.count_if(F.col("token") == F.col("modal")).alias("same"))
+
+
+def _open(texts: DataFrame, group: str, s: Settings) -> DataFrame:
+    """Lines of the groups in which a template could recur often enough."""
+    sums = texts.groupBy(group, "tokens").agg(F.count("*").alias("several"), F.sum("n").alias("total"))
+    return texts.join(sums.where((F.col("several") > 1) & (F.col("total") >= _enough(s))).select(group), group, "left_semi")
+
+
+def _bands(s: Settings):
+    """A hash for each band of a line's tokens beyond the leaf's: one band more
+    than positions that may differ."""
+    words, n = F.split("masked", " "), F.col("tokens") - s.depth
+    bands = (F.col("tokens") - F.ceil(F.round(F.col("tokens") * s.alike, 6)) + 1).cast("int")
+
+    def band(k):
+        start = F.floor(k * n / bands)
+        return F.xxhash64("leaf", k, F.array_join(F.slice(words, (start + s.depth + 1).cast("int"), (F.floor((k + 1) * n / bands) - start).cast("int")), " "))
+
+    return F.transform(F.sequence(F.lit(0), bands - 1), band)
+
+
+def _further(texts: DataFrame, s: Settings) -> DataFrame:
+    """(leaf, own, form) of the lines of groups (``form``) that agree with the line
+    nearest to their group's pattern, where these are enough; each line once."""
+    token = texts.select("form", "own", "tokens", F.posexplode(F.split("masked", " ")).alias("at", "token"))
+    nearest = _agree(token, _modal(token, "form"), "form").groupBy("form").agg(F.max(F.struct("same", "own"))["own"].alias("own"))
+    pattern = token.join(nearest, ["form", "own"]).select("form", "at", F.col("token").alias("modal"))
+    same = _agree(token, pattern, "form").where(F.col("same") >= s.alike * F.col("tokens")).select("form", "own")
+    member = materialise(texts.select("form", "leaf", "own", "tokens", "n").join(same, ["form", "own"]), "members")
+    total = member.groupBy("form", "tokens").agg(F.sum("n").alias("total"), F.count("*").alias("several"))
+    total = total.where((F.col("total") >= _enough(s)) & (F.col("several") > 1)).select("form", "total")
+    # a line goes to the template of most lines
+    return member.join(total, "form").groupBy("leaf", "own").agg(F.max_by("form", F.struct("total", "form")).alias("form"))
 
 
 def lines_to_drop(docs: DataFrame, s: Settings) -> DataFrame:
@@ -81,9 +139,9 @@ def lines_to_drop(docs: DataFrame, s: Settings) -> DataFrame:
     templates = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.count("*").alias("n")), "templates")
     general = generalised(docs, templates, s).withColumn("covered", F.lit(True))
     # most lines are alone: only templates that may be dropped go on
-    alone = templates.where(F.col("n") >= _enough(s)).select("leaf", "own", F.lit(False).alias("covered"))
-    asked = materialise(general.union(alone).groupBy("leaf", "own").agg(F.max("covered").alias("covered")), "asked-templates")
-    named = lines.join(asked, ["leaf", "own"]).withColumn("own", F.when(~F.col("covered"), F.col("own"))).drop("covered")
+    alone = templates.where(F.col("n") >= _enough(s)).select("leaf", "own", F.lit(None).cast("long").alias("form"), F.lit(False).alias("covered"))
+    asked = materialise(general.union(alone).groupBy("leaf", "own").agg(F.max("covered").alias("covered"), F.max("form").alias("form")), "asked-templates")
+    named = lines.join(asked, ["leaf", "own"]).withColumn("own", F.when(F.col("covered"), F.col("form")).otherwise(F.col("own"))).drop("covered", "form")
     named = materialise(named, "named-lines")
     # one row for a document and template, then summed before the shuffle
     once = named.select("leaf", "own", "tokens", "i", "h").distinct()

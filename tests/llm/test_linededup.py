@@ -34,6 +34,17 @@ def test_variable_fields(spark):
     assert sum(d for _, d in _run(spark, rows).values()) == 0
 
 
+def test_several_templates_in_a_leaf(spark):
+    names = "anna berta carla dora emma frida".split()
+    a = [(i, f"the daily report was written by {n} for the whole team\nown {n}") for i, n in enumerate(names)]
+    b = [(10 + i, f"the daily report went out with {n} after some long delay\nmine {n}") for i, n in enumerate(names[:5])]
+    assert sum(d for _, d in _run(spark, b).values()) == 4
+    got = _run(spark, a + b)
+    assert sum(d for (i, _), (_, d) in got.items() if i < 10) == 5 and sum(d for (i, _), (_, d) in got.items() if i >= 10) == 4
+    # of one size: the leaf's pattern mixes both
+    assert sum(d for _, d in _run(spark, a[:5] + b).values()) == 8
+
+
 def test_edges(spark):
     rows = [(1, None, 7), (2, "", 7), (None, f"{LONG}\nx", 7), (3, LONG, 7), (3, LONG, 7), (4, f"{LONG}\n{LONG}", 7), (5, "\n \n", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, leaf int")
