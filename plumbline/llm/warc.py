@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import filesystem, materialise, scratch, text_steps, write_file
 
 MAGIC = b"WARC/1.0\r\n"
-#: A head that is longer is not ours; scanning reads this far beyond its range.
+#: Scanning reads this far beyond its range at first, and further while a head goes on.
 HEAD_BYTES = 64 << 10
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -59,16 +59,17 @@ def record(key: int | None, url: str | None, payload: bytes, refers: int | None,
 
 def parse_head(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
     """Fields and length of the head at a place, or None if there is none."""
-    end = data.find(b"\r\n\r\n", at, at + HEAD_BYTES)
-    if end < 0 or not data.startswith(MAGIC, at):
+    if not data.startswith(MAGIC, at):
         return None
-    fields = {}
-    for line in data[at + len(MAGIC) : end].split(b"\r\n"):
-        name, sep, value = line.partition(b":")
-        if not sep:
+    fields, pos = {}, at + len(MAGIC)
+    # line by line: what isn't a head mostly ends at once
+    while (end := data.find(b"\r\n", pos)) != pos:
+        name, sep, value = data[pos : max(end, pos)].partition(b":")
+        if end < 0 or not sep:
             return None
         fields[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
-    return (fields, end + 4 - at) if fields.get("content-length", "").isdecimal() else None
+        pos = end + 2
+    return (fields, end + 2 - at) if fields.get("content-length", "").isdecimal() else None
 
 
 def first_of_equal(pages: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def first_of_equal(pages: DataFrame) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: int = 64 << 20, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write one record per row below ``path``; returns (path, bytes) per file.
+    """Write one record per row below ``path``; returns (path, bytes, records) per file.
 
     Of equal payloads of at least ``least_bytes`` bytes the row of the least id
     is the response and the others are revisits of it (rows that repeat that id
@@ -106,7 +107,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: in
         def flush() -> None:
             nonlocal seq, size
             uri = f"{path}/part-{part:08d}-{seq:06d}.warc"
-            made.append((uri, write_file(uri, held)))
+            made.append((uri, write_file(uri, held), len(held)))
             held.clear()
             seq, size = seq + 1, 0
 
@@ -120,9 +121,9 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: in
                     flush()
         if held:
             flush()
-        yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64())], ["path", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64())], ["path", "bytes", "records"])
 
-    return materialise(rows.mapInArrow(write, "path string, bytes long"), "warc-manifest")
+    return materialise(rows.mapInArrow(write, "path string, bytes long, records long"), "warc-manifest")
 
 
 def _candidates(data: bytes, start: int, own: int) -> list[tuple[int, int]]:
@@ -162,6 +163,10 @@ def find_records(files: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
                 with fs.open_input_file(path) as f:
                     f.seek(start)
                     data = f.read(min(own + HEAD_BYTES, size - start))
+                    # a head may begin in this range and end anywhere after it
+                    last = data.rfind(MAGIC, 0, own + len(MAGIC) - 1)
+                    while last >= 0 and start + len(data) < size and data.find(b"\r\n\r\n", last) < 0:
+                        data += f.read(min(len(data), size - start - len(data)))
                 found = np.array(_candidates(data, start, own), np.int64).reshape(-1, 2)
                 # a link past the end of the file leads nowhere
                 after = np.where(found[:, 1] <= size, found[:, 1], -1)
@@ -203,7 +208,8 @@ def read_warc(files: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
 
     For a response both payload columns are computed from the bytes read, and
     must agree with the head (else the row says ``corrupt``); a revisit's are
-    its head's.
+    its head's. Where ``files`` tell how many records were written, another
+    number read is an error.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,6 +237,11 @@ def read_warc(files: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "path", "offset"])
 
     found = find_records(files, range_bytes).select("path", "offset", "successor")
+    if "records" in files.columns:
+        found = materialise(found, "warc-found")
+        written, read_back = files.agg(F.sum("records")).first()[0] or 0, found.count()
+        if written != read_back:
+            raise ValueError(f"{written} records were written, but {read_back} are found")
     # a task for each range: these rows are narrow, but what they name is not
     size = files.agg(F.sum("bytes")).first()[0] or 0
     n = max(1, min(-(-size // range_bytes), 20_000))

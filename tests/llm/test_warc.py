@@ -3,6 +3,8 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import pytest
+
 from plumbline.llm import common, queries, warc
 
 PAGES = "page_id long, url string, html string, path string"
@@ -38,6 +40,28 @@ def test_false_heads_in_payloads(spark):
         _check(warc.read_warc(files, range_bytes=size).collect(), rows)
 
 
+def test_heads_of_any_length(spark):
+    rows = [(1, "u1", "one", "p"), (2, "data:" + "x" * 300_000, "two", "p"), (3, "u3", "three", "p"), (4, "y" * 70_000, "", "p"), (5, "u5", "five", "p")]
+    files = warc.write_warc(spark.createDataFrame(rows, PAGES).coalesce(1), common.scratch(spark, "w"))
+    for size in (20_000, 8 << 20):
+        found = warc.read_warc(files, range_bytes=size).collect()
+        _check(found, rows)
+        assert {(r["page_id"], r["url"]) for r in found} == {(r[0], r[1]) for r in rows}
+
+
+def test_a_lost_record_is_an_error(spark):
+    rows = [(i, f"u{i}", f"text {i}", "p") for i in range(5)]
+    files = warc.write_warc(spark.createDataFrame(rows, PAGES).coalesce(1), common.scratch(spark, "w"))
+    path = files.first()["path"].removeprefix("file://")
+    with open(path, "rb") as f:
+        data = f.read()
+    at = data.find(warc.MAGIC, 1)
+    with open(path, "wb") as f:
+        f.write(data[:at] + b"X" + data[at + 1 :])
+    with pytest.raises(ValueError, match="5 records were written, but 1 are found"):
+        warc.read_warc(files)
+
+
 def test_small_payloads_are_responses(spark):
     pages, rows = _pages(spark)
     _check(warc.archive(pages, least_bytes=5).collect(), rows, least=5)
