@@ -2,31 +2,39 @@
 
 One pass over the texts gives each document its shingle set's digest, the keys
 of its MinHash bands and an odd sketch: a bitmap of the parities of where its
-MinHash samples fall. The XOR of two sketches has a bit for (nearly) each sample
-in which the sets differ, so its population count estimates high similarities
-closely. Equal sets are one class. Within a band's bucket every class is first
-compared with one centre only; what that links is one component, and only
-classes of different components are compared further. The sketch decides, inside
-the join, which candidates are worth an exact comparison of the full sets, which
-alone makes a link. Components come from alternating large and small stars.
+MinHash samples (the least hashes of the set) fall. The XOR of two sketches has a
+bit for (nearly) each sample in which the sets differ, so its population count
+estimates high similarities closely; of sets no larger than the sample it gives
+the difference itself. Equal sets are one class.
+
+Links are found in rounds. In a round every class meets one centre of each of its
+buckets, another one each round, unless both are in one component already; the
+sketch says which centre is nearest, and an exact comparison of the full sets,
+which alone makes a link, joins the two components. So a round costs a row for
+each place in a bucket, however many classes that bucket holds and however many
+of its pairs are links. Rounds end when their yield says that few links between
+different components can be left; then all pairs of a bucket that are still in
+different components are looked at once. Components come from alternating large
+and small stars.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, text_steps
 from .shingles import shingle_sets
-from .words import mix
-
+from .words import mix, spread
 
 #: Sets whose samples are held at once, however short their texts are.
 SETS = 512
@@ -39,43 +47,47 @@ class Settings:
     words: int = 5
     percent: int = 80
     #: MinHash samples, and bits of the odd sketch they are folded into.
-    samples: int = 1536
+    samples: int = 2048
     bits: int = 4096
     #: Rows of a band, and the chance that a pair at the threshold shares no band.
     rows: int = 5
     miss: float = 1e-6
+    #: Deviations of the estimate beyond which a pair isn't compared.
+    deviations: float = 5.0
 
     @property
     def bands(self) -> int:
         return math.ceil(math.log(self.miss) / math.log(1 - (self.percent / 100) ** self.rows))
 
-    @property
-    def most_odd(self) -> int:
-        """A pair at the threshold has more odd bits than this about once in a
-        million: 4.5 deviations of the samples that differ, and one of as many
-        independent bits for the folding (which varies half as much)."""
-        t = self.percent / 100
-        differ = 2 * (self.samples * (1 - t) + 4.5 * math.sqrt(self.samples * t * (1 - t)))
-        p = (1 - (1 - 2 / self.bits) ** differ) / 2
-        return math.ceil(self.bits * p + math.sqrt(self.bits * p * (1 - p)))
+
+def most_odd(a: Column, b: Column, s: Settings) -> Column:
+    """Most odd bits of two sketches of sets of these sizes that may be a link.
+
+    Two sets at the threshold have c = percent * (a + b) / (100 + percent) hashes
+    in common; of those a sample of the larger set holds a hypergeometric number.
+    Folding never makes more bits odd than samples differ.
+    """
+    most, k = F.greatest(a, b).cast("double"), float(s.samples)
+    part = F.least(F.ceil(s.percent * (a + b) / (100 + s.percent)) / most, F.lit(1.0))
+    held = F.least(most, F.lit(k))
+    spread = F.sqrt(F.greatest(2 * held * part * (1 - part) * (1 - held / most), F.lit(0.0)))
+    return F.least(a, F.lit(k)) + F.least(b, F.lit(k)) - 2 * (held * part - s.deviations * spread)
 
 
 def signatures(values: np.ndarray, of: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Band keys (int64, sets x bands) and odd sketches (int64, sets x bits/64)
-    of non-empty sets of 64-bit hashes."""
-    turn = np.random.Generator(np.random.PCG64(17)).integers(1, 1 << 63, s.samples, dtype=np.uint64) | np.uint64(1)
+    of non-empty sorted sets of 64-bit hashes."""
+    turn = np.random.Generator(np.random.PCG64(17)).integers(1, 1 << 63, s.bands * s.rows, dtype=np.uint64) | np.uint64(1)
     n = len(of) - 1
-    low = np.empty((s.samples, n), np.uint64)
-    for j in range(s.samples):
-        low[j] = np.minimum.reduceat(values * turn[j], of[:-1])
     keys = np.empty((n, s.bands), np.uint64)
     for b in range(s.bands):
         h = np.full(n, b + 1, np.uint64)
-        for row in low[b * s.rows : (b + 1) * s.rows]:
-            h = mix(h * np.uint64(31) + row)
+        for j in range(b * s.rows, (b + 1) * s.rows):
+            h = mix(h * np.uint64(31) + np.minimum.reduceat(values * turn[j], of[:-1]))
         keys[:, b] = h
-    spot = (mix(low + np.arange(s.samples, dtype=np.uint64)[:, None]) % np.uint64(s.bits)).astype(np.int64)
-    odd = np.bincount((spot + np.arange(n) * s.bits).ravel(), minlength=n * s.bits) & 1
+    size = np.minimum(np.diff(of), s.samples)
+    spot = (mix(values[spread(of[:-1], size)]) % np.uint64(s.bits)).astype(np.int64)
+    odd = np.bincount(spot + np.repeat(np.arange(n) * s.bits, size), minlength=n * s.bits) & 1
     sketch = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").reshape(n, -1)
     return keys.view(np.int64), sketch
 
@@ -109,14 +121,15 @@ def sign(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "
     return rows.mapInArrow(make, "doc_id long, row long, n_shingles long, set binary, bands array<long>, sketch array<long>")
 
 
-def odd_bits(a: Column, b: Column) -> Column:
-    """Population count of the XOR of two sketches."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+def odd_bits(a: str, b: str, s: Settings) -> Column:
+    """Population count of the XOR of two sketches, as one compiled expression."""
+    return functools.reduce(operator.add, (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(s.bits // 64)))
 
 
 def verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Of the pairs (a, b of classes, with the row that stands for each), those
-    whose full sets are similar enough. ``texts``: doc_id, row, text."""
+    """Of the pairs (a_doc, a_row, b_doc, b_row: the rows that stand for two
+    classes; a_in, b_in: their components; m), (a_in, b_in, m) of those whose full
+    sets are similar enough. ``texts``: doc_id, row, text."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,14 +142,18 @@ def verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                     x, y = va[oa[i] : oa[i + 1]], vb[ob[i] : ob[i + 1]]
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     keep[a + i] = 100 * both >= s.percent * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a_in", "b_in", "m"]).filter(pa.array(keep))
 
-    side = lambda k: texts.select(F.col("doc_id").alias(f"{k}_doc"), F.col("row").alias(f"{k}_row"), F.col("text").alias(f"t{k}"))
+    pairs = materialise(pairs, "pairs")
+    need = pairs.select(F.explode(F.array(F.struct(F.col("a_doc").alias("d"), F.col("a_row").alias("r")), F.struct(F.col("b_doc").alias("d"), F.col("b_row").alias("r")))).alias("x")).select("x.*").distinct()
+    held = texts.join(need, texts["doc_id"].eqNullSafe(need["d"]) & (texts["row"] == need["r"])).select("d", "r", "text")
+    # rows that repeat an id and a text are one
+    held = materialise(held.groupBy("d", "r").agg(F.first("text").alias("text")), "pair-texts")
     both = pairs
     for k in "ab":
-        t = side(k)
-        both = both.join(t, both[f"{k}_doc"].eqNullSafe(t[f"{k}_doc"]) & (both[f"{k}_row"] == t[f"{k}_row"])).select("a", "b", *(c for c in both.columns if c not in ("a", "b", f"{k}_doc", f"{k}_row")), f"t{k}")
-    return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a binary, b binary")
+        t = held.select(F.col("d").alias(f"{k}_d"), F.col("r").alias(f"{k}_r"), F.col("text").alias(f"t{k}"))
+        both = both.join(t, both[f"{k}_doc"].eqNullSafe(t[f"{k}_d"]) & (both[f"{k}_row"] == t[f"{k}_r"])).drop(f"{k}_d", f"{k}_r")
+    return materialise(both.select("a_in", "b_in", "m", "ta", "tb").mapInArrow(compare, "a_in binary, b_in binary, m long"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -162,48 +179,64 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def links(classes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Verified links (a, b) that connect what is connected, between classes
-    (set, doc_id, row, n_shingles, bands, sketch)."""
-    keyed = materialise(classes.select("set", F.posexplode("bands").alias("band", "key")), "bands")
-    buckets = keyed.groupBy("key").agg(F.min("set").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    members = materialise(keyed.join(buckets, "key").select("key", "band", "set", "centre"), "members")
+def _mixed(members: DataFrame, *more: Column) -> DataFrame:
+    """Buckets that hold several components, with further aggregates."""
+    ends = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), *more)
+    return ends.where("low <> high").drop("low", "high")
+
+
+def _relabel(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with the components that the links found make."""
+    named = components(found.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
+    joined = members.join(named, members["component"] == named["node"], "left")
+    return materialise(joined.select("key", "set", F.coalesce(named["component"], members["component"]).alias("component")), "members")
+
+
+def grouped(classes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(set, component) of the classes (set, doc_id, row, n_shingles, bands,
+    sketch) that share a bucket with another one."""
+    keyed = materialise(classes.select("set", F.explode("bands").alias("key")), "bands")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = materialise(keyed.join(shared, "key").select("key", "set", F.col("set").alias("component")), "members")
     about = classes.select("set", "doc_id", "row", "n_shingles", "sketch")
-    a, b = (about.select(*(F.col(c).alias(f"{k}_{c}" if c != "set" else k) for c in about.columns)) for k in "ab")
-    near = (100 * F.least("a_n_shingles", "b_n_shingles") >= s.percent * F.greatest("a_n_shingles", "b_n_shingles")) & (odd_bits(F.col("a_sketch"), F.col("b_sketch")) <= s.most_odd)
-    # first, each class against the nearest of its buckets' centres
-    stars = members.where("set <> centre").select(F.col("set").alias("a"), F.col("centre").alias("b")).distinct()
-    told = stars.join(a, "a").join(b, "b").where(near).withColumn("far", odd_bits(F.col("a_sketch"), F.col("b_sketch")))
-    to = F.min(F.struct("far", "b", "b_doc_id", "b_row")).alias("to")
-    best = told.groupBy("a", "a_doc_id", "a_row").agg(to)
-    pick = best.select("a", F.col("a_doc_id").alias("a_doc"), "a_row", F.col("to.b").alias("b"), F.col("to.b_doc_id").alias("b_doc"), F.col("to.b_row").alias("b_row"))
-    found = materialise(verify(materialise(pick, "star-pairs"), texts, s), "star-links")
-    # then, in each bucket, what isn't in its largest component against the rest
-    named = components(found).withColumnRenamed("node", "set")
-    labelled = members.select("key", "band", "set").join(named, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    labelled = materialise(labelled, "labelled")
-    sizes = labelled.groupBy("key", "component").count()
-    main = sizes.groupBy("key").agg(F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    about = classes.select("set", "doc_id", "row", "n_shingles", "sketch", *(F.col("bands")[i].alias(f"k{i}") for i in range(s.bands)))
-    mixed = labelled.join(main, "key").join(about, "set")
-    left = mixed.where("component <> main").select("key", "band", "component", *(F.col(c).alias("a" if c == "set" else f"a_{c}") for c in about.columns))
-    right = mixed.select("key", F.col("component").alias("other"), F.col("main").alias("of"), *(F.col(c).alias("b" if c == "set" else f"b_{c}") for c in about.columns))
-    apart = (F.col("component") != F.col("other")) & ((F.col("other") == F.col("of")) | (F.col("a") < F.col("b")))
-    # a pair is taken in the first bucket that it shares
-    for i in range(s.bands - 1):
-        apart &= (F.col("band") <= i) | (F.col(f"a_k{i}") != F.col(f"b_k{i}"))
-    cross = left.join(right, (left["key"] == right["key"]) & apart & near)
-    rest = cross.select("a", "b", F.col("a_doc_id").alias("a_doc"), "a_row", F.col("b_doc_id").alias("b_doc"), "b_row")
-    return found.union(materialise(verify(materialise(rest, "rest-pairs"), texts, s), "rest-links"))
+    a, b = (about.select(F.col("set").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in ("doc_id", "row", "n_shingles", "sketch"))) for k in "ab")
+    far = odd_bits("a_sketch", "b_sketch", s)
+    near = (100 * F.least("a_n_shingles", "b_n_shingles") >= s.percent * F.greatest("a_n_shingles", "b_n_shingles")) & (far <= most_odd(F.col("a_n_shingles"), F.col("b_n_shingles"), s))
+    enough, turn = classes.count(), 0
+    while True:
+        pick = F.min(F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), "set", "component")).alias("c")
+        centres = _mixed(members, pick, F.count("*").alias("m")).select("key", F.col("c.set").alias("b"), F.col("c.component").alias("b_in"), "m")
+        stars = members.join(centres, "key").where("component <> b_in").groupBy(F.col("set").alias("a"), F.col("component").alias("a_in"), "b", "b_in").agg(F.max("m").alias("m"))
+        told = stars.join(a, "a").join(b, "b").where(near).withColumn("far", far)
+        best = told.groupBy("a", "a_in", F.col("a_doc_id").alias("a_doc"), "a_row").agg(F.min(F.struct("far", "b", "b_in", "b_doc_id", "b_row", "m")).alias("to"))
+        found = verify(best.select("a_in", "a_doc", "a_row", "to.b_in", F.col("to.b_doc_id").alias("b_doc"), "to.b_row", "to.m"), texts, s)
+        # A centre is any of m classes: a link found stands for about m / 2 links that
+        # were there, so this bounds what the last step would find at once.
+        left = (found.agg(F.sum("m")).first()[0] or 0) / 2
+        members, turn = _relabel(members, found), turn + 1
+        if left <= enough:
+            break
+    sizes = members.groupBy("key", "component").count()
+    mains = sizes.groupBy("key").agg(F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
+    mixed = materialise(members.join(mains, "key"), "mixed")
+    left_side = mixed.where("component <> main").select("key", F.col("set").alias("a"), F.col("component").alias("a_in")).join(a, "a")
+    right_side = mixed.select("key", F.col("set").alias("b"), F.col("component").alias("b_in"), "main").join(b, "b")
+    apart = (F.col("a_in") != F.col("b_in")) & ((F.col("b_in") == F.col("main")) | (F.col("a") < F.col("b")))
+    rest = left_side.join(right_side, (left_side["key"] == right_side["key"]) & apart & near)
+    rest = rest.select("a_in", F.col("a_doc_id").alias("a_doc"), "a_row", "b_in", F.col("b_doc_id").alias("b_doc"), "b_row", F.lit(0).cast("long").alias("m")).distinct()
+    return _relabel(members, verify(rest, texts, s)).select("set", "component").distinct()
 
 
 def near_duplicates(docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, row, n_shingles, component_id, kept) per row of ``docs``.
+    """(doc_id, row, n_shingles, component_id, kept, first) per row of ``docs``.
 
     component_id is the smallest doc_id that links reach. Null or wordless texts
-    link with nothing: their component is their own doc_id. A null doc_id is in a
-    component but never names one unless it is alone there; ``kept`` is then
-    whether its row is the least of the component. Repeated rows are kept alike.
+    link with nothing: their component is their own doc_id. ``first`` marks the
+    rows that stand for their component: of the smallest doc_id and, among those,
+    the least ``row`` (a hash of the text). A null doc_id is in a component but
+    names one only where no other id is; ``kept`` is doc_id = component_id, and
+    ``first`` in components of null ids only. Rows that repeat an id and a text are
+    marked alike. An empty table gives no rows.
     """
     s = settings or Settings()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
@@ -212,19 +245,36 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None, id_col: s
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("r")
     classes = signed.where("n_shingles > 0").groupBy("set").agg(first, F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = materialise(classes.select("set", "r.doc_id", "r.row", "n_shingles", "bands", "sketch"), "classes")
-    named = components(links(classes, texts, s)).withColumnRenamed("node", "set")
-    owned = classes.select("set", "doc_id").join(named, "set", "left").select("set", F.coalesce("component", "set").alias("component"), "doc_id")
-    least = owned.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    where = owned.join(least, "component").select("set", "component_id")
-    out = narrow.where("n_shingles > 0").join(where, "set").select("doc_id", "row", "n_shingles", "component_id")
-    out = out.union(narrow.where("n_shingles = 0").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id")))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = grouped(classes, texts, s)
+    owned = classes.select("set", "doc_id", "row").join(named, "set", "left").select("set", F.coalesce("component", "set").alias("component"), "doc_id", "row")
+    least = owned.groupBy("component").agg(first).select("component", F.col("r.doc_id").alias("component_id"), F.col("r.row").alias("_row"))
+    where = owned.join(least, "component").select("set", "component_id", "_row")
+    out = narrow.where("n_shingles > 0").join(where, "set")
+    named_by = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    out = out.withColumn("first", named_by & (F.col("row") == F.col("_row")))
+    out = out.select("doc_id", "row", "n_shingles", "component_id", F.when(F.col("component_id").isNull(), F.col("first")).otherwise(named_by).alias("kept"), "first")
+    alone = narrow.where("n_shingles = 0").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), F.lit(True).alias("first"))
+    return out.union(alone)
 
 
 def drop_near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates, all its columns."""
-    found = near_duplicates(docs, settings).where("kept").select(F.col("doc_id").alias("_i"), F.col("row").alias("_h"))
+    """``docs`` with one row of each group of near duplicates, all its columns.
+
+    The row is the one that ``first`` of ``near_duplicates`` marks; of several that
+    repeat its id and text, the one whose columns hash least. Rows without words
+    stay, once for each id and text.
+    """
+    found = near_duplicates(docs, settings).where("first").select(F.col("doc_id").alias("_i"), F.col("row").alias("_h"))
     keep = materialise(found.groupBy("_i", "_h").count(), "kept")
-    repeated = keep.where("count > 1").limit(1).count()
-    rows = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["_i"]) & (F.xxhash64(docs["text"]) == keep["_h"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"]) if repeated else rows
+
+    def rows(of: DataFrame) -> DataFrame:
+        return docs.join(of, docs["doc_id"].cast("long").eqNullSafe(of["_i"]) & F.xxhash64(docs["text"]).eqNullSafe(of["_h"]), "left_semi")
+
+    several = keep.where("count > 1")
+    once = rows(keep.where("count = 1"))
+    if several.isEmpty():
+        return once
+    again = rows(several)
+    by_hash = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    again = again.withColumn("_place", F.row_number().over(by_hash)).where("_place = 1")
+    return once.union(again.select(*(F.col(f"`{c}`") for c in docs.columns)))

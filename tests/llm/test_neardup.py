@@ -43,7 +43,7 @@ def _compare(spark, rows, k, percent):
     got = neardup.near_duplicates(df, neardup.Settings(words=k, percent=percent)).collect()
     want = sorted(((d, *b) for (d, _), b in zip(rows, _brute(rows, k, percent), strict=True)), key=repr)
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr) == want
-    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got if r["component_id"] is not None)
 
 
 def _family(n, words, edits, seed):
@@ -79,16 +79,61 @@ def test_sets_are_whole_texts():
     assert values[of[3]] == values[of[5]] and values[of[2]] != values[of[3]]
 
 
-def test_sketch_bound_keeps_pairs_at_the_threshold():
+@pytest.mark.parametrize("size", [200, 3000, 20_000])
+def test_sketch_bound_keeps_pairs_at_the_threshold(spark, size):
     s = neardup.Settings(words=3, percent=85)
     rng = np.random.default_rng(5)
-    far = []
-    for _ in range(60):
-        a = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
-        b = np.concatenate((a[:919], rng.integers(0, 1 << 63, 81, dtype=np.uint64)))  # 919 of 1081
-        _, odd = neardup.signatures(np.concatenate((np.sort(a), np.sort(b))), np.array([0, 1000, 2000]), s)
-        far.append(sum(bin(x & (1 << 64) - 1).count("1") for x in (odd[0] ^ odd[1]).tolist()))
-    assert max(far) <= s.most_odd and s.most_odd < 2 * np.mean(far)
+    for less in (0, size // 12):
+        # sets of size and size - less with exactly the least intersection of a link
+        both = -(-85 * (2 * size - less) // 185)
+        bound = spark.range(1).select(neardup.most_odd(neardup.F.lit(size), neardup.F.lit(size - less), s)).first()[0]
+        far = []
+        for _ in range(200):
+            held = rng.integers(0, 1 << 63, 2 * size - less - both, dtype=np.uint64)
+            a, b = np.sort(held[:size]), np.sort(held[size - both :])
+            _, odd = neardup.signatures(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]), s)
+            far.append(sum(bin(x & (1 << 64) - 1).count("1") for x in (odd[0] ^ odd[1]).tolist()))
+        assert max(far) <= bound < 1.9 * np.mean(far)
+
+
+def _edited_copies(n, seed):
+    rng = random.Random(seed)
+    first = [f"w{i}" for i in range(120)]
+    for i in range(n):
+        copy = list(first)
+        for p in rng.sample(range(120), 2):
+            copy[p] = f"x{i}y{p}"
+        yield " ".join(copy)
+
+
+def test_pairs_of_a_group_grow_with_its_size(spark, monkeypatch):
+    """Copies of one text, each with two edits: most pairs share bands and many are links."""
+    seen = []
+    plain = neardup.materialise
+
+    def counted(df, tag):
+        out = plain(df, tag)
+        if tag == "pairs":
+            seen[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "materialise", counted)
+    for n in (400, 800):
+        seen.append(0)
+        rows = list(enumerate(_edited_copies(n, 3)))
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(df, neardup.Settings(words=3, percent=85)).collect()}
+        assert got == {d: c for (d, _), (_, c) in zip(rows, _brute(rows, 3, 85), strict=True)}
+    assert seen[1] <= 2.5 * seen[0]
+
+
+def test_null_ids(spark):
+    df = spark.createDataFrame([(None, "a b c d"), (None, "A b c d"), (None, "a b\tc d"), (None, ""), (5, "x y z"), (None, "x y z"), (4, "X y z"), (4, "x y  z")], "doc_id long, text string")
+    got = neardup.near_duplicates(df, neardup.Settings(words=3, percent=85)).collect()
+    assert sum(r["kept"] for r in got if r["component_id"] is None and r["n_shingles"]) == 1
+    assert sorted((r["doc_id"], r["kept"]) for r in got if r["component_id"] == 4 and r["doc_id"]) == [(4, True), (4, True), (5, False)]
+    assert sum(r["first"] for r in got if r["component_id"] == 4) == 1
+    assert neardup.drop_near_duplicates(df, neardup.Settings(words=3, percent=85)).count() == 3
 
 
 def test_stage_keeps_one_row_and_all_columns(spark):
