@@ -3,12 +3,12 @@
 A line's tokens with digits in them are variable fields. The tree has a fixed
 depth: token count, then the leading tokens; that is a leaf. Within a leaf the
 commonest token of every position makes a pattern, and lines that agree with it
-at most positions are one template, whatever stands at the others. Lines that it
-leaves are grouped by bands of their further tokens (more bands than positions may
-differ, so lines of one template share a whole band) and the line nearest to each
-group's pattern makes a further template, again and again until none comes; any
-other line is a template of its own. A template that recurs in enough documents is
-dropped from all but the first of them.
+at most positions are one template, whatever stands at the others. Further leaves
+take two of a line's leading, middle and trailing tokens: there the commonest line
+(of ties, the greatest) is the pattern. So several templates that share a leaf are told apart, and one
+whose leading tokens vary is found, by what else they share. Any other line is a
+template of its own. A template that recurs in enough documents is dropped from
+all but the first of them.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from .common import materialise
 class Settings:
     """A template of ``long`` tokens or more is dropped if it is in ``docs_long``
     documents, a shorter one if in ``docs_short``; templates of a leaf are merged
-    where ``alike`` of the positions agree, from ``merged_from`` tokens on."""
+    where ``alike`` of the positions agree, from ``merged_from`` tokens on; ``depth``
+    tokens are leading, middle or trailing."""
 
     depth: int = 3
     long: int = 50
@@ -37,15 +38,18 @@ class Settings:
 
 
 def _lines(docs: DataFrame, s: Settings) -> DataFrame:
-    """(i, h, n, leaf, own, tokens, masked) of each line that isn't blank; ``leaf``
-    and ``own`` together are 128 bits of hash of the masked line."""
+    """(i, h, n, leaf, own, tokens, masked, middle, last) of each line that isn't
+    blank; ``leaf`` and ``own`` together are 128 bits of hash of the masked line."""
     rows = docs.select(F.col("doc_id").cast("long").alias("i"), F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
     line = rows.withColumn("line", F.trim("line")).where("line <> ''")
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"[^\s0-9]*+[0-9]\S*", s.field)).otherwise(F.col("line"))
     line = line.select("i", "h", "n", masked.alias("masked"))
     tokens = F.length("masked") - F.length(F.replace(F.col("masked"), F.lit(" "), F.lit(""))) + 1
     leaf = F.xxhash64(tokens, F.substring_index("masked", " ", s.depth))
-    return line.select("i", "h", "n", leaf.alias("leaf"), F.xxhash64("masked").alias("own"), tokens.alias("tokens"), "masked")
+    line = line.select("i", "h", "n", leaf.alias("leaf"), F.xxhash64("masked").alias("own"), tokens.alias("tokens"), "masked")
+    upto = f"substring_index(masked, ' ', CAST(floor(tokens / 2) AS INT) + {s.depth - 1})"
+    middle, last = (F.expr(f"xxhash64(substring_index({x}, ' ', -{s.depth}))") for x in (upto, "masked"))
+    return line.withColumns({"middle": middle, "last": last})
 
 
 def _enough(s: Settings):
@@ -53,101 +57,72 @@ def _enough(s: Settings):
     return F.when(F.col("tokens") >= s.long, s.docs_long).otherwise(s.docs_short)
 
 
-#: Leaves are first looked for by this many residues of their hash: a table of a
-#: fixed greatest size, which is broadcast so that other lines aren't shuffled.
+#: Lines are first looked for by this many residues of their hashes: tables of a
+#: fixed greatest size, which are broadcast so that other lines aren't shuffled.
 RESIDUES = 1 << 20
 
 
-def generalised(docs: DataFrame, templates: DataFrame, s: Settings) -> DataFrame:
-    """(leaf, own, form) of the lines that a pattern of their leaf covers, ``form``
-    is null for the first pattern; of leaves in which a template could recur often
-    enough at all."""
-    leaves = templates.where(F.col("tokens") >= s.merged_from).groupBy("leaf", "tokens").agg(F.count("*").alias("several"), F.sum("n").alias("n"))
-    leaves = materialise(leaves.where((F.col("several") > 1) & (F.col("n") >= _enough(s))).select("leaf"), "leaves")
+def _low(c: str):
     # by bits and without a filter, so that no null check computes a line's hash again
-    low = F.col("leaf").bitwiseAND(RESIDUES - 1).alias("residue")
-    residue = leaves.select(low).distinct()
-    # the words themselves, of these leaves only
-    lines = _lines(docs, s).select("*", low)
-    lines = lines.join(F.broadcast(residue), "residue", "left_semi").join(leaves, "leaf", "left_semi")
-    texts = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.first("masked").alias("masked"), F.count("*").alias("n")), "leaf-lines")
-    token = texts.select("leaf", "own", "tokens", F.posexplode(F.split("masked", " ")).alias("at", "token"))
-    agree = _agree(token, _modal(token, "leaf"), "leaf")
-    covered = agree.where(F.col("same") >= s.alike * F.col("tokens")).drop("tokens").join(texts, ["leaf", "own"])
-    # a pattern mixed of several templates may cover too few lines to recur: they stay for the next
-    covered = materialise(_open(covered, "leaf", s).select("leaf", "own", F.lit(None).cast("long").alias("form")), "generalised")
-    found = covered
-    while True:
-        texts = _open(texts.join(covered, ["leaf", "own"], "left_anti"), "leaf", s)
-        more = materialise(_open(texts.withColumn("form", F.explode(_bands(s))), "form", s), "line-bands")
-        if more.isEmpty():
-            return found
-        texts = materialise(texts, "leaf-lines")
-        covered = materialise(_further(more, s), "generalised")
-        if covered.isEmpty():
-            return found
-        found = found.union(covered)
-
-
-def _modal(token: DataFrame, group: str) -> DataFrame:
-    counted = token.groupBy(group, "at", "token").count()
-    return counted.groupBy(group, "at").agg(F.max(F.struct("count", "token"))["token"].alias("modal"))
-
-
-def _agree(token: DataFrame, pattern: DataFrame, group: str) -> DataFrame:
-    """(group, own, tokens, same): at how many positions lines agree with the pattern."""
-    return token.join(pattern, [group, "at"]).groupBy(group, "own", "tokens").agg(F.count_if(F.col("token") == F.col("modal")).alias("same"))
-
-
-def _open(texts: DataFrame, group: str, s: Settings) -> DataFrame:
-    """Lines of the groups in which a template could recur often enough."""
-    sums = texts.groupBy(group, "tokens").agg(F.count("*").alias("several"), F.sum("n").alias("total"))
-    return texts.join(sums.where((F.col("several") > 1) & (F.col("total") >= _enough(s))).select(group), group, "left_semi")
-
-
-def _bands(s: Settings):
-    """A hash for each band of a line's tokens beyond the leaf's: one band more
-    than positions that may differ."""
-    words, n = F.split("masked", " "), F.col("tokens") - s.depth
-    bands = (F.col("tokens") - F.ceil(F.round(F.col("tokens") * s.alike, 6)) + 1).cast("int")
-
-    def band(k):
-        start = F.floor(k * n / bands)
-        return F.xxhash64("leaf", k, F.array_join(F.slice(words, (start + s.depth + 1).cast("int"), (F.floor((k + 1) * n / bands) - start).cast("int")), " "))
-
-    return F.transform(F.sequence(F.lit(0), bands - 1), band)
-
-
-def _further(texts: DataFrame, s: Settings) -> DataFrame:
-    """(leaf, own, form) of the lines of groups (``form``) that agree with the line
-    nearest to their group's pattern, where these are enough; each line once."""
-    token = texts.select("form", "own", "tokens", F.posexplode(F.split("masked", " ")).alias("at", "token"))
-    nearest = _agree(token, _modal(token, "form"), "form").groupBy("form").agg(F.max(F.struct("same", "own"))["own"].alias("own"))
-    pattern = token.join(nearest, ["form", "own"]).select("form", "at", F.col("token").alias("modal"))
-    same = _agree(token, pattern, "form").where(F.col("same") >= s.alike * F.col("tokens")).select("form", "own")
-    member = materialise(texts.select("form", "leaf", "own", "tokens", "n").join(same, ["form", "own"]), "members")
-    total = member.groupBy("form", "tokens").agg(F.sum("n").alias("total"), F.count("*").alias("several"))
-    total = total.where((F.col("total") >= _enough(s)) & (F.col("several") > 1)).select("form", "total")
-    # a line goes to the template of most lines
-    return member.join(total, "form").groupBy("leaf", "own").agg(F.max_by("form", F.struct("total", "form")).alias("form"))
+    return F.col(c).bitwiseAND(RESIDUES - 1)
+
+
+def _open(lines: DataFrame, group: str, s: Settings) -> DataFrame:
+    """Groups of several lines in which a template could recur often enough."""
+    sums = lines.groupBy(group, "tokens").agg(F.count("*").alias("several"), F.sum("n").alias("total"))
+    return sums.where((F.col("several") > 1) & (F.col("total") >= _enough(s))).select(group)
+
+
+def generalised(docs: DataFrame, templates: DataFrame, s: Settings) -> DataFrame:
+    """(leaf, own, form, part) of the lines that patterns cover: ``form`` and
+    ``part`` name a pattern; of leaves in which a template could recur often enough."""
+    merged = templates.where(F.col("tokens") >= s.merged_from)
+    leaves = materialise(_open(merged, "leaf", s), "leaves")
+    pairs = F.array(F.xxhash64("leaf", "last"), F.xxhash64("leaf", "middle", F.lit(1)), F.xxhash64("tokens", "middle", "last", F.lit(2)))
+    keyed = merged.select("leaf", "own", "tokens", "n", F.explode(pairs).alias("form"))
+    twice = materialise(keyed.join(_open(keyed, "form", s), "form"), "pair-lines")
+    # the words themselves, of these lines only
+    by_leaf = leaves.select(_low("leaf").alias("residue")).distinct().withColumn("in_leaf", F.lit(True))
+    by_own = twice.select(_low("own").alias("rest")).distinct().withColumn("in_pair", F.lit(True))
+    lines = _lines(docs, s).select("leaf", "own", "tokens", "masked", _low("leaf").alias("residue"), _low("own").alias("rest"))
+    lines = lines.join(F.broadcast(by_leaf), "residue", "left").join(F.broadcast(by_own), "rest", "left").where("in_leaf OR in_pair")
+    texts = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.first("masked").alias("masked")), "leaf-lines")
+    token = texts.join(leaves, "leaf", "left_semi").select("leaf", "own", "tokens", F.posexplode(F.split("masked", " ")).alias("at", "token"))
+    counted = token.groupBy("leaf", "at", "token").count()
+    modal = counted.groupBy("leaf", "at").agg(F.max(F.struct("count", "token"))["token"].alias("modal"))
+    agree = token.join(modal, ["leaf", "at"]).groupBy("leaf", "own", "tokens").agg(F.count_if(F.col("token") == F.col("modal")).alias("same"))
+    covered = materialise(agree.where(F.col("same") >= s.alike * F.col("tokens")).select("leaf", "own"), "covered")
+    # pairs of parts: the commonest line is the pattern
+    held = twice.join(texts.select("leaf", "own", "masked"), ["leaf", "own"])
+    pattern = held.groupBy("form").agg(F.max(F.struct("n", "masked"))["masked"].alias("pattern"))
+    member = held.join(pattern, "form")
+    words = lambda c: F.split(c, " ")
+    same = F.size(F.filter(F.zip_with(words("masked"), words("pattern"), lambda x, y: x == y), lambda x: x))
+    member = member.where(same >= s.alike * F.col("tokens")).select("form", "leaf", "own", "tokens", "n")
+    member = materialise(member.join(covered.withColumn("in_leaf", F.lit(True)), ["leaf", "own"], "left"), "members")
+    # a pattern all of whose lines one leaf's pattern covers says nothing new
+    about = member.groupBy("form", "tokens").agg(F.count("*").alias("several"), F.sum("n").alias("total"), F.count("in_leaf").alias("held"), F.min("leaf").alias("low"), F.max("leaf").alias("high"))
+    new = about.where((F.col("several") > 1) & (F.col("total") >= _enough(s)) & ((F.col("held") < F.col("several")) | (F.col("low") != F.col("high")))).select("form")
+    further = member.join(new, "form", "left_semi").select("leaf", "own", "form", F.lit(1).cast("long").alias("part"))
+    return covered.select("leaf", "own", F.col("leaf").alias("form"), F.lit(0).cast("long").alias("part")).union(further)
 
 
 def lines_to_drop(docs: DataFrame, s: Settings) -> DataFrame:
     """(i, h, drop): for each document that has any, the numbers of its lines to
     drop. ``h`` tells rows of one id apart."""
     lines = materialise(_lines(docs, s).drop("masked"), "lines")
-    templates = materialise(lines.groupBy("leaf", "own", "tokens").agg(F.count("*").alias("n")), "templates")
-    general = generalised(docs, templates, s).withColumn("covered", F.lit(True))
+    templates = lines.groupBy("leaf", "own", "tokens").agg(F.count("*").alias("n"), F.min("middle").alias("middle"), F.min("last").alias("last"))
+    templates = materialise(templates, "templates")
+    general = materialise(generalised(docs, templates, s), "generalised")
     # most lines are alone: only templates that may be dropped go on
-    alone = templates.where(F.col("n") >= _enough(s)).select("leaf", "own", F.lit(None).cast("long").alias("form"), F.lit(False).alias("covered"))
-    asked = materialise(general.union(alone).groupBy("leaf", "own").agg(F.max("covered").alias("covered"), F.max("form").alias("form")), "asked-templates")
-    named = lines.join(asked, ["leaf", "own"]).withColumn("own", F.when(F.col("covered"), F.col("form")).otherwise(F.col("own"))).drop("covered", "form")
-    named = materialise(named, "named-lines")
+    alone = templates.where(F.col("n") >= _enough(s)).join(general.where("part = 0"), ["leaf", "own"], "left_anti")
+    asked = materialise(general.union(alone.select("leaf", "own", F.col("leaf").alias("form"), F.col("own").alias("part"))), "asked-templates")
+    named = materialise(lines.join(asked, ["leaf", "own"]).select("form", "part", "tokens", "i", "h", F.col("n").alias("n")), "named-lines")
     # one row for a document and template, then summed before the shuffle
-    once = named.select("leaf", "own", "tokens", "i", "h").distinct()
-    often = once.groupBy("leaf", "own", "tokens").agg(F.count("*").alias("docs"), F.min("i").alias("first")).where(F.col("docs") >= _enough(s))
-    often = materialise(often.select(F.col("leaf").alias("l"), F.col("own").alias("o"), "first"), "recurring")
-    drop = named.join(often, (F.col("leaf") == F.col("l")) & F.col("own").eqNullSafe(F.col("o"))).where(~F.col("i").eqNullSafe(F.col("first")))
+    once = named.select("form", "part", "tokens", "i", "h").distinct()
+    often = once.groupBy("form", "part", "tokens").agg(F.count("*").alias("docs"), F.min("i").alias("first")).where(F.col("docs") >= _enough(s))
+    often = materialise(often.select("form", "part", "first"), "recurring")
+    drop = named.join(often, ["form", "part"]).where(~F.col("i").eqNullSafe(F.col("first")))
     return materialise(drop.groupBy("i", "h").agg(F.collect_set("n").alias("drop")), "dropped-lines")
 
 
@@ -156,9 +131,11 @@ def drop_lines(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     ``_dropped`` (counts).
 
     The document of the least id keeps a template's lines; other columns pass
-    through. A null text is left out (it has no line), an empty one stays; blank
-    lines are never dropped; rows of a null id are treated as later ones; lines
-    repeated inside one document count once and go or stay together.
+    through, but for columns of these two names, which are taken over. A null text
+    is left out (it has no line), an empty one stays; blank lines are never dropped;
+    rows of a null id are treated as later ones; rows that repeat an id and a text
+    are one document; lines repeated inside one document count once and go or stay
+    together. An empty table gives no rows.
     """
     s = settings or Settings()
     docs = docs.drop("_lines", "_dropped").where("text IS NOT NULL")

@@ -60,18 +60,35 @@ WITH line AS (
   SELECT n, lead, slot, tok AS modal FROM (
     SELECT n, lead, slot, tok, row_number() OVER (PARTITION BY n, lead, slot ORDER BY count(*) DESC, tok DESC) AS r
     FROM token GROUP BY n, lead, slot, tok) WHERE r = 1
-), general AS (
+), covered AS (
   SELECT n, lead, m FROM token JOIN modal USING (n, lead, slot)
   GROUP BY n, lead, m HAVING sum(CASE WHEN tok = modal THEN 1 ELSE 0 END) >= 0.8 * n
+), often AS (
+  SELECT n, lead, m, count(*) AS times, string_split(m, ' ') AS w FROM keyed WHERE n >= 5 GROUP BY n, lead, m
+), parts AS (
+  SELECT *, array_to_string(w[-3:], ' ') AS tail, array_to_string(w[n // 2 : n // 2 + 2], ' ') AS mid FROM often
+), pair AS (
+  SELECT n, m, w, times, 'lead, tail' AS which, lead AS p, tail AS q FROM parts
+  UNION ALL SELECT n, m, w, times, 'lead, mid', lead, mid FROM parts
+  UNION ALL SELECT n, m, w, times, 'mid, tail', mid, tail FROM parts
+), open_pair AS (
+  SELECT n, which, p, q FROM pair GROUP BY n, which, p, q
+  HAVING count(*) > 1 AND sum(times) >= CASE WHEN n >= 50 THEN 2 ELSE 5 END
+), general AS (
+  SELECT n, m, 'leaf' AS which, lead AS p, '' AS q FROM covered
+  UNION ALL
+  SELECT x.n, x.m, x.which, x.p, x.q FROM pair x JOIN open_pair o USING (n, which, p, q)
+  JOIN (SELECT n, which, p, q, w AS pattern FROM pair
+        QUALIFY row_number() OVER (PARTITION BY n, which, p, q ORDER BY times DESC, m DESC) = 1) y USING (n, which, p, q)
+  WHERE len(list_filter(list_zip(x.w, y.pattern), lambda z: z[1] = z[2])) >= 0.8 * x.n
 ), named AS (
-  SELECT k.doc_id, k.text, k.pos, k.n, k.lead, CASE WHEN g.m IS NULL THEN k.m END AS own
-  FROM keyed k LEFT JOIN general g ON k.n = g.n AND k.lead = g.lead AND k.m = g.m
+  SELECT k.doc_id, k.text, k.pos, k.n, g.which, g.p, g.q FROM keyed k JOIN general g ON k.n = g.n AND k.m = g.m
+  UNION ALL SELECT doc_id, text, pos, n, 'own', m, '' FROM keyed
 ), recurring AS (
-  SELECT n, lead, own, min(doc_id) AS first_id FROM (SELECT DISTINCT n, lead, own, doc_id, text FROM named)
-  GROUP BY n, lead, own HAVING count(*) >= CASE WHEN n >= 50 THEN 2 ELSE 5 END
+  SELECT n, which, p, q, min(doc_id) AS first_id FROM (SELECT DISTINCT n, which, p, q, doc_id, text FROM named)
+  GROUP BY n, which, p, q HAVING count(*) >= CASE WHEN n >= 50 THEN 2 ELSE 5 END
 ), dropped AS (
-  SELECT x.doc_id, x.text, x.pos FROM named x JOIN recurring r
-    ON x.n = r.n AND x.lead = r.lead AND x.own IS NOT DISTINCT FROM r.own
+  SELECT DISTINCT x.doc_id, x.text, x.pos FROM named x JOIN recurring r USING (n, which, p, q)
   WHERE x.doc_id <> r.first_id
 ), kept AS (
   SELECT l.doc_id, l.text, string_agg(l.part, chr(10) ORDER BY l.pos) FILTER (WHERE d.pos IS NULL) AS clean,
