@@ -28,6 +28,8 @@ from .common import filesystem, materialise, scratch, text_steps, write_file
 MAGIC = b"WARC/1.0\r\n"
 #: Scanning reads this far beyond its range at first, and further while a head goes on.
 HEAD_BYTES = 64 << 10
+#: What a task reads at once, and the least that a further task is worth.
+TASK_BYTES = 8 << 20
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
@@ -126,14 +128,14 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: in
     return materialise(rows.mapInArrow(write, "path string, bytes long, records long"), "warc-manifest")
 
 
-def _candidates(data: bytes, start: int, own: int) -> list[tuple[int, int]]:
-    """(offset, offset of the successor) of what looks like a head in the first
-    ``own`` bytes of ``data``, which begins at ``start`` in its file."""
-    out, at = [], data.find(MAGIC)
-    while 0 <= at < own:
+def _candidates(data: bytes, first: int, start: int, own: int) -> list[tuple[int, int]]:
+    """(offset, offset of the successor) of what looks like a head in the ``own``
+    bytes from ``start`` of a file, of which ``data`` is the part from ``first``."""
+    out, at, end = [], data.find(MAGIC, start - first), start - first + own
+    while 0 <= at < end:
         if head := parse_head(data, at):
-            out.append((start + at, start + at + head[1] + int(head[0]["content-length"]) + 4))
-        at = data.find(MAGIC, at + 1)
+            out.append((first + at, first + at + head[1] + int(head[0]["content-length"]) + 4))
+        at = data.find(MAGIC, at + 1, end + len(MAGIC) - 1)
     return out
 
 
@@ -149,39 +151,60 @@ def leave(offsets: np.ndarray, successors: np.ndarray, end: int) -> np.ndarray:
         out[inside] = np.where(offsets[k] == out[inside], out[k], -1)
 
 
+def _tasks(files: DataFrame, range_bytes: int) -> int:
+    """Tasks for all bytes of the archives: by bytes, however small the ranges are."""
+    size = files.agg(F.sum("bytes")).first()[0] or 0
+    least = min(files.sparkSession.sparkContext.defaultParallelism, -(-size // range_bytes))
+    return max(1, min(max(size // max(range_bytes, TASK_BYTES), least), 20_000))
+
+
 def find_records(files: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
     """(path, offset, successor) of the records that a chain from the start of
     their file reaches. ``files``: path, bytes."""
     spans = files.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
-    n = max(1, min(spans.count(), 20_000))
+    unit = max(range_bytes, TASK_BYTES)
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, handle, first, data = None, None, 0, b""
         for frame in frames:
+            made = []
             for uri, size, start in frame.itertuples(index=False):
-                fs, path = filesystem(uri)
+                if uri != name:
+                    fs, path = filesystem(uri)
+                    name, handle, first, data = uri, fs.open_input_file(path), 0, b""
                 own = min(range_bytes, size - start)
-                with fs.open_input_file(path) as f:
-                    f.seek(start)
-                    data = f.read(min(own + HEAD_BYTES, size - start))
-                    # a head may begin in this range and end anywhere after it
-                    last = data.rfind(MAGIC, 0, own + len(MAGIC) - 1)
-                    while last >= 0 and start + len(data) < size and data.find(b"\r\n\r\n", last) < 0:
-                        data += f.read(min(len(data), size - start - len(data)))
-                found = np.array(_candidates(data, start, own), np.int64).reshape(-1, 2)
-                # a link past the end of the file leads nowhere
-                after = np.where(found[:, 1] <= size, found[:, 1], -1)
-                yield pd.DataFrame({"path": uri, "start": start, "offset": found[:, 0], "successor": after, "leave": leave(found[:, 0], after, start + own)})
-
-    links = materialise(spans.repartition(n).mapInPandas(scan, "path string, start long, offset long, successor long, leave long"), "warc-links")
-    # pointer jumping over ranges, from the start of each file
-    reached = links.where("offset = 0").select("path", "offset")
-    jump = links.where("leave >= 0").select("path", "offset", F.col("leave").alias("to"))
-    entered = reached
+                want = min(start + own + HEAD_BYTES, size)
+                if not first <= start <= want <= first + len(data):
+                    # neighbouring ranges are read at once
+                    handle.seek(start)
+                    first, data = start, handle.read(min(max(unit, want - start), size - start))
+                # a head may begin in this range and end anywhere after it
+                last = data.rfind(MAGIC, start - first, start - first + own + len(MAGIC) - 1)
+                while last >= 0 and first + len(data) < size and data.find(b"\r\n\r\n", last) < 0:
+                    handle.seek(first + len(data))
+                    data += handle.read(min(len(data), size - first - len(data)))
+                found = np.array(_candidates(data, first, start, own), np.int64).reshape(-1, 2)
+                if len(found):
+                    # a link past the end of the file leads nowhere
+                    after = np.where(found[:, 1] <= size, found[:, 1], -1)
+                    made.append(pd.DataFrame({"path": uri, "start": start, "offset": found[:, 0], "successor": after, "leave": leave(found[:, 0], after, start + own)}))
+            if made:
+                yield pd.concat(made)
+
+    placed = spans.repartition(_tasks(files, range_bytes), "path", F.floor(F.col("start") / unit)).sortWithinPartitions("path", "start")
+    links = materialise(placed.mapInPandas(scan, "path string, start long, offset long, successor long, leave long"), "warc-links")
+    # pointer jumping over ranges, from the start of each file, by places where chains enter a range
+    entered = links.where("offset = 0").select("path", "offset")
+    places = links.where("leave >= 0").select("path", F.col("leave").alias("offset")).union(entered).distinct()
+    jump = links.where("leave >= 0").join(places, ["path", "offset"], "left_semi").select("path", "offset", F.col("leave").alias("to"))
+    jump = materialise(jump, "warc-jump")
     ranges = files.agg(F.max("bytes")).first()[0] or 0
     for _ in range(int(np.ceil(np.log2(max(1, -(-ranges // range_bytes)))))):
         step = entered.join(jump, ["path", "offset"]).select("path", F.col("to").alias("offset"))
         entered = materialise(entered.union(step).distinct(), "warc-entered")
         jump = materialise(jump.join(jump.select("path", F.col("offset").alias("to"), F.col("to").alias("far")), ["path", "to"]).select("path", "offset", F.col("far").alias("to")), "warc-jump")
+        if jump.isEmpty():
+            break
     # inside each range, the chain from where it is entered
     entries = entered.join(links, ["path", "offset"]).select("path", "start", F.col("offset").alias("entry"))
 
@@ -208,8 +231,8 @@ def read_warc(files: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
 
     For a response both payload columns are computed from the bytes read, and
     must agree with the head (else the row says ``corrupt``); a revisit's are
-    its head's. Where ``files`` tell how many records were written, another
-    number read is an error.
+    its head's. A file whose chain of records stops before its end is an error, and
+    so is another number of records than ``files`` say were written, if they do.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,16 +259,18 @@ def read_warc(files: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
             kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "path", "offset"])
 
-    found = find_records(files, range_bytes).select("path", "offset", "successor")
+    found = materialise(find_records(files, range_bytes), "warc-found")
     if "records" in files.columns:
-        found = materialise(found, "warc-found")
         written, read_back = files.agg(F.sum("records")).first()[0] or 0, found.count()
         if written != read_back:
             raise ValueError(f"{written} records were written, but {read_back} are found")
-    # a task for each range: these rows are narrow, but what they name is not
-    size = files.agg(F.sum("bytes")).first()[0] or 0
-    n = max(1, min(-(-size // range_bytes), 20_000))
-    found = found.repartition(n, "path", F.floor(F.col("offset") / range_bytes)).sortWithinPartitions("path", "offset")
+    last = found.groupBy("path").agg(F.max("successor").alias("last"))
+    short = files.where("bytes > 0").join(last, "path", "left").where(~F.col("last").eqNullSafe(F.col("bytes"))).select("path", "last", "bytes").first()
+    if short:
+        raise ValueError(f"the records of {short['path']} end at {short['last']} of {short['bytes']} bytes")
+    # these rows are narrow, but what they name is not: tasks by bytes
+    unit = max(range_bytes, TASK_BYTES)
+    found = found.repartition(_tasks(files, range_bytes), "path", F.floor(F.col("offset") / unit)).sortWithinPartitions("path", "offset")
     return found.mapInArrow(read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, path string, offset long")
 
 

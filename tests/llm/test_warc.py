@@ -62,6 +62,24 @@ def test_a_lost_record_is_an_error(spark):
         warc.read_warc(files)
 
 
+def test_a_chain_that_stops_is_an_error(spark):
+    rows = [(i, f"u{i}", f"text {i}", "p") for i in range(3)]
+    files = warc.write_warc(spark.createDataFrame(rows, PAGES).coalesce(1), common.scratch(spark, "w"))
+    path = files.first()["path"].removeprefix("file://")
+    with open(path, "ab") as f:
+        f.write(b"junk")
+    with pytest.raises(ValueError, match="end at"):
+        warc.read_warc(files.select("path", (files["bytes"] + 4).alias("bytes")))
+
+
+def test_a_head_of_many_megabytes(spark):
+    rows = [(1, "u1", "one", "p"), (2, "data:" + "x" * 10_000_000, "two", "p"), (3, "u3", "three", "p")]
+    files = warc.write_warc(spark.createDataFrame(rows, PAGES).coalesce(1), common.scratch(spark, "w"))
+    found = warc.read_warc(files).collect()
+    _check(found, rows)
+    assert {len(r["url"]) for r in found} == {2, 10_000_005}
+
+
 def test_small_payloads_are_responses(spark):
     pages, rows = _pages(spark)
     _check(warc.archive(pages, least_bytes=5).collect(), rows, least=5)
