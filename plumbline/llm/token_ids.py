@@ -3,10 +3,13 @@
 A byte-pair tokenizer encodes each pre-token on its own, and no pre-token
 crosses a place where one space or line end stands between two other
 characters. So a text is cut there, and each distinct piece is given to the
-tokenizers library once per worker; its ids are then looked up by hash, all
-pieces of a batch at once. A text with other white space (runs, tabs, spaces at
-the end) goes to the library whole where that matters. ``tests/llm`` compares
-the ids with the library's own for whole texts.
+tokenizers library once per worker; its ids are then looked up, all pieces of a
+batch at once. A piece is found by hash and taken only if it is the same bytes.
+A text with other white space (runs, tabs, spaces at the end) goes to the library
+whole where that matters, and so does one with a special token's string, which is
+that token, as the library has it. Very long texts are cut at such places first,
+so that a step's memory has a bound. ``tests/llm`` compares the ids with the
+library's own for whole texts.
 """
 
 from __future__ import annotations
@@ -17,11 +20,15 @@ import re
 
 import numpy as np
 
-from .words import hash_runs, join, segments, spread
+from .words import equal_runs, hash_runs, join, segments, spread
 
 #: Pieces kept per worker; beyond it the table starts anew.
 KEPT_PIECES = 1_200_000
+#: A longer text is encoded in parts of about this size.
+PART_BYTES = 4 << 20
 _ODD = re.compile(r"\s\s|[^\S \n]|᠎|\s\Z")
+#: One space or line end between characters that are no white space, in UTF-8.
+_BETWEEN = re.compile(rb"(?<=[!-~\x80-\xbf])(?<!\xc2[\x85\xa0])(?<![\xe1-\xe3][\x80\x81\x9a\xa0].)[ \n](?=[!-~\xc3-\xe0\xe4-\xf4])", re.S)
 _SPACE = np.uint64(0x9E3779B97F4A7C15)
 _open: dict[str, "Ids"] = {}
 
@@ -44,44 +51,39 @@ class Ids:
             about = json.load(f)
         #: Whether a space before a word belongs to it. Otherwise the file drops white space.
         self.spaces = "</w>" != about["model"].get("end_of_word_suffix")
-        self.plain, self.cut = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.library = Tokenizer.from_file(path)
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in about["added_tokens"]))
         self.mark = about["added_tokens"][-1]["content"]
-        self.mark_id = self.plain.token_to_id(self.mark)
-        self.vocabulary = self.plain.get_vocab_size()
-        self.line_end = self.whole("\n")
+        self.mark_id = self.library.token_to_id(self.mark)
+        self.vocabulary = self.library.get_vocab_size()
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.where, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.keys, self.flat, self.raw = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+        #: Of each key: where its ids and its bytes are, and whether a space leads.
+        self.where, self.size, self.at, self.length = (np.zeros(0, np.int64) for _ in range(4))
+        self.lead = np.zeros(0, bool)
 
     def whole(self, text: str) -> np.ndarray:
         """Ids of one text, by the library alone."""
-        return np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        if len(self.keys) + len(keys) > KEPT_PIECES:
-            self._clear()
-        odd = {i for i, p in enumerate(pieces) if "<|" in p}
-        some = [i for i in range(len(pieces)) if i not in odd]
+    def _learn(self, keys: np.ndarray, leads: np.ndarray, pieces: list[bytes]) -> None:
+        said = [(b" " if x else b"") + p for x, p in zip(leads.tolist(), pieces, strict=True)]
         ids: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(pieces)
-        for i in odd:
-            ids[i] = self.whole(pieces[i])
-        for a in range(0, len(some), 256):
-            part = some[a : a + 256]
-            out = np.array(self.cut.encode_batch_fast([self.mark.join(pieces[i] for i in part)], add_special_tokens=False)[0].ids, np.uint32)
-            for i, x in zip(part, np.split(out, np.flatnonzero(out == self.mark_id)), strict=True):
-                ids[i] = x[len(x) and int(x[0] == self.mark_id) :]
-        size = np.array([len(x) for x in ids], np.int64)
-        new = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        while self.used + len(new) > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.flat[self.used : self.used + len(new)] = new
-        where = self.used + segments(size)[:-1]
-        self.used += len(new)
-        at = np.searchsorted(self.keys, keys)
-        self.keys, self.where, self.size = np.insert(self.keys, at, keys), np.insert(self.where, at, where), np.insert(self.size, at, size)
+        for a in range(0, len(said), 256):
+            text = self.mark.join(p.decode() for p in said[a : a + 256])
+            out = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            for i, x in enumerate(np.split(out, np.flatnonzero(out == self.mark_id))):
+                ids[a + i] = x[len(x) and int(x[0] == self.mark_id) :]
+        size, length = (np.array([len(x) for x in y], np.int64) for y in (ids, pieces))
+        where, at = len(self.flat) + segments(size)[:-1], len(self.raw) + segments(length)[:-1]
+        self.flat = np.concatenate([self.flat, *ids])
+        self.raw = np.concatenate((self.raw, np.frombuffer(b"".join(pieces), np.uint8)))
+        put = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, put, keys)
+        for name, new in (("where", where), ("size", size), ("at", at), ("length", length), ("lead", leads)):
+            setattr(self, name, np.insert(getattr(self, name), put, new))
 
     def _found(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -92,13 +94,19 @@ class Ids:
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and where each text's
         begin (with the end)."""
+        if max(map(len, texts), default=0) <= PART_BYTES:
+            return self._encode(texts)
+        ids = [np.concatenate([self._encode([p])[0] for p in cut(t)]) for t in texts]
+        return np.concatenate(ids), segments(np.array([len(x) for x in ids]))
+
+    def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         slow: dict[int, np.ndarray] = {}
-        if self.spaces:
-            for i, t in enumerate(texts):
-                if _ODD.search(s := t.decode()):
-                    slow[i] = self.whole(s)
-            texts = [b"" if i in slow else t for i, t in enumerate(texts)]
-        buf, at = join(texts)
+        for i, t in enumerate(texts):
+            s = t.decode()
+            if self.spaces and _ODD.search(s) or self.special.search(s):
+                slow[i] = self.whole(s)
+        plain = [b"" if i in slow else t for i, t in enumerate(texts)] if slow else texts
+        buf, at = join(plain)
         space, line = buf == 32, buf == 10
         body = ~(space | line)
         first = body.copy()
@@ -125,12 +133,30 @@ class Ids:
             new = np.arange(len(each))
         if len(new):
             raw = buf.tobytes()
-            self._learn(each[new], [(" " if lead[i] else "") + raw[starts[i] : ends[i]].decode() for i in where[new]])
-        place = np.searchsorted(self.keys, each)
-        size = self.size[place][back]
-        ids = self.flat[spread(self.where[place][back], size)]
-        of = segments(size)[np.searchsorted(starts, at)]
+            self._learn(each[new], lead[where[new]], [raw[starts[i] : ends[i]] for i in where[new]])
+        place = np.searchsorted(self.keys, each)[back]
+        of = np.searchsorted(starts, at)
+        # up to eight bytes a hash of one length has one word only
+        length = ends - starts
+        other = (self.length[place] != length) | (self.lead[place] != lead)
+        far = np.flatnonzero((length > 8) & ~other)
+        other[far] = ~equal_runs(buf, starts[far], self.raw, self.at[place[far]], length[far])
+        for i in np.unique(np.searchsorted(of, np.flatnonzero(other), "right") - 1).tolist():
+            slow[i] = self.whole(texts[i].decode())
+        size = self.size[place]
+        ids = self.flat[spread(self.where[place], size)]
+        of = segments(size)[of]
         if not slow:
             return ids, of
         parts = [slow[i] if i in slow else ids[of[i] : of[i + 1]] for i in range(len(texts))]
         return np.concatenate(parts), segments(np.array([len(p) for p in parts]))
+
+
+def cut(text: bytes, size: int = PART_BYTES) -> list[bytes]:
+    """A text in parts of about ``size`` bytes that are encoded alike on their own:
+    each but the first begins with a space or line end between two other characters."""
+    out, a = [], 0
+    while len(text) - a > size and (m := _BETWEEN.search(text, a + size)):
+        out.append(text[a : m.start()])
+        a = m.start()
+    return [*out, text[a:]]

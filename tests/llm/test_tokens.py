@@ -8,21 +8,50 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from plumbline.llm import common, packing, tokenfile
-from plumbline.llm.token_ids import Ids
+from plumbline.llm import common, packing, token_ids, tokenfile
+from plumbline.llm.token_ids import Ids, cut
 
 ODD = ["", " ", "\n", " a b", "a  b", "a\n\nb ", "tab\tand nbsp", "it's 'S <|endoftext|> x<|endoftext|>", "é é ΣΑΣ İ", "a ́b", "12345 !!! ...", "　x", "long" * 3000, "�\x00\x1c y", "a \n b", "ﬁ ½"]
 
 
-@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
+#: Two words of 1,024 characters whose polynomial hashes modulo 2 ** 64 are equal.
+TWINS = ["".join("ab"[(i.bit_count() + k) % 2] for i in range(1024)) for k in (0, 1)]
+
+
+def _library(name):
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+def _same(coder, library, texts):
+    ids, of = coder.encode([t.encode() for t in texts])
+    for i, t in enumerate(texts):
+        assert ids[of[i] : of[i + 1]].tolist() == library.encode(t, add_special_tokens=False).ids, repr(t[:50])
+
+
+@pytest.mark.parametrize("name", FILES)
 def test_pieces_give_the_librarys_ids(spark, sf, name):
     coder = Ids(public_tokenizers.path(name))
-    texts = ODD + [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(60).collect()]
+    texts = ODD + TWINS + [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(60).collect()]
     for _ in range(2):
-        ids, of = coder.encode([t.encode() for t in texts])
-        for i, t in enumerate(texts):
-            assert ids[of[i] : of[i + 1]].tolist() == coder.plain.encode(t, add_special_tokens=False).ids, repr(t[:50])
+        _same(coder, _library(name), texts)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_equal_hashes_of_different_pieces(monkeypatch, name):
+    monkeypatch.setattr(token_ids, "hash_runs", lambda buf, a, b: np.where(b - a > 8, 7, buf[a]).astype(np.uint64))
+    _same(Ids(public_tokenizers.path(name)), _library(name), [*TWINS, "a considerable difference, comparably", "b", "an a to tools", "difference"])
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_long_texts_in_parts(monkeypatch, name):
+    monkeypatch.setattr(token_ids, "PART_BYTES", 40)
+    monkeypatch.setattr(token_ids, "cut", lambda t: cut(t, 40))
+    texts = [*ODD[:8], "é\u00a0 x \u3000 y \u2003 z" * 30, "one  two\n\nthree four\tfive six's seven\n eight " * 20, "plain words of a text, and 12 more.\n" * 30]
+    assert len(cut(texts[-1].encode(), 40)) > 5
+    _same(Ids(public_tokenizers.path(name)), _library(name), texts)
 
 
 def test_any_token_without_its_neighbours():
@@ -53,7 +82,7 @@ def test_token_files(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     want, at = {}, 0
     for r in docs.orderBy("doc_id").collect():
-        ids = np.array([*coder.plain.encode(r["text"], add_special_tokens=False).ids, 0], "<u4")
+        ids = np.array([*coder.library.encode(r["text"], add_special_tokens=False).ids, 0], "<u4")
         want[r["doc_id"]] = (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     assert {r["doc_id"]: tuple(r)[1:] for r in tokenfile.token_files(docs, path).collect()} == want
@@ -83,7 +112,7 @@ def test_packing(spark, sf):
     coder = Ids(path)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = packing.pack(docs, path, length=256).collect()
-    ids = {r["doc_id"]: np.array([*coder.plain.encode(r["text"], add_special_tokens=False).ids, 0], "<u4") for r in docs.collect()}
+    ids = {r["doc_id"]: np.array([*coder.library.encode(r["text"], add_special_tokens=False).ids, 0], "<u4") for r in docs.collect()}
     back: dict[int, int] = {}
     places: dict[int, list] = {}
     for r in got:
