@@ -40,6 +40,22 @@ def opened(path: str) -> "Ids":
     return _open[path]
 
 
+_GAP = np.zeros(256, bool)
+_GAP[[32, 10]] = True
+#: Bytes that are white space other than those, or begin such a character with a byte of _THEN.
+_OTHER, _BEGINS, _THEN = (np.isin(np.arange(256), x) for x in ([9, 11, 12, 13, 28, 29, 30, 31], [0xC2, 0xE1, 0xE2, 0xE3], [0x80, 0x81, 0x85, 0x9A, 0xA0]))
+
+
+def _perhaps_odd(buf: np.ndarray, at: np.ndarray) -> list[int]:
+    """The joined texts that may hold white space other than single spaces and
+    line ends between characters: all that do, and few others."""
+    gap = _GAP[buf]
+    odd = _OTHER[buf]
+    # the space after a text shows white space that ends it
+    odd[:-1] |= gap[:-1] & gap[1:] | _BEGINS[buf[:-1]] & _THEN[buf[1:]]
+    return np.unique(np.searchsorted(at, np.flatnonzero(odd), "right") - 1).tolist()
+
+
 class Ids:
     """Ids of texts for one tokenizer file of the tokenizers library."""
 
@@ -52,7 +68,7 @@ class Ids:
         #: Whether a space before a word belongs to it. Otherwise the file drops white space.
         self.spaces = "</w>" != about["model"].get("end_of_word_suffix")
         self.library = Tokenizer.from_file(path)
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in about["added_tokens"]))
+        self.special = [t["content"].encode() for t in about["added_tokens"]]
         self.mark = about["added_tokens"][-1]["content"]
         self.mark_id = self.library.token_to_id(self.mark)
         self.vocabulary = self.library.get_vocab_size()
@@ -69,16 +85,21 @@ class Ids:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _learn(self, keys: np.ndarray, leads: np.ndarray, pieces: list[bytes]) -> None:
-        said = [(b" " if x else b"") + p for x, p in zip(leads.tolist(), pieces, strict=True)]
-        ids: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(pieces)
-        for a in range(0, len(said), 256):
-            text = self.mark.join(p.decode() for p in said[a : a + 256])
+        said = [b" " + p if x else p for x, p in zip(leads.tolist(), pieces, strict=True)]
+        ids, where, size, used = [self.flat], [], [], len(self.flat)
+        for a in range(0, len(said), 512):
+            text = self.mark.encode().join(said[a : a + 512]).decode()
             out = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            for i, x in enumerate(np.split(out, np.flatnonzero(out == self.mark_id))):
-                ids[a + i] = x[len(x) and int(x[0] == self.mark_id) :]
-        size, length = (np.array([len(x) for x in y], np.int64) for y in (ids, pieces))
-        where, at = len(self.flat) + segments(size)[:-1], len(self.raw) + segments(length)[:-1]
-        self.flat = np.concatenate([self.flat, *ids])
+            # a piece's ids are those between two marks
+            edge = np.concatenate(([-1], np.flatnonzero(out == self.mark_id), [len(out)]))
+            ids.append(out)
+            where.append(edge[:-1] + 1 + used)
+            size.append(np.diff(edge) - 1)
+            used += len(out)
+        where, size = np.concatenate(where), np.concatenate(size)
+        length = np.array([len(x) for x in pieces], np.int64)
+        at = len(self.raw) + segments(length)[:-1]
+        self.flat = np.concatenate(ids)
         self.raw = np.concatenate((self.raw, np.frombuffer(b"".join(pieces), np.uint8)))
         put = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, put, keys)
@@ -100,13 +121,13 @@ class Ids:
         return np.concatenate(ids), segments(np.array([len(x) for x in ids]))
 
     def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        slow: dict[int, np.ndarray] = {}
-        for i, t in enumerate(texts):
-            s = t.decode()
-            if self.spaces and _ODD.search(s) or self.special.search(s):
-                slow[i] = self.whole(s)
-        plain = [b"" if i in slow else t for i, t in enumerate(texts)] if slow else texts
-        buf, at = join(plain)
+        buf, at = join(texts)
+        whole = {i for i, t in enumerate(texts) if any(x in t for x in self.special)}
+        if self.spaces:
+            whole |= {i for i in _perhaps_odd(buf, at) if _ODD.search(texts[i].decode())}
+        slow = {i: self.whole(texts[i].decode()) for i in whole}
+        if slow:
+            buf, at = join([b"" if i in slow else t for i, t in enumerate(texts)])
         space, line = buf == 32, buf == 10
         body = ~(space | line)
         first = body.copy()
