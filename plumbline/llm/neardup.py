@@ -20,10 +20,8 @@ and small stars.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import math
-import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +36,8 @@ from .words import mix, spread
 
 #: Sets whose samples are held at once, however short their texts are.
 SETS = 512
+#: Classes a side of the squares in which a bucket's pairs are looked at.
+BLOCK = 1500
 
 
 @dataclass(frozen=True)
@@ -60,18 +60,20 @@ class Settings:
         return math.ceil(math.log(self.miss) / math.log(1 - (self.percent / 100) ** self.rows))
 
 
-def most_odd(a: Column, b: Column, s: Settings) -> Column:
+def most_odd(a: np.ndarray, b: np.ndarray, s: Settings) -> np.ndarray:
     """Most odd bits of two sketches of sets of these sizes that may be a link.
 
     Two sets at the threshold have c = percent * (a + b) / (100 + percent) hashes
     in common; of those a sample of the larger set holds a hypergeometric number.
-    Folding never makes more bits odd than samples differ.
+    Folding never makes more bits odd than samples differ. Sizes too far apart for
+    a link give less than no bit.
     """
-    most, k = F.greatest(a, b).cast("double"), float(s.samples)
-    part = F.least(F.ceil(s.percent * (a + b) / (100 + s.percent)) / most, F.lit(1.0))
-    held = F.least(most, F.lit(k))
-    spread = F.sqrt(F.greatest(2 * held * part * (1 - part) * (1 - held / most), F.lit(0.0)))
-    return F.least(a, F.lit(k)) + F.least(b, F.lit(k)) - 2 * (held * part - s.deviations * spread)
+    low, most = np.minimum(a, b), np.maximum(a, b).astype(float)
+    part = np.minimum(np.ceil(s.percent * (a + b) / (100 + s.percent)) / most, 1.0)
+    held = np.minimum(most, s.samples)
+    spread = np.sqrt(np.maximum(2 * held * part * (1 - part) * (1 - held / most), 0.0))
+    odd = np.minimum(low, s.samples) + held - 2 * (held * part - s.deviations * spread)
+    return np.where(100 * low >= s.percent * most, odd, -1.0)
 
 
 def signatures(values: np.ndarray, of: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -121,9 +123,49 @@ def sign(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "
     return rows.mapInArrow(make, "doc_id long, row long, n_shingles long, set binary, bands array<long>, sketch array<long>")
 
 
-def odd_bits(a: str, b: str, s: Settings) -> Column:
-    """Population count of the XOR of two sketches, as one compiled expression."""
-    return functools.reduce(operator.add, (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(s.bits // 64)))
+def _rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as rows of a matrix."""
+    held = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return held.flatten().to_numpy(zero_copy_only=False).reshape(len(held), -1)
+
+
+def nearest(stars: DataFrame, s: Settings) -> DataFrame:
+    """Of rows with two classes (a_..., b_...), those whose sketches may be a link,
+    with ``far``, the odd bits of their XOR."""
+    names = ["a", "a_in", "a_doc", "a_row", "b", "b_in", "b_doc", "b_row", "m"]
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            far = np.bitwise_count(_rows(batch["a_sketch"]) ^ _rows(batch["b_sketch"])).sum(1, dtype=np.int64) if batch.num_rows else np.zeros(0, np.int64)
+            go = pa.array(far <= most_odd(batch["a_n"].to_numpy(), batch["b_n"].to_numpy(), s))
+            yield pa.RecordBatch.from_arrays([*(batch[c].filter(go) for c in names), pa.array(far).filter(go)], [*names, "far"])
+
+    return stars.mapInArrow(near, "a binary, a_in binary, a_doc long, a_row long, b binary, b_in binary, b_doc long, b_row long, m long, far long")
+
+
+def squares(left: pa.Table, right: pa.Table, s: Settings) -> pa.Table:
+    """Pairs of classes of some squares (key, x, y) that are in different components
+    and whose sketches may be a link, each in the first bucket that it shares only."""
+    place = [np.stack([t[c].to_numpy() for c in ("key", "x", "y")], 1) for t in (left, right)]
+    _, of = np.unique(np.concatenate(place), axis=0, return_inverse=True)
+    mine, other = (np.argsort(x, kind="stable") for x in (of[: len(place[0])], of[len(place[0]) :]))
+    squares_of = of[: len(place[0])][mine], of[len(place[0]) :][other]
+    a_sketch, b_sketch, a_bands, b_bands = (_rows(t[c]) for c in ("sketch", "bands") for t in (left, right))
+    a_n, b_n, band = left["n"].to_numpy(), right["n"].to_numpy(), left["band"].to_numpy()
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for q in np.unique(squares_of[0]).tolist():
+        i, j = (o[slice(*np.searchsorted(sq, [q, q + 1]))] for o, sq in zip((mine, other), squares_of, strict=True))
+        theirs = b_sketch[j]
+        for x in i.tolist():
+            far = np.bitwise_count(a_sketch[x] ^ theirs).sum(1, dtype=np.int64)
+            y = j[far <= most_odd(a_n[x], b_n[j], s)]
+            y = y[~(a_bands[x, : band[x]] == b_bands[y, : band[x]]).any(1)]
+            found.append((np.full(len(y), x), y))
+    x, y = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+    out = [left[c].take(pa.array(x)).combine_chunks() for c in ("set", "component", "doc_id", "row")] + [right[c].take(pa.array(y)).combine_chunks() for c in ("set", "component", "doc_id", "row", "main")]
+    pairs = pa.Table.from_arrays(out, ["a", "a_in", "a_doc", "a_row", "b", "b_in", "b_doc", "b_row", "main"])
+    apart = [p != q and (q == main or a < b) for a, p, b, q, main in zip(*(pairs[c].to_pylist() for c in ("a", "a_in", "b", "b_in", "main")), strict=True)]
+    return pairs.filter(pa.array(apart, pa.bool_())).select(["a_in", "a_doc", "a_row", "b_in", "b_doc", "b_row"])
 
 
 def verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -189,41 +231,47 @@ def _relabel(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members with the components that the links found make."""
     named = components(found.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
     joined = members.join(named, members["component"] == named["node"], "left")
-    return materialise(joined.select("key", "set", F.coalesce(named["component"], members["component"]).alias("component")), "members")
+    return materialise(joined.select("key", "band", "set", F.coalesce(named["component"], members["component"]).alias("component")), "members")
 
 
 def grouped(classes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """(set, component) of the classes (set, doc_id, row, n_shingles, bands,
     sketch) that share a bucket with another one."""
-    keyed = materialise(classes.select("set", F.explode("bands").alias("key")), "bands")
+    keyed = materialise(classes.select("set", F.posexplode("bands").alias("band", "key")), "bands")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = materialise(keyed.join(shared, "key").select("key", "set", F.col("set").alias("component")), "members")
-    about = classes.select("set", "doc_id", "row", "n_shingles", "sketch")
-    a, b = (about.select(F.col("set").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in ("doc_id", "row", "n_shingles", "sketch"))) for k in "ab")
-    far = odd_bits("a_sketch", "b_sketch", s)
-    near = (100 * F.least("a_n_shingles", "b_n_shingles") >= s.percent * F.greatest("a_n_shingles", "b_n_shingles")) & (far <= most_odd(F.col("a_n_shingles"), F.col("b_n_shingles"), s))
+    members = materialise(keyed.join(shared, "key").select("key", "band", "set", F.col("set").alias("component")), "members")
+    about = classes.select("set", "doc_id", "row", F.col("n_shingles").alias("n"), "sketch", "bands")
+    a, b = (about.select(F.col("set").alias(k), *(F.col(c).alias(f"{k}_{n}") for c, n in (("doc_id", "doc"), ("row", "row"), ("n", "n"), ("sketch", "sketch")))) for k in "ab")
     enough, turn = classes.count(), 0
     while True:
         pick = F.min(F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), "set", "component")).alias("c")
         centres = _mixed(members, pick, F.count("*").alias("m")).select("key", F.col("c.set").alias("b"), F.col("c.component").alias("b_in"), "m")
         stars = members.join(centres, "key").where("component <> b_in").groupBy(F.col("set").alias("a"), F.col("component").alias("a_in"), "b", "b_in").agg(F.max("m").alias("m"))
-        told = stars.join(a, "a").join(b, "b").where(near).withColumn("far", far)
-        best = told.groupBy("a", "a_in", F.col("a_doc_id").alias("a_doc"), "a_row").agg(F.min(F.struct("far", "b", "b_in", "b_doc_id", "b_row", "m")).alias("to"))
-        found = verify(best.select("a_in", "a_doc", "a_row", "to.b_in", F.col("to.b_doc_id").alias("b_doc"), "to.b_row", "to.m"), texts, s)
+        best = nearest(stars.join(a, "a").join(b, "b"), s).groupBy("a", "a_in", "a_doc", "a_row").agg(F.min(F.struct("far", "b", "b_in", "b_doc", "b_row", "m")).alias("to"))
+        found = verify(best.select("a_in", "a_doc", "a_row", "to.b_in", "to.b_doc", "to.b_row", "to.m"), texts, s)
         # A centre is any of m classes: a link found stands for about m / 2 links that
         # were there, so this bounds what the last step would find at once.
         left = (found.agg(F.sum("m")).first()[0] or 0) / 2
         members, turn = _relabel(members, found), turn + 1
         if left <= enough:
             break
+    # Last, the pairs of a bucket that are still apart, but not those inside its largest
+    # component. A bucket is cut into squares of BLOCK x BLOCK, so that no task has a hot one.
     sizes = members.groupBy("key", "component").count()
-    mains = sizes.groupBy("key").agg(F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    mixed = materialise(members.join(mains, "key"), "mixed")
-    left_side = mixed.where("component <> main").select("key", F.col("set").alias("a"), F.col("component").alias("a_in")).join(a, "a")
-    right_side = mixed.select("key", F.col("set").alias("b"), F.col("component").alias("b_in"), "main").join(b, "b")
-    apart = (F.col("a_in") != F.col("b_in")) & ((F.col("b_in") == F.col("main")) | (F.col("a") < F.col("b")))
-    rest = left_side.join(right_side, (left_side["key"] == right_side["key"]) & apart & near)
-    rest = rest.select("a_in", F.col("a_doc_id").alias("a_doc"), "a_row", "b_in", F.col("b_doc_id").alias("b_doc"), "b_row", F.lit(0).cast("long").alias("m")).distinct()
+    mains = sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("x"), F.sum("count").alias("m"))
+    mains = mains.where("m > x.count").select("key", F.col("x.component").alias("main"), F.ceil((F.col("m") - F.col("x.count")) / BLOCK).alias("down"), F.ceil(F.col("m") / BLOCK).alias("across"), "m", "x")
+    mixed = materialise(members.join(mains.drop("m", "x"), "key"), "mixed")
+    block = lambda n: F.pmod(F.xxhash64("set"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left_side = mixed.where("component <> main").select("key", "band", block("down").alias("y"), every("across").alias("x"), "set", "component").join(about, "set")
+    right_side = mixed.select("key", every("down").alias("y"), block("across").alias("x"), "set", "component", "main").join(about, "set")
+    n = mains.select(F.sum(F.col("down") * F.col("m") + F.col("across") * (F.col("m") - F.col("x.count")))).first()[0] or 0
+    # many small squares a group, or one of full size
+    dealt = F.pmod(F.xxhash64("key", "x", "y"), F.lit(int(n) // (4 * BLOCK) + 1))
+    sides = (t.withColumn("dealt", dealt) for t in (left_side, right_side))
+    sides = (t.toDF(*t.columns).groupBy("dealt") for t in sides)  # columns of their own
+    rest = next(sides).cogroup(next(sides)).applyInArrow(lambda p, q: squares(p, q, s), "a_in binary, a_doc long, a_row long, b_in binary, b_doc long, b_row long")
+    rest = rest.distinct().withColumn("m", F.lit(0).cast("long"))
     return _relabel(members, verify(rest, texts, s)).select("set", "component").distinct()
 
 

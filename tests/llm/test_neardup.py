@@ -80,13 +80,13 @@ def test_sets_are_whole_texts():
 
 
 @pytest.mark.parametrize("size", [200, 3000, 20_000])
-def test_sketch_bound_keeps_pairs_at_the_threshold(spark, size):
+def test_sketch_bound_keeps_pairs_at_the_threshold(size):
     s = neardup.Settings(words=3, percent=85)
     rng = np.random.default_rng(5)
     for less in (0, size // 12):
         # sets of size and size - less with exactly the least intersection of a link
         both = -(-85 * (2 * size - less) // 185)
-        bound = spark.range(1).select(neardup.most_odd(neardup.F.lit(size), neardup.F.lit(size - less), s)).first()[0]
+        bound = neardup.most_odd(np.array([size]), np.array([size - less]), s)[0]
         far = []
         for _ in range(200):
             held = rng.integers(0, 1 << 63, 2 * size - less - both, dtype=np.uint64)
