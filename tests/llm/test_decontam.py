@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
+
 from plumbline.llm import decontam, queries
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -59,16 +62,32 @@ def test_target_recall_under_edits():
         assert found >= least * len(items), share
 
 
-def test_recall_up_to_the_accepted_share():
+@pytest.mark.parametrize("words", [(2, 5), (6, 10), (14, 60)])
+def test_recall_up_to_the_accepted_share(words):
     rng = random.Random(12)
-    items = [(i, _sentence(rng, rng.randint(14, 60)).encode()) for i in range(100)]
+    items = [(i, _sentence(rng, rng.randint(*words)).encode()) for i in range(120)]
     index = decontam.Index(items, decontam.Settings())
-    for share, least in ((0.15, 0.95), (0.18, 0.9), (0.2, 0.9)):
-        found = 0
-        for _, t in items:
-            text = f"{_sentence(rng, 200)} {_edited(t.decode(), int(share * len(t)), rng)} {_sentence(rng, 200)}"
-            found += bool(decontam.matches([text.encode()], index))
-        assert found >= least * len(items), share
+    for share in (0.0, 0.03, 0.06, 0.1, 0.12, 0.15, 0.18, 0.2):
+        texts = [f"{_sentence(rng, 100)} {_edited(t.decode(), int(share * len(t)), rng)} {_sentence(rng, 100)}".encode() for _, t in items]
+        got = {(d, i) for d, i, _ in decontam.matches(texts, index)}
+        assert sum((i, i) in got for i in range(len(items))) >= 0.9 * len(items), share
+
+
+def test_distances_of_many_pairs_are_exact():
+    rng = random.Random(8)
+    flat = np.array([rng.choice(b"abc ") for _ in range(2000)], np.uint8)
+    buf = np.array([rng.choice(b"abc ") for _ in range(3000)], np.uint8)
+    at, size = np.array([rng.randrange(1900) for _ in range(150)]), np.array([rng.randint(1, 64) for _ in range(150)])
+    begin, length = np.array([rng.randrange(2800) for _ in range(150)]), np.array([rng.randint(0, 90) for _ in range(150)])
+    got = decontam.edits_of_many(flat, at, size, buf, begin, length, step=64)
+    for k in range(150):
+        assert got[k] == _distance(flat[at[k] : at[k] + size[k]].tobytes(), buf[begin[k] : begin[k] + length[k]].tobytes())
+
+
+def test_tiny_items_are_whole_words():
+    index = decontam.Index([(1, b"abc"), (2, b"To be!"), (3, b"?"), (4, "né".encode())], decontam.Settings())
+    texts = ["abc", "x abc y", "abcd", "xabc", "to-be or not", "not to be", "to bee", "", "né-il", "abc abc"]
+    assert sorted((d, i) for d, i, e in decontam.matches([t.encode() for t in texts], index) if e == 0) == [(0, 0), (1, 0), (4, 1), (5, 1), (8, 3), (9, 0)]
 
 
 def test_item_without_its_first_word_begins_a_text():
@@ -116,9 +135,9 @@ def test_case_punctuation_short_items_and_edges(spark):
     rows = [(1, "xx WHAT IS THE CAPITAL -- city of the northern province of Ardenia in 1804!! yy"), (2, "tiny"), (3, None), (4, ""), (5, "say: a short one -- here. end"), (None, "a short one here"), (6, "what is the capital city"), (5, "say: a short one -- here. end")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items).collect()]
-    assert sorted(got, key=repr) == sorted([(1, 1), (1, 5), (5, 4), (5, 4), (None, 4)], key=repr)
+    assert sorted(got, key=repr) == sorted([(1, 1), (1, 5), (2, 2), (5, 4), (5, 4), (None, 4)], key=repr)
     blocks = decontam.contaminated(docs, items, decontam.Settings(block_bytes=1)).collect()
     assert sorted(((r["doc_id"], r["item_id"]) for r in blocks), key=repr) == sorted(got, key=repr)
     left = decontam.drop_contaminated(docs.withColumnRenamed("doc_id", "doc_id").selectExpr("*", "1 AS _i", "2 AS row"), items)
-    assert sorted(r["doc_id"] for r in left.collect()) == [2, 3, 4, 6]
+    assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 6]
     assert decontam.contaminated(docs.limit(0), items).count() == 0 and decontam.contaminated(docs, items.limit(0)).count() == 0
