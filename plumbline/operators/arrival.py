@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_same
 from ..functions.numeric import ratio, total
 
 
@@ -14,7 +15,7 @@ def arrival(df: DataFrame, sites: DataFrame, months: DataFrame) -> DataFrame:
     there = df.groupBy(keys).agg(F.count("*").alias("rows"), F.count_distinct("item").alias("items"))
     # both sides are short lists of names
     grid = sites.distinct().crossJoin(months.distinct())
-    out = grid.join(there, keys, "left")
+    out = join_same(grid, there, keys, "left")
     return out.select(*keys, F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("items", F.lit(0)).alias("items"), F.col("rows").isNull().alias("missing"))
 
 
@@ -38,7 +39,7 @@ def push_diff(cur: DataFrame, prev: DataFrame, key: list[str], measures: list[st
     """
     by = by or ["month"]
     side = lambda d, s: d.select(*key, F.struct(*measures).alias(f"_{s}"), F.col(amount).alias(f"_{s}_amt"))
-    both = side(cur, "c").join(side(prev, "p"), key, "full_outer")
+    both = join_same(side(cur, "c"), side(prev, "p"), key, "full_outer")
     status = F.when(F.col("_p").isNull(), "added").when(F.col("_c").isNull(), "removed").when(F.col("_c").eqNullSafe(F.col("_p")), "same").otherwise("changed")
     zero = F.lit(0).cast("decimal(20,4)")
     effect = F.coalesce("_c_amt", zero) - F.coalesce("_p_amt", zero)
@@ -48,5 +49,5 @@ def push_diff(cur: DataFrame, prev: DataFrame, key: list[str], measures: list[st
 def restatement(cur: DataFrame, prev: DataFrame, keys: list[str]) -> DataFrame:
     """Per past period, this push's amount over the last push's."""
     a, b = (d.groupBy(keys).agg(F.sum("amt").alias(n)) for d, n in ((cur, "cur"), (prev, "prev")))
-    out = a.join(b, keys, "full_outer")
+    out = join_same(a, b, keys, "full_outer")
     return out.select(*keys, F.col("cur").cast("double").alias("cur_amt"), F.col("prev").cast("double").alias("prev_amt"), ratio(F.col("cur"), F.col("prev")).alias("ratio"))

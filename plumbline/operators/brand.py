@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_same
 from ..functions.numeric import ratio, total
 from ..functions.text import brand_tokens, folded
 
@@ -52,12 +53,12 @@ def swallowed(names: DataFrame, raw: str = "raw_brand", standard: str = "brand",
     pairs = names.groupBy(raw, standard).agg(total(amount).alias("amt"), F.count("*").alias("rows"))
     lowered = lambda c: F.transform(brand_tokens(F.col(c)), lambda t: F.lower(t))
     pairs = pairs.withColumns({"_r": lowered(raw), "_s": lowered(standard)})
-    also = aliases(names, raw).groupBy("token").agg(F.collect_set("alias").alias("_a"))
-    known = pairs.select(raw, standard, F.explode("_r").alias("token")).join(also, "token").groupBy(raw, standard).agg(F.flatten(F.collect_list("_a")).alias("_also"))
-    pairs = pairs.join(known, [raw, standard], "left")
-    every = F.concat("_r", F.coalesce("_also", F.array().cast("array<string>")))
     close = F.exists("_r", lambda a: F.exists("_s", lambda b: (F.length(a) >= 4) & (F.levenshtein(a, b) <= 1)))
-    return pairs.where(~F.arrays_overlap(every, "_s") & ~close).select(raw, standard, "rows", "amt")
+    apart = pairs.where(~F.arrays_overlap("_r", "_s") & ~close)
+    # parts of both names that stand together in some raw name; a row for each pair of parts
+    asked = apart.select(raw, standard, F.explode("_r").alias("token"), "_s").select(raw, standard, "token", F.explode("_s").alias("alias"))
+    known = asked.join(aliases(names, raw), ["token", "alias"], "left_semi").select(raw, standard).distinct()
+    return join_same(apart, known, [raw, standard], "left_anti").select(raw, standard, "rows", "amt")
 
 
 def split_brands(names: DataFrame, raw: str = "raw_brand", standard: str = "brand", amount: str = "amt") -> DataFrame:
@@ -86,7 +87,7 @@ def others_yoy(df: DataFrame, keys: list[str], label: str = "OTHERS") -> DataFra
     now = sums.where("a <> 0").select("month", *keys, share.alias("_s"))
     then = now.select(F.add_months("month", 12).alias("month"), *keys, F.col("_s").alias("_t"))
     to = lambda c: F.floor(c * 1000000 + 0.5) / 1000000
-    return now.join(then, ["month", *keys], "left").select("month", *keys, to(F.col("_s")).alias("share"), to(F.col("_t")).alias("last_year"), to(F.col("_s") - F.col("_t")).alias("change"))
+    return join_same(now, then, ["month", *keys], "left").select("month", *keys, to(F.col("_s")).alias("share"), to(F.col("_t")).alias("last_year"), to(F.col("_s") - F.col("_t")).alias("change"))
 
 
 def leaf_top_brands(df: DataFrame, leaf: str, month: str, base_month: str, n: int = 5) -> DataFrame:
@@ -97,6 +98,6 @@ def leaf_top_brands(df: DataFrame, leaf: str, month: str, base_month: str, n: in
         return sums.withColumn("rank", F.row_number().over(Window.partitionBy(leaf).orderBy(F.desc("a"), "brand")))
 
     whole = df.where(F.col("month") == F.lit(month).cast("date")).groupBy(leaf).agg(F.sum("amt").alias("t"))
-    now = ranked(month).where(F.col("rank") <= n).join(whole, leaf)
+    now = join_same(ranked(month).where(F.col("rank") <= n), whole, [leaf])
     then = ranked(base_month).select(leaf, "brand", F.col("rank").alias("base_rank"))
-    return now.join(then, [leaf, "brand"], "left").select(leaf, "brand", "rank", "base_rank", ratio(F.col("a"), F.col("t")).alias("share"))
+    return join_same(now, then, [leaf, "brand"], "left").select(leaf, "brand", "rank", "base_rank", ratio(F.col("a"), F.col("t")).alias("share"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_same
 from ..functions.numeric import ratio, total
 
 
@@ -33,6 +34,6 @@ def price_bands(df: DataFrame, edges: list[float], keys: list[str]) -> DataFrame
 def band_shift(df: DataFrame, edges: list[float], keys: list[str], month: str, base_month: str) -> DataFrame:
     """Half the sum of absolute changes of band shares between two months."""
     side = lambda m, s: price_bands(df.where(F.col("month") == F.lit(m).cast("date")), edges, keys).select(*keys, "band", F.col("share").alias(s))
-    both = side(month, "now").join(side(base_month, "then"), [*keys, "band"], "full_outer")
+    both = join_same(side(month, "now"), side(base_month, "then"), [*keys, "band"], "full_outer")
     step = F.floor(F.abs(F.coalesce("now", F.lit(0.0)) - F.coalesce("then", F.lit(0.0))) * 1000000 + 0.5)
     return both.groupBy(keys).agg((F.sum(step) / 2000000).alias("shift"), F.count("*").alias("bands"))

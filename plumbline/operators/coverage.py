@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_same
 from ..functions.numeric import rounded, total
 
 
@@ -12,7 +13,7 @@ def _two_months(df: DataFrame, month: str, base_month: str, keys: list[str], how
     """Item sums of both months side by side: q0, a0, q1, a1."""
     by = [*keys, "item"]
     side = lambda m, s: df.where(F.col("month") == F.lit(m).cast("date")).groupBy(by).agg(F.sum("qty").alias(f"q{s}"), F.sum("amt").alias(f"a{s}"))
-    return side(base_month, 0).join(side(month, 1), by, how)
+    return join_same(side(base_month, 0), side(month, 1), by, how)
 
 
 def coverage_split(df: DataFrame, month: str, base_month: str, keys: list[str]) -> DataFrame:

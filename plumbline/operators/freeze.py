@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_same
 from ..functions.text import masked
 
 
 def apply_scope(df: DataFrame, scope: DataFrame, keys: list[str]) -> DataFrame:
     """A2: rows whose keys are in the frozen scope."""
-    return df.join(scope.select(keys).distinct(), keys, "left_semi")
+    return join_same(df, scope.select(keys).distinct(), keys, "left_semi")
 
 
 def freeze(tables: dict[str, DataFrame], run_id: str, path: str) -> None:
-    """A3: store a run's inputs, one folder a table, partitioned by run."""
+    """A3: store a run's inputs, one folder a table, partitioned by run; a run that
+    is done again takes the place of what it stored before."""
     for name, df in tables.items():
-        df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(f"{path}/{name}")
+        df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{path}/{name}")
 
 
 def thaw(spark: SparkSession, name: str, run_id: str, path: str) -> DataFrame:
@@ -27,16 +29,16 @@ def thaw(spark: SparkSession, name: str, run_id: str, path: str) -> DataFrame:
 def merge_rulings(standard: DataFrame, rulings: DataFrame, key: str, value: str = "rule") -> DataFrame:
     """A4: the standard with rulings put over it; new keys are added. ``source``
     says where a rule is from."""
-    new = rulings.select(F.col(key).alias("_k"), F.col(value).alias("_v"))
-    both = standard.select(key, value).join(new, F.col(key) == F.col("_k"), "full_outer")
-    source = F.when(F.col("_k").isNull(), "standard").when(F.col(key).isNull(), "new").otherwise("ruling")
-    return both.select(F.coalesce(key, "_k").alias(key), F.coalesce("_v", value).alias(value), source.alias("source"))
+    new = rulings.select(key, F.col(value).alias("_v"), F.lit(True).alias("_new"))
+    both = join_same(standard.select(key, value, F.lit(True).alias("_old")), new, [key], "full_outer")
+    source = F.when(F.col("_new").isNull(), "standard").when(F.col("_old").isNull(), "new").otherwise("ruling")
+    return both.select(key, F.coalesce("_v", value).alias(value), source.alias("source"))
 
 
 def land(df: DataFrame, run_id: str, view: str, text: str, path: str) -> None:
-    """A5: store a view's rows and the text that made them."""
+    """A5: store a view's rows and the text that made them; again in their place."""
     df.write.mode("overwrite").parquet(f"{path}/rows/{run_id}/{view}")
-    df.sparkSession.createDataFrame([(run_id, view, text)], "run_id string, view string, text string").write.mode("append").parquet(f"{path}/catalog")
+    df.sparkSession.createDataFrame([(text,)], "text string").write.mode("overwrite").parquet(f"{path}/catalog/run_id={run_id}/view={view}")
 
 
 def landed(spark: SparkSession, run_id: str, view: str, path: str) -> DataFrame:
@@ -60,7 +62,7 @@ def unchanged(a: DataFrame, b: DataFrame) -> bool:
 def intake(new: DataFrame, frozen: DataFrame, keys: list[str], text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
     """Messages not frozen yet, with personal data masked and attachment
     columns dropped."""
-    return new.join(frozen.select(keys).distinct(), keys, "left_anti").withColumn(text, masked(F.col(text))).drop(*drop)
+    return join_same(new, frozen.select(keys).distinct(), keys, "left_anti").withColumn(text, masked(F.col(text))).drop(*drop)
 
 
 def recompute(landed_rows: DataFrame, again: DataFrame) -> DataFrame:

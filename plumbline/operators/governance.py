@@ -5,31 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ratio, rounded, total
+from ..functions.joins import join_same
+from ..functions.numeric import quantile, ratio, rounded, total
 
 
-def own_compare(df: DataFrame, truth: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+def own_compare(df: DataFrame, truth: DataFrame, keys: list[str], by: list[str], accuracy: int | None = None) -> DataFrame:
     """K1: estimates against true sales per key, summed up by ``by``: matched and
-    one-sided counts, and the median and 90th percentile of the relative error."""
+    one-sided counts, and the median and 90th percentile of the relative error
+    (exact, or to an ``accuracy`` for groups that don't fit a task)."""
     est = df.groupBy(keys).agg(F.sum("amt").alias("e"))
     real = truth.groupBy(keys).agg(F.sum("true_amt").alias("t"))
-    both = est.join(real, keys, "full_outer")
+    both = join_same(est, real, keys, "full_outer")
     error = F.when(F.col("t") != 0, F.abs(F.col("e").cast("double") / F.col("t").cast("double") - 1))
     matched = F.col("e").isNotNull() & F.col("t").isNotNull()
-    quantile = lambda q: rounded(F.percentile("_x", F.lit(q)))
     return both.withColumn("_x", error).groupBy(by).agg(
         F.count_if(matched).alias("matched"), F.count_if(F.col("t").isNull()).alias("only_estimate"), F.count_if(F.col("e").isNull()).alias("only_truth"),
-        quantile(0.5).alias("p50"), quantile(0.9).alias("p90"),
+        rounded(quantile("_x", 0.5, accuracy)).alias("p50"), rounded(quantile("_x", 0.9, accuracy)).alias("p90"),
     )
 
 
 def carry_over(df: DataFrame, corrections: DataFrame, item: str = "item") -> DataFrame:
     """K2: whether each earlier correction (item, field, wanted) still holds in a
-    push: kept, lost, or not applicable as the item is gone; with its amount."""
-    fields = [r["field"] for r in corrections.select("field").distinct().collect()]  # names of columns
+    push: kept, lost, or not applicable as the item is gone or the push has no such column; with its
+    amount."""
+    fields = [r["field"] for r in corrections.select("field").distinct().collect() if r["field"] in df.columns]
+    if not fields:
+        return corrections.select(item, "field", "wanted", F.lit("not applicable").alias("state"), F.lit(None).cast("double").alias("amt")).distinct()
     has = df.groupBy(item, *fields).agg(F.sum("amt").alias("a"))
     stack = has.select(item, "a", *(F.col(f).cast("string").alias(f) for f in fields)).unpivot([item, "a"], fields, "field", "value")
-    both = corrections.join(stack, [item, "field"], "left").groupBy(item, "field", "wanted").agg(
+    both = join_same(corrections, stack, [item, "field"], "left").groupBy(item, "field", "wanted").agg(
         F.count("a").alias("n"), F.count_if(F.col("value").isNotNull() & (F.col("value") != F.col("wanted"))).alias("off"), total("a").alias("amt")
     )
     state = F.when(F.col("n") == 0, "not applicable").when(F.col("off") > 0, "lost").otherwise("kept")
@@ -39,7 +43,7 @@ def carry_over(df: DataFrame, corrections: DataFrame, item: str = "item") -> Dat
 def release_compare(cur: DataFrame, release: DataFrame, keys: list[str]) -> DataFrame:
     """K3: this push's amount against the release in use."""
     a, b = (d.groupBy(keys).agg(F.sum("amt").alias(n)) for d, n in ((cur, "c"), (release, "r")))
-    return a.join(b, keys, "full_outer").select(*keys, F.col("c").cast("double").alias("cur_amt"), F.col("r").cast("double").alias("release_amt"), ratio(F.col("c"), F.col("r")).alias("ratio"))
+    return join_same(a, b, keys, "full_outer").select(*keys, F.col("c").cast("double").alias("cur_amt"), F.col("r").cast("double").alias("release_amt"), ratio(F.col("c"), F.col("r")).alias("ratio"))
 
 
 def recheck(df: DataFrame, defects: DataFrame, scope: list[str]) -> DataFrame:
@@ -70,7 +74,7 @@ def item_recon(cur_flags: DataFrame, prev_flags: DataFrame, key: list[str]) -> D
     """K6: last period's items against this one's: new, open or resolved."""
     a, b = cur_flags.select(key).distinct().withColumn("_c", F.lit(True)), prev_flags.select(key).distinct().withColumn("_p", F.lit(True))
     state = F.when(F.col("_p").isNull(), "new").when(F.col("_c").isNull(), "resolved").otherwise("open")
-    return a.join(b, key, "full_outer").select(*key, state.alias("state"))
+    return join_same(a, b, key, "full_outer").select(*key, state.alias("state"))
 
 
 def downgrade(flags: DataFrame, declarations: DataFrame, scope: list[str]) -> DataFrame:
@@ -79,12 +83,14 @@ def downgrade(flags: DataFrame, declarations: DataFrame, scope: list[str]) -> Da
     agree = F.col("f.month").between(F.col("d.from_month"), F.col("d.to_month"))
     for k in scope:
         agree &= F.col(f"d.{k}").isNull() | (F.col(f"f.{k}") == F.col(f"d.{k}"))
-    covered = flags.alias("f").join(declarations.alias("d"), agree, "left_semi").withColumn("state", F.lit("explained"))
-    rest = flags.alias("f").join(declarations.alias("d"), agree, "left_anti").withColumn("state", F.lit("open"))
-    return covered.unionByName(rest)
+    # what meets the declarations is each place and month once, however many flags it has
+    places = flags.select("month", *scope).distinct()
+    covered = places.alias("f").join(declarations.alias("d"), agree, "left_semi").withColumn("_on", F.lit(True))
+    both = join_same(flags, covered, ["month", *scope], "left")
+    return both.select(*flags.columns, F.when(F.col("_on"), "explained").otherwise("open").alias("state"))
 
 
 def flag_history(flags: DataFrame, ledger: DataFrame, key: list[str]) -> DataFrame:
     """K8: how often a flag was raised before, and first and last when."""
     past = ledger.groupBy(key).agg(F.count("*").alias("times"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
-    return flags.select(key).distinct().join(past, key, "left").select(*key, F.coalesce("times", F.lit(0)).alias("times"), "first_month", "last_month")
+    return join_same(flags.select(key).distinct(), past, key, "left").select(*key, F.coalesce("times", F.lit(0)).alias("times"), "first_month", "last_month")

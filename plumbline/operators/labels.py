@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ratio, rounded, total
+from ..functions.joins import join_same
+from ..functions.numeric import quantile, ratio, rounded, total
 
 
-def label_sample(df: DataFrame, leaf: str, n: int, seed: str = "1", top: int = 3, percentile: float = 0.95) -> DataFrame:
+def label_sample(df: DataFrame, leaf: str, n: int, seed: str = "1", top: int = 3, percentile: float = 0.95, accuracy: int | None = None) -> DataFrame:
     """Per leaf a repeatable random n, the greatest by amount, and items at or
     above a price percentile; one row an item, with why it is in.
 
@@ -21,7 +22,7 @@ def label_sample(df: DataFrame, leaf: str, n: int, seed: str = "1", top: int = 3
     strata = (
         items.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= n).select(leaf, "item", F.lit("random").alias("reason")),
         items.withColumn("r", F.row_number().over(by_amount)).where(F.col("r") <= top).select(leaf, "item", F.lit("top").alias("reason")),
-        items.join(items.groupBy(leaf).agg(F.percentile("price", F.lit(percentile)).alias("cut")), leaf).where("price >= cut").select(leaf, "item", F.lit("costly").alias("reason")),
+        join_same(items, items.groupBy(leaf).agg(quantile("price", percentile, accuracy).alias("cut")), [leaf]).where("price >= cut").select(leaf, "item", F.lit("costly").alias("reason")),
     )
     every = strata[0].unionByName(strata[1]).unionByName(strata[2])
     return every.groupBy(leaf, "item").agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reason"))
@@ -60,7 +61,8 @@ def clustered(sample: DataFrame, verdict: DataFrame, totals: DataFrame, keys: li
         F.count("*").alias("judged"), F.count_if(wrong).alias("mismatched"), money(F.lit(True)).alias("judged_amt"), money(wrong).alias("found_amt"),
         (F.count_if(wrong & drawn) / F.when(F.count_if(drawn) > 0, F.count_if(drawn))).alias("random_rate"),
     )
-    out = out.where((F.col("mismatched") >= least) & (F.col("mismatched") >= rate * F.col("judged"))).join(totals, keys)
+    out = out.where((F.col("mismatched") >= least) & (F.col("mismatched") >= rate * F.col("judged")))
+    out = join_same(out, totals, keys)
     estimate = F.col("random_rate") * (F.col("total_amt") - F.col("judged_amt")) + F.col("found_amt")
     return out.select(*keys, "judged", "mismatched", "found_amt", rounded(F.col("random_rate")).alias("random_rate"), rounded(estimate, 4).alias("wrong_amt"))
 
@@ -76,7 +78,7 @@ def tag_fill(df: DataFrame, keys: list[str], tags: str) -> DataFrame:
     kept = df.select(*keys, F.map_entries(F.from_json(tags, "map<string,string>")).alias("_t"))
     rows = kept.groupBy(keys).agg(F.count("*").alias("rows"))
     filled = kept.select(*keys, F.explode("_t").alias("_e")).where("_e.value IS NOT NULL AND _e.value <> ''").groupBy(*keys, F.col("_e.key").alias("tag")).agg(F.count("*").alias("filled"))
-    return filled.join(rows, keys).select(*keys, "tag", "filled", ratio(F.col("filled"), F.col("rows")).alias("share"))
+    return join_same(filled, rows, keys).select(*keys, "tag", "filled", ratio(F.col("filled"), F.col("rows")).alias("share"))
 
 
 def label_churn(cur: DataFrame, prev: DataFrame, item: str, label: str) -> DataFrame:

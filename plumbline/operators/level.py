@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_same
 from ..functions.numeric import median_of, ratio, total
 
 
@@ -29,7 +30,7 @@ def period_change(df: DataFrame, keys: list[str], measure: str = "amt", months:
     out = now
     for n in months:
         then = now.select(F.add_months("month", n).alias("month"), *keys, F.col("_v").alias(f"_b{n}"))
-        out = out.join(then, ["month", *keys], "left")
+        out = join_same(out, then, ["month", *keys], "left")
     changes = [ratio(F.col("_v") - F.col(f"_b{n}"), F.col(f"_b{n}")).alias(f"change_{n}") for n in months]
     return out.select("month", *keys, F.col("_v").cast("double").alias(measure), *changes)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ratio, rounded, total
+from ..functions.joins import join_same
+from ..functions.numeric import quantile, ratio, rounded, total
 
 
 def _priced(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -14,16 +15,17 @@ def _priced(df: DataFrame, keys: list[str]) -> DataFrame:
     return items.withColumn("price", F.col("a") / F.col("q"))
 
 
-def price_summary(df: DataFrame, keys: list[str]) -> DataFrame:
-    """volume-weighted mean price, its quantiles over item-months, and range."""
+def price_summary(df: DataFrame, keys: list[str], accuracy: int | None = None) -> DataFrame:
+    """volume-weighted mean price, its quantiles over item-months (exact, or
+    to an ``accuracy``), and range."""
     p = _priced(df, ["month", *keys, "item"] if "month" not in keys else [*keys, "item"])
-    quantile = lambda q: rounded(F.percentile("price", F.lit(q)), 4)
+    at = lambda q: rounded(quantile("price", q, accuracy), 4)
     sums = df.groupBy(keys).agg(ratio(F.sum("amt"), F.sum("qty"), 4).alias("mean_price"))
     spread = p.groupBy(keys).agg(
-        quantile(0.1).alias("p10"), quantile(0.5).alias("p50"), quantile(0.9).alias("p90"),
+        at(0.1).alias("p10"), at(0.5).alias("p50"), at(0.9).alias("p90"),
         rounded(F.min("price"), 4).alias("low"), rounded(F.max("price"), 4).alias("high"),
     )
-    return sums.join(spread, keys)
+    return join_same(sums, spread, keys)
 
 
 def price_jump(df: DataFrame, jump: float = 1.5) -> DataFrame:
@@ -37,12 +39,21 @@ def price_jump(df: DataFrame, jump: float = 1.5) -> DataFrame:
     return out.select("country", "platform", "item", "month", "prior_month", rounded(moved).alias("moved"), F.col("a").alias("amt"))
 
 
-def peer_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-其他") -> DataFrame:
+def peer_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-其他", accuracy: int | None = None) -> DataFrame:
     """items whose price is more than k * MAD off their leaf's median; those
-    of catch-all leaves are marked, to be listed apart."""
+    of catch-all leaves are marked, to be listed apart (``leaf_outliers``).
+    Medians are exact, or to an ``accuracy`` for leaves that don't fit a task."""
     p = _priced(df, [leaf, "item"])
-    mid = p.groupBy(leaf).agg(F.median("price").alias("median"))
-    p = p.join(mid, leaf)
-    off = p.groupBy(leaf).agg(F.median(F.abs(F.col("price") - F.col("median"))).alias("mad"))
-    out = p.join(off, leaf).where((F.col("mad") > 0) & (F.abs(F.col("price") - F.col("median")) > k * F.col("mad")))
+    mid = p.groupBy(leaf).agg(quantile("price", 0.5, accuracy).alias("median"))
+    p = join_same(p, mid, [leaf])
+    off = p.withColumn("_off", F.abs(F.col("price") - F.col("median"))).groupBy(leaf).agg(quantile("_off", 0.5, accuracy).alias("mad"))
+    out = join_same(p, off, [leaf]).where((F.col("mad") > 0) & (F.abs(F.col("price") - F.col("median")) > k * F.col("mad")))
     return out.select(leaf, "item", rounded(F.col("price"), 4).alias("price"), rounded(F.col("price") / F.col("median"), 4).alias("times"), F.col("a").alias("amt"), F.endswith(F.col(leaf), F.lit(catch_all)).alias("catch_all"))
+
+
+def leaf_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-其他", accuracy: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """F3 as two lists: outliers of true leaves, and those of catch-all leaves, whose
+    items are no peers of each other."""
+    rest = F.coalesce(F.endswith(F.col(leaf), F.lit(catch_all)), F.lit(False))
+    one = lambda on: peer_outliers(df.where(rest if on else ~rest), leaf, k, catch_all, accuracy).drop("catch_all")
+    return one(False), one(True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_same
 from ..functions.numeric import ratio, total
 
 
@@ -20,10 +21,13 @@ def tree_totals(df: DataFrame, path: str = "path") -> DataFrame:
 
 
 def tree_diff(cur: DataFrame, base: DataFrame, node: str = "node", parent: str = "root") -> DataFrame:
-    """Nodes that are new, gone, or under another parent."""
-    side = lambda d, p: d.select(node, F.col(parent).alias(p)).distinct()
-    both = side(cur, "parent").join(side(base, "base_parent").withColumn("_b", F.lit(True)), node, "full_outer")
-    state = F.when(F.col("_b").isNull(), "new").when(F.col("parent").isNull(), "gone").when(~F.col("parent").eqNullSafe(F.col("base_parent")), "moved")
+    """Nodes that are new, gone, or under another parent; one row a node, with
+    the least of its parents."""
+    # of a node with several parents, all are told: as a list, so a node is one row
+    listed = lambda d, p: d.groupBy(node).agg(F.array_join(F.sort_array(F.collect_set(F.col(parent).cast("string"))), ",").alias("_l"), F.min(parent).alias(p))
+    a, b = listed(cur, "parent").withColumn("_a", F.lit(True)), listed(base, "base_parent").withColumn("_b", F.lit(True))
+    both = join_same(a, b.withColumnRenamed("_l", "_m"), [node], "full_outer")
+    state = F.when(F.col("_b").isNull(), "new").when(F.col("_a").isNull(), "gone").when(~F.col("_l").eqNullSafe(F.col("_m")), "moved")
     return both.withColumn("state", state).where("state IS NOT NULL").select(node, "state", "parent", "base_parent")
 
 
@@ -43,5 +47,5 @@ def leaf_misplaced(df: DataFrame, accepted: DataFrame, leaf: str, node: str) ->
     """A leaf's amount outside its accepted nodes, and its share of the leaf."""
     sums = df.groupBy(leaf, node).agg(F.sum("amt").alias("a"))
     whole = sums.groupBy(leaf).agg(F.sum("a").alias("t"))
-    out = sums.join(accepted.select(leaf, node).distinct(), [leaf, node], "left_anti").groupBy(leaf).agg(F.sum("a").alias("a"), F.count("*").alias("nodes"))
-    return out.join(whole, leaf).select(leaf, "nodes", F.col("a").cast("double").alias("amt"), ratio(F.col("a"), F.col("t")).alias("share"))
+    out = join_same(sums, accepted.select(leaf, node).distinct(), [leaf, node], "left_anti").groupBy(leaf).agg(F.sum("a").alias("a"), F.count("*").alias("nodes"))
+    return join_same(out, whole, [leaf]).select(leaf, "nodes", F.col("a").cast("double").alias("amt"), ratio(F.col("a"), F.col("t")).alias("share"))
