@@ -12,9 +12,11 @@ where the r-th piece of a length goes, and a join puts every piece in place.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +26,9 @@ from pyspark.sql import functions as F
 from .common import materialise, text_steps
 from .token_ids import opened
 
-#: Ranks within a length are counted in this many shares, so that a length with
-#: a third of all pieces isn't one task.
-SHARES = 64
+#: Ranks within a length are counted in shares of about this many pieces, so that
+#: a length with a third of all pieces isn't one task.
+SHARE_ROWS = 100_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -60,63 +62,78 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0,
     return rows.mapInArrow(cut, "doc_id long, row long, piece int, start long, length long, ids_crc32 long")
 
 
-def best_configuration(value: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack by dynamic programming: the multiset of lengths (index = length)
-    of total at most ``capacity`` with the greatest value."""
+def price(value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Knapsack by dynamic programming: for each room up to ``capacity``, the
+    greatest value of lengths (index = length) that fit, and the last of them (0:
+    one place of the room is left empty)."""
     best, last = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     sizes = np.flatnonzero(value > 0)
     sizes = sizes[(sizes > 0) & (sizes <= capacity)]
-    if not len(sizes):
-        return {}
     gain, upto = value[sizes], np.searchsorted(sizes, np.arange(capacity + 1), "right")
-    for c in range(int(sizes[0]), capacity + 1):
+    for c in range(1, capacity + 1):
         k = upto[c]
-        got = best[c - sizes[:k]] + gain[:k]
-        j = int(np.argmax(got))
-        if got[j] > best[c - 1]:
-            best[c], last[c] = got[j], sizes[j]
-        else:
-            best[c], last[c] = best[c - 1], 0
+        best[c] = best[c - 1]
+        if k:
+            got = best[c - sizes[:k]] + gain[:k]
+            j = int(got.argmax())
+            if got[j] > best[c]:
+                best[c], last[c] = got[j], sizes[j]
+    return best, last
+
+
+def configuration(last: np.ndarray, room: int) -> dict[int, int]:
+    """The lengths that ``price`` found for a room, with how often each is taken."""
     out: dict[int, int] = defaultdict(int)
-    c = capacity
-    while c > 0:
-        if last[c]:
-            out[int(last[c])] += 1
-            c -= int(last[c])
-        else:
-            c -= 1
-    return dict(out)
+    while room > 0:
+        if last[room]:
+            out[int(last[room])] += 1
+        room -= int(last[room]) or 1
+    return out
 
 
-def solve_configurations(count: np.ndarray, capacity: int, rounds: int = 120, rate: float = 0.5) -> dict[tuple, float]:
-    """Multiplicative weights on the covering program: how often each
-    configuration is used, for a histogram ``count`` (index = length).
+def solve_configurations(count: np.ndarray, capacity: int, rounds: int = 120, rate: float = 0.05) -> tuple[dict[tuple, int], float]:
+    """Configurations of the covering program with how often each is used, as whole
+    numbers that cover no length more than its ``count`` (index = length), and a
+    lower bound on the sequences that the whole histogram needs.
 
-    Every round prices lengths by weight, takes the best configuration as often
-    as it can be filled from a share of the pieces, and lowers the weights of
-    what it covers. The sum covers no length more than its count.
+    Multiplicative weights: a length's weight is its share of a sequence, a little
+    more the longer it is, times the exponential of what part of it is not covered
+    yet. Each round prices the lengths by weight with one knapsack program, which
+    gives the best configuration that has a given length, for each of them. Those
+    that fill a sequence are taken, longest first, as often as half of what is left
+    allows, rounded up. Any weights bound the program from below by duality: the
+    weight of all pieces over that of the best configuration.
     """
-    need = count.astype(float)
-    left = need.copy()
-    # lengths start in proportion: a full sequence then has weight about one
-    weight = np.arange(len(count), dtype=float) / capacity
-    used: dict[tuple, float] = defaultdict(float)
+    need, left = np.maximum(count, 1).astype(float), count.astype(np.int64)
+    size = np.arange(len(count), dtype=float) / capacity
+    used: dict[tuple, int] = defaultdict(int)
+    best, _ = price(np.where(count > 0, size, 0.0), capacity)
+    bound = float(count @ size) / best[capacity] if best[capacity] > 0 else 0.0
     for _ in range(rounds):
-        open_ = left >= 1
-        if not open_.any():
+        weight = np.where(left > 0, size * (1 + rate * size) * np.exp(rate * left / need), 0.0)
+        best, last = price(weight, capacity)
+        if best[capacity] > 0:
+            # over all lengths the weights of this round are a dual solution, too
+            whole = np.where(count > 0, weight, 0.0)
+            bound = max(bound, float(count @ whole) / best[capacity])
+        placed = 0
+        for k in np.flatnonzero(left)[::-1].tolist():
+            if not left[k]:
+                continue
+            pick = configuration(last, capacity - k)
+            pick[k] += 1
+            if sum(length * n for length, n in pick.items()) < capacity:
+                continue  # with room left; a later round may fill it, or best-fit
+            m = min(int(left[length]) // n for length, n in pick.items())
+            m -= m // 2
+            if m > 0:
+                used[tuple(sorted(pick.items(), reverse=True))] += m
+                for length, n in pick.items():
+                    left[length] -= m * n
+                    placed += m * n
+        if not placed:
             break
-        pick = best_configuration(np.where(open_, weight, 0.0), capacity)
-        if not pick:
-            break
-        step = min(left[k] / n for k, n in pick.items())
-        key = tuple(sorted(pick.items(), reverse=True))
-        used[key] += step
-        for k, n in pick.items():
-            left[k] -= step * n
-            weight[k] *= np.exp(-rate * step * n / need[k])
-        left[left < 1e-9] = 0
-        weight[open_] *= 1 + 0.02 * left[open_] / need[open_]
-    return dict(used)
+    return dict(used), bound
 
 
 def best_fit(count: np.ndarray, capacity: int) -> dict[tuple, int]:
@@ -157,32 +174,38 @@ def best_fit(count: np.ndarray, capacity: int) -> dict[tuple, int]:
     return dict(out)
 
 
-def plan(histogram: dict[int, int], capacity: int, rounds: int = 120, share: float = 0.5) -> list[tuple[tuple, int]]:
-    """(configuration, how many sequences) that hold exactly the histogram.
+@dataclass(frozen=True)
+class Plan:
+    """Configurations with how many sequences have each, the program's lower bound on
+    their number, and how many pieces the program placed (the others: best-fit)."""
 
-    Of the program's solution, configurations that fill a sequence are taken, a
-    ``share`` of each rounded down: the rest of the short lengths is what
-    best-fit needs to fill the sequences of the others.
-    """
+    configurations: list[tuple[tuple, int]]
+    bound: int
+    by_program: int
+
+
+def plan(histogram: dict[int, int], capacity: int, rounds: int = 120) -> Plan:
+    """A packing of exactly the histogram: the program's whole multiples, and what
+    they leave by best-fit. Pieces that fill a sequence are sequences of their own."""
     count = np.zeros(capacity + 1, np.int64)
     for k, n in histogram.items():
         count[k] = n
     out: dict[tuple, int] = defaultdict(int)
-    if count[capacity]:
-        out[((capacity, 1),)] += int(count[capacity])
+    full = int(count[capacity])
+    if full:
+        out[((capacity, 1),)] += full
     left = count.copy()
     left[capacity] = 0
-    for key, x in sorted(solve_configurations(left, capacity, rounds).items(), key=lambda kv: -kv[1]):
-        if sum(k * n for k, n in key) < capacity:
-            continue  # a sequence with room left: best-fit may still fill it
-        m = min([int(x * share), *(int(left[k]) // n for k, n in key)])
-        if m > 0:
-            out[key] += m
-            for k, n in key:
-                left[k] -= m * n
+    taken, bound = solve_configurations(left, capacity, rounds)
+    by_program = 0
+    for key, m in taken.items():
+        out[key] += m
+        for k, n in key:
+            left[k] -= m * n
+            by_program += m * n
     for key, m in best_fit(left, capacity).items():
         out[key] += m
-    return sorted(out.items(), reverse=True)
+    return Plan(sorted(out.items(), reverse=True), full + math.ceil(bound - 1e-6), by_program)
 
 
 def plan_rows(configurations: list[tuple[tuple, int]]) -> list[tuple[int, int, int, int, int, int]]:
@@ -202,29 +225,27 @@ def plan_rows(configurations: list[tuple[tuple, int]]) -> list[tuple[int, int, i
 def pack_pieces(cut: DataFrame, length: int = 2048, rounds: int = 120) -> DataFrame:
     """Put every piece into a sequence: adds sequence_id and offset.
 
-    The histogram (at most ``length`` rows) and the plan (bounded by the number
-    of lengths and rounds) are all that the driver holds, and the plan's size
-    does not depend on the corpus, so it is broadcast. Ties between pieces of one
-    length are broken by doc_id, text hash and piece.
+    The driver holds the histogram (at most ``length`` rows) and the plan (at most a
+    configuration for each length and round), neither of which grows with the
+    corpus. A length's pieces are ranked in shares of about ``SHARE_ROWS``; ties of
+    one length are broken by doc_id, text hash and piece.
     """
     spark = cut.sparkSession
-    share = F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(SHARES)).cast("int")
-    cut = cut.withColumn("_share", share)
-    counts = [(r[0], r[1], r[2]) for r in cut.groupBy("length", "_share").count().collect()]
-    histogram: dict[int, int] = defaultdict(int)
-    first = []
-    for size, part, n in sorted(counts):
-        first.append((size, part, histogram[size]))
-        histogram[size] += n
-    rows = plan_rows(plan(histogram, length, rounds))
+    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
+    rows = plan_rows(plan(histogram, length, rounds).configurations)
+    parts = spark.createDataFrame([(k, -(-n // SHARE_ROWS)) for k, n in histogram.items()], "length long, _parts long")
+    # at most a row for each length
+    cut = cut.join(F.broadcast(parts), "length").withColumn("_share", F.pmod(F.xxhash64("doc_id", "row", "piece"), F.col("_parts"))).drop("_parts")
+    sized = cut.groupBy("length", "_share").agg(F.count("*").alias("_size"))
+    earlier = Window.partitionBy("length").orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)
+    before = materialise(sized.select("length", "_share", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")), "shares")
     by_rank = Window.partitionBy("length", "_share").orderBy("doc_id", "row", "piece", "ids_crc32")
-    before = spark.createDataFrame(first, "length long, _share int, _before long")
+    ranked = cut.withColumn("_n", F.row_number().over(by_rank) - 1).join(before, ["length", "_share"]).withColumn("_rank", F.col("_n") + F.col("_before"))
     slots = spark.createDataFrame(rows, "length long, _from long, _to long, _sequence long, _each long, _offset long")
-    ranked = cut.withColumn("_n", F.row_number().over(by_rank) - 1).join(F.broadcast(before), ["length", "_share"]).withColumn("_rank", F.col("_n") + F.col("_before"))
+    # a piece finds the plan row of its length that holds its rank in a list
+    listed = materialise(slots.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("_from", "_to", "_sequence", "_each", "_offset"))).alias("_slots")), "slots")
+    out = ranked.join(listed, "length").withColumn("_slot", F.element_at(F.filter("_slots", lambda s: (F.col("_rank") >= s["_from"]) & (F.col("_rank") < s["_to"])), 1)).select("*", "_slot.*")
     inside = F.col("_rank") - F.col("_from")
-    # each piece meets the plan rows of its length that could hold it: ranges of ranks, found by a bounded list
-    listed = slots.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("_from", "_to", "_sequence", "_each", "_offset"))).alias("_slots"))
-    out = ranked.join(F.broadcast(listed), "length").withColumn("_slot", F.element_at(F.filter("_slots", lambda s: (F.col("_rank") >= s["_from"]) & (F.col("_rank") < s["_to"])), 1)).select("*", "_slot.*")
     return out.withColumns({"sequence_id": F.col("_sequence") + F.floor(inside / F.col("_each")), "offset": F.col("_offset") + F.pmod(inside, F.col("_each")) * F.col("length")}).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

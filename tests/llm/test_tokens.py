@@ -94,7 +94,7 @@ def test_plan_holds_every_piece_and_is_tight():
         histogram = {int(k): int(n) for k, n in zip(*np.unique(draw, return_counts=True), strict=True)}
         found = packing.plan(histogram, 2048)
         held: dict[int, int] = {}
-        for key, m in found:
+        for key, m in found.configurations:
             assert sum(k * n for k, n in key) <= 2048
             for k, n in key:
                 held[k] = held.get(k, 0) + n * m
@@ -102,9 +102,35 @@ def test_plan_holds_every_piece_and_is_tight():
         count = np.zeros(2049, np.int64)
         for k, n in histogram.items():
             count[k] = n
-        used = sum(m for _, m in found)
+        used = sum(m for _, m in found.configurations)
+        assert found.bound <= used and -(-sum(k * n for k, n in histogram.items()) // 2048) <= found.bound
         assert used <= 1.01 * sum(packing.best_fit(count, 2048).values()) + 1
-    assert packing.plan({}, 2048) == []
+    assert packing.plan({}, 2048) == packing.Plan([], 0, 0)
+
+
+def test_the_program_places_nearly_all(spark):
+    """On the lengths of a real histogram: most pieces by the program, few by best-fit."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
+    found = packing.plan(histogram, 2048)
+    assert found.by_program >= 0.9 * sum(n for k, n in histogram.items() if k < 2048)
+    assert sum(m for _, m in found.configurations) == found.bound == -(-sum(k * n for k, n in histogram.items()) // 2048)
+
+
+def test_a_hot_length_is_ranked_in_shares(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARE_ROWS", 7)
+    cut = spark.range(200).selectExpr("id AS doc_id", "id AS row", "0 AS piece", "0L AS start", "CASE WHEN id < 150 THEN 40L ELSE 20L END AS length", "id AS ids_crc32")
+    places: dict[int, list] = {}
+    for r in packing.pack_pieces(cut, 100).collect():
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for held in places.values():
+        end = 0
+        for offset, length in sorted(held):
+            assert offset == end
+            end += length
+        assert end <= 100
+    assert sum(map(len, places.values())) == 200 and len(places) == 75
 
 
 def test_packing(spark, sf):
