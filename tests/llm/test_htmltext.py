@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 from plumbline.llm import htmltext, queries
 
@@ -28,6 +29,42 @@ def test_odd_pages():
     assert len(htmltext.extract("<article><p>" + "word " * 200_000 + "</p></article>", None)) == 999_999
 
 
+LONG = "A sentence of running text that goes on for a while, as articles do. " * 3
+
+
+def test_nothing_of_an_article_is_dropped():
+    assert htmltext.extract("<article><p>We prove <math>x=2</math> here</article>", None) == "We prove x=2 here"
+    assert htmltext.extract("<article><p>one<xmp><b>&amp;</b></xmp>two</article>", None) == "one <b>&amp;</b> two"
+    assert htmltext.extract("<article><p>one<svg><text>x</text><p>two<svg/>three</article>", None) == "one two three"
+    related = f"<article><p>{LONG}</p><div class='related-work'><p>{LONG * 3}</p></div><div class='share'><a href=x>{LONG}</a></div><div class=related>see also</div></article>"
+    assert htmltext.extract(related, None) == " ".join((LONG * 4).split())
+
+
+def test_pages_without_an_article():
+    page = f"<body><div class=top>Logo</div><div class=wrap><div class=post><div class=lead><p>{LONG}</p></div><div class='body a b c d'><p>{LONG * 4}</p><p>{LONG}</p></div><div class=comments><p>{LONG}</p></div></div><div class=side-3><a href=x>{LONG}</a></div></div><div class=footer>{LONG}</div></body>"
+    assert htmltext.extract(page, None) == " ".join((LONG * 6).split())
+    table = f"<body><table><tr><td><a href=x>menu</a><td><p>{LONG}<td><a href=y>more</a></table>"
+    assert htmltext.extract(table, None).startswith("A sentence")
+
+
+def test_more_classes_than_three_tell_paths_apart():
+    page = htmltext.parse("<div class='a b c d'><p>x</p></div><div class='a b c e'><p>y</p></div>")
+    assert len({e.path for e in page.elements if e.tag == "div"}) == 2
+
+
+def test_hostile_pages_take_linear_time():
+    n = 1 << 20
+    parts = ('<a "', "<a '", "<div>", "</b>", "<b>", "<p>", "<b><p>", "<", "<!--", "<svg>", "<li><b>", "<div></i>", '<a ">" ', "<i><h2>")
+    for part in parts:
+        start = time.process_time()
+        htmltext.extract("<div><b>" + part * (n // len(part)), None)
+        htmltext.extract(part * (n // len(part)) + "'>", None)
+        assert time.process_time() - start < 30, part
+    start = time.process_time()
+    htmltext.extract("<div>" * 50_000 + "</p>" * 100_000 + "<h2></h2>" * 50_000, None)
+    assert time.process_time() - start < 15
+
+
 def test_host_votes_decide(spark):
     page = "<body><div class='post-{}'><p>{}</p></div><div class='box'><p>{}</p></div></body>"
     rows = [(i, f"http://A.example/{i}", page.format(i, "article text " * 9, "short note")) for i in range(5)]
