@@ -45,14 +45,17 @@ def hash_word(text: str) -> int:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Sorted hashes of words that mark toxic texts: surely, and likely."""
+    """Sorted hashes of words that mark toxic texts: the fixed ones, those learnt
+    that surely do, and those that likely do. No word is in two of them."""
 
+    fixed: np.ndarray
     sure: np.ndarray
     likely: np.ndarray
 
 
 def fixed_lexicon() -> Lexicon:
-    return Lexicon(np.sort(np.array([hash_word(w) for w in INSULTS], np.uint64)), np.zeros(0, np.uint64))
+    none = np.zeros(0, np.uint64)
+    return Lexicon(np.sort(np.array([hash_word(w) for w in INSULTS], np.uint64)), none, none)
 
 
 def _is_in(h: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -71,7 +74,7 @@ class Measured:
     of: np.ndarray
 
 
-TOXIC_LABELLERS = 4
+TOXIC_LABELLERS = 5
 
 
 def measure(texts: list[bytes], lexicon: Lexicon) -> Measured:
@@ -98,13 +101,16 @@ def measure(texts: list[bytes], lexicon: Lexicon) -> Measured:
     inner, outer = words(low, ~letter)
     h = hash_runs(low, inner, outer)
     of = np.searchsorted(at, inner, "right") - 1
-    sure, likely = _is_in(h, lexicon.sure), _is_in(h, lexicon.likely)
-    half = (h >> np.uint64(7)) & np.uint64(1) == 1
+    insult, sure, likely = (_is_in(h, x) for x in (lexicon.fixed, lexicon.sure, lexicon.likely))
     # different words only: one that is said again is one hit
     single = np.unique(of[likely].astype(np.uint64) << np.uint64(40) | h[likely] >> np.uint64(24)) >> np.uint64(40)
     several = np.bincount(single.astype(np.int64), minlength=n_docs)
-    hits = np.stack([np.bincount(of[x], minlength=n_docs) for x in (sure & half, sure & ~half, likely)])
-    groups = np.concatenate((hits > 0, several[None] > 1))
+    hits = np.stack([np.bincount(of[x], minlength=n_docs) for x in (insult, sure)])
+    place = np.flatnonzero(insult | sure | likely)
+    near = (np.diff(place) <= 12) & (np.diff(of[place]) == 0) & (h[place[1:]] != h[place[:-1]])
+    close = np.bincount(of[place[1:]][near], minlength=n_docs)
+    thick = np.bincount(of[place], minlength=n_docs) >= 0.02 * some
+    groups = np.stack((hits[0] > 0, hits[1] > 0, several > 1, close > 0, thick & (count > 0)))
     # how many words came before among the thirty words before them
     whole = hash_runs(low, starts, ends)
     order = np.lexsort((whole, doc))
@@ -126,7 +132,7 @@ def measure(texts: list[bytes], lexicon: Lexicon) -> Measured:
         "long_words": of_words(length >= 5),
         "digits": share((low >= 48) & (low <= 57), size),
         "length": np.log2(count + 1) / 16,
-        "insults": np.minimum(hits[:2].sum(0) / 8, 1),
+        "insults": np.minimum(hits.sum(0) / 8, 1),
         "slurs": np.minimum(several / 8, 1),
     }
     first = np.unique(of.astype(np.uint64) << np.uint64(40) | h % np.uint64(BUCKETS)) if len(h) else np.zeros(0, np.uint64)
@@ -139,8 +145,9 @@ LIMITS = {"symbols": 0.05, "capitals": 0.35, "bars": 0.08, "marks": 0.15, "echoe
 
 
 def patterns(m: Measured) -> tuple[np.ndarray, np.ndarray]:
-    """Vote patterns as bits: of the junk labellers and of the toxicity labellers
-    (either half of the sure words, a likely word, several different likely words)."""
+    """Vote patterns as bits: of the junk labellers and of the toxicity labellers (a
+    fixed insult; a word learnt as sure; several different likely words; two
+    different words of any of these close together; one word in fifty is one)."""
     junk = sum((m.values[k] > LIMITS[k]).astype(np.int64) << i for i, k in enumerate(JUNK_LABELLERS))
     toxic = sum(g.astype(np.int64) << i for i, g in enumerate(m.groups))
     return junk, toxic
@@ -258,8 +265,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample: int = 20_000, most
     ratio = (F.col("a") / n1) / ((F.col("b") + 0.5) / n0)
     found = counted.withColumn("r", ratio).where((F.col("a") >= max(5, n1 // 200)) & (F.col("r") >= 15)).orderBy(F.desc("r"), "h").limit(most).collect()
     pick = lambda low, high: np.array([x["h"] for x in found if low <= x["r"] < high], np.int64).view(np.uint64)
-    sure = np.union1d(fixed_lexicon().sure, pick(150, np.inf))
-    return Lexicon(sure, np.setdiff1d(pick(15, 150), sure))
+    fixed = fixed_lexicon().fixed
+    return Lexicon(fixed, np.setdiff1d(pick(150, np.inf), fixed), np.setdiff1d(pick(15, 150), fixed))
 
 
 def vote_counts(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
@@ -275,12 +282,13 @@ def vote_counts(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> Da
     return votes.groupBy("junk", "toxic").agg(F.count("*").alias("n"))
 
 
-def fit(docs: DataFrame, labels: DataFrame | None = None, sample: int = 6000, text_col: str = "text") -> Classifier:
-    """Fit on ``docs``: votes of all documents, and the texts of about ``sample``
-    (the bound on what is collected) for the scorer, chosen by a hash of the text.
-    An empty table gives a classifier that rejects nothing but empty texts."""
+def fit(docs: DataFrame, labels: DataFrame | None = None, sample: int = 6000, longest: int = 1 << 17, text_col: str = "text") -> Classifier:
+    """Fit on ``docs``: votes of all documents, and for the scorer about ``sample``
+    different texts of at most ``longest`` bytes, those whose hash is least, which
+    bounds what is collected. An empty table gives a classifier that rejects nothing
+    but empty texts."""
     lexicon = learn_lexicon(docs, labels, text_col=text_col) if labels is not None else fixed_lexicon()
-    counted = vote_counts(docs, lexicon, text_col).collect()  # at most 2 ** 11 rows
+    counted = vote_counts(docs, lexicon, text_col).collect()  # at most 2 ** 12 rows
     total = sum(r["n"] for r in counted)
     posterior, out = {}, Classifier({}, lexicon)
     for k, labellers in (("junk", len(JUNK_LABELLERS)), ("toxic", TOXIC_LABELLERS)):
@@ -291,17 +299,19 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample: int = 6000, te
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, texts in text_steps(batch, "t"):
+            for a, _, texts in text_steps(batch, "t"):
                 m = measure(texts, lexicon)
                 index, value, of = features(m)
                 junk, toxic = patterns(m)
                 cut = lambda x, t: pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(x, t))
-                yield pa.RecordBatch.from_arrays([cut(index, pa.int32()), cut(value, pa.float32()), pa.array(junk), pa.array(toxic)], ["i", "v", "junk", "toxic"])
+                yield pa.RecordBatch.from_arrays([cut(index, pa.int32()), cut(value, pa.float32()), pa.array(junk), pa.array(toxic), batch.column("h").slice(a, len(texts))], ["i", "v", "junk", "toxic", "h"])
 
     share = min(1.0, sample / max(total, 1))
-    chosen = docs.where(F.pmod(F.xxhash64(text_col), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))) if share < 1 else docs
-    # copies of one text are one example
-    rows = chosen.select(F.col(text_col).alias("t")).distinct().mapInArrow(take, "i array<int>, v array<float>, junk long, toxic long").limit(2 * sample).toArrow()
+    hashed = docs.select(F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h")).where(F.octet_length("t") <= longest)
+    chosen = hashed.where(F.pmod("h", F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))) if share < 1 else hashed
+    # copies of one text are one example; the order is fixed, so a second run fits the same
+    made = chosen.distinct().mapInArrow(take, "i array<int>, v array<float>, junk long, toxic long, h long")
+    rows = made.orderBy("h").limit(2 * sample).toArrow()
     if not rows.num_rows:
         out.weights = {k: np.zeros(N_FEATURES + 1) - 1e-6 for k in posterior}
         return out
@@ -336,5 +346,5 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, threshold: float
     ``_kept``. Repeated rows get equal scores; null ids don't matter; the columns
     of ``docs`` pass through (names of these three are taken over)."""
     docs = docs.drop("_junk", "_toxic", "_kept")
-    scored = score(docs, fit(docs, labels, sample, text_col), text_col)
+    scored = score(docs, fit(docs, labels, sample, text_col=text_col), text_col)
     return scored.withColumn("_kept", (F.col("_junk") < threshold) & (F.col("_toxic") < threshold))
