@@ -120,9 +120,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     path, docs, tokens.
 
     Null text: only the end id. Null ids come first. Rows with equal ids are
-    ordered by their text and all kept. An empty table gives no file. A range
-    partitioning by id spreads the rows, so an id with very many rows is the
-    only thing that can make one task large; a task writes a file each
+    ordered by a hash of their text and all kept. An empty table gives no file. A
+    range partitioning by id and that hash spreads the rows, so that only one text
+    repeated under one id can make a task large; a task writes a file each
     ``file_tokens`` tokens and holds no more than that and one batch.
     """
 
@@ -157,8 +157,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         cols = list(zip(*rows, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["part", "seq", "path", "docs", "tokens"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
-    rows = rows.repartitionByRange("i").sortWithinPartitions("i", "t")
+    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h"))
+    rows = rows.repartitionByRange("i", "h").sortWithinPartitions("i", "h").select("i", "t")
     return materialise(rows.mapInArrow(write, "part int, seq int, path string, docs long, tokens long"), "tokens-manifest")
 
 
@@ -177,9 +177,11 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     crc.append(zlib.crc32(file.span(a, b).astype("<u4").tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(file.doc_ids, pa.int64()), pa.array(file.starts[:-1] + base), pa.array(np.diff(file.starts)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    # one narrow row for each file
-    files = manifest.select("path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
+    # sums of whole parts first: the one task without a key has a row for each of them
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = manifest.groupBy("part").agg(F.sum("tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("upto"))
+    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    files = manifest.join(parts, "part").select("path", (F.col("upto") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))).alias("base"))
     n = max(1, min(manifest.count(), 20_000))
     return files.repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
