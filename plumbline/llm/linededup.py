@@ -142,6 +142,7 @@ def drop_lines(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     found = lines_to_drop(docs, s).select(F.col("i").alias("_i"), F.col("h").alias("_h"), F.col("drop").alias("_drop"))
     both = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_i"]) & (F.xxhash64(docs["text"]) == found["_h"]), "left")
     parts, drop = F.split(docs["text"], "\n"), found["_drop"]
-    kept = F.when(drop.isNull(), docs["text"]).otherwise(F.array_join(F.filter(parts, lambda _, k: ~F.array_contains(drop, k)), "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), drop)
+    kept = F.when(drop.isNull(), docs["text"]).otherwise(F.array_join(F.transform(left, lambda k: F.get(parts, k)), "\n"))
     names = [docs[f"`{c}`"] if c != "text" else kept.alias("text") for c in docs.columns]
     return both.select(*names, F.size(parts).alias("_lines"), F.when(drop.isNull(), 0).otherwise(F.size(drop)).alias("_dropped"))
