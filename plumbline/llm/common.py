@@ -23,6 +23,8 @@ def scratch(spark: SparkSession, tag: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{qualified(spark, base).rstrip('/')}/plumbline/{tag}-{uuid.uuid4().hex}"
