@@ -39,21 +39,23 @@ def price_jump(df: DataFrame, jump: float = 1.5) -> DataFrame:
     return out.select("country", "platform", "item", "month", "prior_month", rounded(moved).alias("moved"), F.col("a").alias("amt"))
 
 
-def peer_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-其他", accuracy: int | None = None) -> DataFrame:
-    """items whose price is more than k * MAD off their leaf's median; those
+def peer_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-其他", accuracy: int | None = None, by: list[str] | None = None) -> DataFrame:
+    """items whose price is more than k * MAD off their leaf's median (within
+    the keys ``by``, such as the site); those
     of catch-all leaves are marked, to be listed apart (``leaf_outliers``).
     Medians are exact, or to an ``accuracy`` for leaves that don't fit a task."""
-    p = _priced(df, [leaf, "item"])
-    mid = p.groupBy(leaf).agg(quantile("price", 0.5, accuracy).alias("median"))
-    p = join_same(p, mid, [leaf])
-    off = p.withColumn("_off", F.abs(F.col("price") - F.col("median"))).groupBy(leaf).agg(quantile("_off", 0.5, accuracy).alias("mad"))
-    out = join_same(p, off, [leaf]).where((F.col("mad") > 0) & (F.abs(F.col("price") - F.col("median")) > k * F.col("mad")))
-    return out.select(leaf, "item", rounded(F.col("price"), 4).alias("price"), rounded(F.col("price") / F.col("median"), 4).alias("times"), F.col("a").alias("amt"), F.endswith(F.col(leaf), F.lit(catch_all)).alias("catch_all"))
+    keys = [*(by or []), leaf]
+    p = _priced(df, [*keys, "item"])
+    mid = p.groupBy(keys).agg(quantile("price", 0.5, accuracy).alias("median"))
+    p = join_same(p, mid, keys)
+    off = p.withColumn("_off", F.abs(F.col("price") - F.col("median"))).groupBy(keys).agg(quantile("_off", 0.5, accuracy).alias("mad"))
+    out = join_same(p, off, keys).where((F.col("mad") > 0) & (F.abs(F.col("price") - F.col("median")) > k * F.col("mad")))
+    return out.select(*keys, "item", rounded(F.col("price"), 4).alias("price"), rounded(F.col("price") / F.col("median"), 4).alias("times"), F.col("a").alias("amt"), F.endswith(F.col(leaf), F.lit(catch_all)).alias("catch_all"))
 
 
-def leaf_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-其他", accuracy: int | None = None) -> tuple[DataFrame, DataFrame]:
+def leaf_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-其他", accuracy: int | None = None, by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """F3 as two lists: outliers of true leaves, and those of catch-all leaves, whose
     items are no peers of each other."""
     rest = F.coalesce(F.endswith(F.col(leaf), F.lit(catch_all)), F.lit(False))
-    one = lambda on: peer_outliers(df.where(rest if on else ~rest), leaf, k, catch_all, accuracy).drop("catch_all")
+    one = lambda on: peer_outliers(df.where(rest if on else ~rest), leaf, k, catch_all, accuracy, by).drop("catch_all")
     return one(False), one(True)

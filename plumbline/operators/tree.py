@@ -31,11 +31,13 @@ def tree_diff(cur: DataFrame, base: DataFrame, node: str = "node", parent: str =
     return both.withColumn("state", state).where("state IS NOT NULL").select(node, "state", "parent", "base_parent")
 
 
-def leaf_mix(df: DataFrame, leaf: str, node: str) -> DataFrame:
-    """What a leaf is made of by platform node, over the full population."""
-    out = df.groupBy(leaf, node).agg(F.count_distinct("item").alias("items"), F.sum("amt").alias("a"))
-    whole = Window.partitionBy(leaf)
-    return out.select(leaf, node, "items", F.col("a").cast("double").alias("amt"), ratio(F.col("items"), F.sum("items").over(whole)).alias("item_share"), ratio(F.col("a"), F.sum("a").over(whole)).alias("share"))
+def leaf_mix(df: DataFrame, leaf: str, node: str, by: list[str] | None = None) -> DataFrame:
+    """What a leaf is made of by platform node, over the full population, within
+    the keys ``by``, such as the site."""
+    keys = [*(by or []), leaf]
+    out = df.groupBy(*keys, node).agg(F.count_distinct("item").alias("items"), F.sum("amt").alias("a"))
+    whole = Window.partitionBy(keys)
+    return out.select(*keys, node, "items", F.col("a").cast("double").alias("amt"), ratio(F.col("items"), F.sum("items").over(whole)).alias("item_share"), ratio(F.col("a"), F.sum("a").over(whole)).alias("share"))
 
 
 def rare_roots(df: DataFrame, leaf: str, root: str = "root", most: float = 0.02) -> DataFrame:

@@ -41,16 +41,41 @@ def query(name: str) -> Callable[[Query], Query]:
     return add
 
 
+#: Bases that ``keep`` has persisted, by session, folder and push.
+_KEPT: dict[tuple[str, str, str], DataFrame] = {}
+_PUSHES = {"all": lambda w: w, "current": current_push, "previous": previous_push}
+
+
+def _base(spark: SparkSession, sf: str, push: str) -> DataFrame:
+    kept = _KEPT.get((spark.sparkContext.applicationId, sf, push))
+    return kept if kept is not None else base(_PUSHES[push](sales_view(spark, sf)))
+
+
+def keep(spark: SparkSession, sf: str) -> None:
+    """Build the bases of a folder once and persist them, as a run does; queries of
+    this session then start from them. ``drop`` ends that."""
+    for push in _PUSHES:
+        df = _base(spark, sf, push).persist()
+        df.count()
+        _KEPT[spark.sparkContext.applicationId, sf, push] = df
+
+
+def drop(spark: SparkSession, sf: str) -> None:
+    for push in _PUSHES:
+        if (df := _KEPT.pop((spark.sparkContext.applicationId, sf, push), None)) is not None:
+            df.unpersist()
+
+
 def _w(spark: SparkSession, sf: str) -> DataFrame:
-    return base(sales_view(spark, sf))
+    return _base(spark, sf, "all")
 
 
 def _cur(spark: SparkSession, sf: str) -> DataFrame:
-    return base(current_push(sales_view(spark, sf)))
+    return _base(spark, sf, "current")
 
 
 def _prev(spark: SparkSession, sf: str) -> DataFrame:
-    return base(previous_push(sales_view(spark, sf)))
+    return _base(spark, sf, "previous")
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:

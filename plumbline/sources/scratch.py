@@ -9,7 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, tag: str) -> str:
-    """A new folder in ``spark.checkpoint.dir``, or, where the session has none
-    (tests), in a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="plumbline-")
+    """A new folder in ``spark.checkpoint.dir``, or, where the session has none and
+    is local (tests), in a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="plumbline-")
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
