@@ -4,7 +4,9 @@ coefficients as were put in."""
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -138,3 +140,50 @@ def test_nulls_copies_and_empty(spark):
     assert media.media_features(media.store_column(df.limit(0))).count() == 0
     odd = spark.createDataFrame([(1, 0, None), (2, 3, bytearray(b"abc"))], "doc_id long, n_bytes long, media binary")
     assert [r["feature"] for r in media.media_features(odd).collect()] == [None, None]
+
+
+def _plain_media(text):
+    """The stored bytes and the feature's cells of a text, bit by bit in plain Python."""
+    data = text + b"\xff" * (576 if not text else -len(text) % 576)
+    blocks = len(data) // 64
+    across = 9 * max(1, -(-blocks // (9 * 8191)))
+    down = -(-blocks // across)
+    whole = data + b"\xff" * (across * down * 64 - len(data))
+    scan = bytearray()
+    for n in range(across * down):
+        # each coefficient is byte + 256: the one code (0), then nine bits
+        bits = "".join(f"0{b + 256:09b}" for b in whole[n * 64 : n * 64 + 64])
+        for k in range(0, len(bits), 8):
+            byte = int(bits[k : k + 8], 2)
+            scan += bytes([byte, 0]) if byte == 255 else bytes([byte])
+        scan += bytes([0xFF, 0xD9 if n == across * down - 1 else 0xD0 + n % 8])
+    marker = lambda kind, body: bytes([0xFF, kind]) + (len(body) + 2).to_bytes(2, "big") + body
+    head = b"\xff\xd8" + marker(0xFE, b"payload=%d" % len(data)) + marker(0xDB, bytes([0] + [1] * 64))
+    head += marker(0xC0, bytes([8]) + (down * 8).to_bytes(2, "big") + (across * 8).to_bytes(2, "big") + bytes([1, 1, 0x11, 0]))
+    for kind in (0x00, 0x10):
+        head += marker(0xC4, bytes([kind, 1] + [0] * 15 + [9]))
+    head += marker(0xDD, b"\x00\x01") + marker(0xDA, bytes([1, 1, 0, 0, 63, 0]))
+    light = [[Fraction(whole[(y * across + x) * 64] + 256 + 1024, 8) for x in range(across)] for y in range(down)]
+
+    def span(i, parts, n):
+        low = min(i * n // parts, n - 1)
+        return range(low, max(-(-(i + 1) * n // parts), low + 1))
+
+    mean = lambda values: sum(values) / len(values)
+    cells = [[mean([mean([light[y][x] for y in span(r, 8, down)]) for x in span(c, 9, across)]) for c in range(9)] for r in range(8)]
+    return head + bytes(scan), (across * 8, down * 8), cells
+
+
+def test_against_plain_python(spark):
+    rng = random.Random(9)
+    texts = ["", "a", "x" * 576, "".join(chr(rng.randrange(32, 0x250)) for _ in range(3000)), "ÿ" * 700, "line\n" * 2000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in media.media_features(media.store_column(df)).collect():
+        stored, (width, height), cells = _plain_media(texts[r["doc_id"]].encode())
+        assert (r["media_bytes"], r["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
+        size, bits = r["feature"].split(":")
+        assert size == f"{width}x{height}" == f"{r['width']}x{r['height']}"
+        got = f"{int(bits, 16):064b}"
+        for k, (left, right) in enumerate((row[c], row[c + 1]) for row in cells for c in range(8)):
+            if left != right:  # of equal cells, rounding may say either
+                assert got[k] == str(int(left > right)), (r["doc_id"], k)
