@@ -481,8 +481,8 @@ def m5(spark, sf):
 
 @query("M6_acceptance")
 def m6(spark, sf):
-    flags = _flags(spark, sf).where(F.col("month") >= F.lit("2001-01-01").cast("date"))
+    flags = _flags(spark, sf)
     told = spark.sql("SELECT 'ASIA' AS country, CAST(NULL AS STRING) AS platform, DATE'2001-01-01' AS from_month, DATE'2001-12-01' AS to_month")
     price = k.downgrade(flags, told, SITE).select(F.lit("price").alias("module"), *SITE, "state", F.col("amt").cast("decimal(24,4)").alias("amt"))
-    breaks = c.level_break(_w(spark, sf), SITE).where("month >= DATE'2001-01-01'").select(F.lit("level").alias("module"), *SITE, F.lit("open").alias("state"), F.col("value").cast("decimal(24,4)").alias("amt"))
+    breaks = c.level_break(_w(spark, sf), SITE).select(F.lit("level").alias("module"), *SITE, F.lit("open").alias("state"), F.col("value").cast("decimal(24,4)").alias("amt"))
     return m.acceptance(price.unionByName(breaks), _w(spark, sf).groupBy(*SITE).agg(F.sum("amt").alias("total_amt")), SITE)

@@ -21,4 +21,5 @@ def test_entry_points(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert entry.entry(spark).count() >= 0
+    found = entry.entry(spark)
+    assert found.count() > 0 and found.columns[-4:] == ["added", "lost", "matched", "change"]
