@@ -8,14 +8,15 @@ take two of a line's leading, middle and trailing tokens: there the commonest li
 (of ties, the greatest) is the pattern. So several templates that share a leaf are told apart, and one
 whose leading tokens vary is found, by what else they share. Any other line is a
 template of its own. A template that recurs in enough documents is dropped from
-all but the first of them.
+all but the first of them. So is a passage that runs over several lines: lines that
+stand side by side in several documents, and together are as long as a long one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -107,6 +108,29 @@ def generalised(docs: DataFrame, templates: DataFrame, s: Settings) -> DataFrame
     return covered.select("leaf", "own", F.col("leaf").alias("form"), F.lit(0).cast("long").alias("part")).union(further)
 
 
+def runs(lines: DataFrame, templates: DataFrame, s: Settings) -> DataFrame:
+    """(i, h, n) of the lines of passages that run over lines.
+
+    Two lines, one right after the other, that are so in ``docs_long`` documents are a
+    recurring pair; of adjacent pairs that recur from an earlier document, those of
+    ``long`` tokens or more together are such a passage. Every pair stays in its first
+    document.
+    """
+    again = lines.join(templates.where("n > 1").select("leaf", "own"), ["leaf", "own"], "left_semi")
+    again = again.select("i", "h", "n", "leaf", "own", "tokens").dropDuplicates(["i", "h", "n"])
+    inside = Window.partitionBy("i", "h").orderBy("n")
+    after = lambda c: F.lead(c).over(inside)
+    pair = again.select("i", "h", "n", "tokens", after("n").alias("to"), after("tokens").alias("more"), F.xxhash64("leaf", "own", after("leaf"), after("own")).alias("x"), F.xxhash64("own", after("own"), F.lit(3)).alias("y"))
+    pair = materialise(pair.where("to = n + 1").drop("to"), "line-pairs")
+    # a pair said twice in one document counts once
+    often = pair.select("x", "y", "i", "h").distinct().groupBy("x", "y").agg(F.count("*").alias("docs"), F.min("i").alias("first"))
+    often = often.where(F.col("docs") >= s.docs_long).select("x", "y", "first")
+    later = pair.join(often, ["x", "y"]).where(~F.col("i").eqNullSafe(F.col("first")))
+    run = later.withColumn("run", F.col("n") - F.row_number().over(inside)).groupBy("i", "h", "run")
+    run = run.agg(F.min("n").alias("low"), F.max("n").alias("high"), (F.sum("tokens") + F.max_by("more", "n")).alias("whole"))
+    return run.where(F.col("whole") >= s.long).select("i", "h", F.explode(F.sequence(F.col("low"), F.col("high") + 1)).alias("n"))
+
+
 def lines_to_drop(docs: DataFrame, s: Settings) -> DataFrame:
     """(i, h, drop): for each document that has any, the numbers of its lines to
     drop. ``h`` tells rows of one id apart."""
@@ -122,7 +146,8 @@ def lines_to_drop(docs: DataFrame, s: Settings) -> DataFrame:
     once = named.select("form", "part", "tokens", "i", "h").distinct()
     often = once.groupBy("form", "part", "tokens").agg(F.count("*").alias("docs"), F.min("i").alias("first")).where(F.col("docs") >= _enough(s))
     often = materialise(often.select("form", "part", "first"), "recurring")
-    drop = named.join(often, ["form", "part"]).where(~F.col("i").eqNullSafe(F.col("first")))
+    drop = named.join(often, ["form", "part"]).where(~F.col("i").eqNullSafe(F.col("first"))).select("i", "h", "n")
+    drop = drop.union(runs(lines, templates, s))
     return materialise(drop.groupBy("i", "h").agg(F.collect_set("n").alias("drop")), "dropped-lines")
 
 

@@ -87,9 +87,22 @@ WITH line AS (
 ), recurring AS (
   SELECT n, which, p, q, min(doc_id) AS first_id FROM (SELECT DISTINCT n, which, p, q, doc_id, text FROM named)
   GROUP BY n, which, p, q HAVING count(*) >= CASE WHEN n >= 50 THEN 2 ELSE 5 END
+), follow AS (
+  SELECT doc_id, text, pos, n, m, lead(pos) OVER w AS to_pos, lead(n) OVER w AS n2, lead(m) OVER w AS m2
+  FROM keyed WINDOW w AS (PARTITION BY doc_id, text ORDER BY pos)
+), often_pair AS (
+  SELECT m, m2, min(doc_id) AS first_id FROM (SELECT DISTINCT m, m2, doc_id, text FROM follow WHERE to_pos = pos + 1)
+  GROUP BY m, m2 HAVING count(*) >= 2
+), later AS (
+  SELECT f.*, pos - row_number() OVER (PARTITION BY doc_id, text ORDER BY pos) AS run
+  FROM follow f JOIN often_pair o USING (m, m2) WHERE to_pos = pos + 1 AND doc_id <> first_id
+), passage AS (
+  SELECT doc_id, text, min(pos) AS low, max(pos) + 1 AS high FROM later GROUP BY doc_id, text, run
+  HAVING sum(n) + arg_max(n2, pos) >= 50
 ), dropped AS (
-  SELECT DISTINCT x.doc_id, x.text, x.pos FROM named x JOIN recurring r USING (n, which, p, q)
-  WHERE x.doc_id <> r.first_id
+  SELECT x.doc_id, x.text, x.pos FROM named x JOIN recurring r USING (n, which, p, q) WHERE x.doc_id <> r.first_id
+  UNION
+  SELECT doc_id, text, unnest(range(low, high + 1)) FROM passage
 ), kept AS (
   SELECT l.doc_id, l.text, string_agg(l.part, chr(10) ORDER BY l.pos) FILTER (WHERE d.pos IS NULL) AS clean,
          count(*) AS n_lines, count(d.pos) AS n_dropped

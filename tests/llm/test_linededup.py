@@ -45,6 +45,20 @@ def test_several_templates_in_a_leaf(spark):
     assert sum(d for _, d in _run(spark, a[:5] + b).values()) == 8
 
 
+def test_a_passage_over_several_lines(spark):
+    words = [f"term{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    wrapped = [" ".join(words[a : a + 20]) for a in (0, 20, 40)]
+    two = [(1, "\n".join(["start", *wrapped, "end of one"])), (2, "\n".join(["mine", *wrapped])), (3, "\n".join([wrapped[0], "between", *wrapped[1:]]))]
+    got = _run(spark, two)
+    # of the third only the pair that it shares, which is too short alone
+    assert got == {(1, 5): (two[0][1], 0), (2, 4): ("mine", 3), (3, 4): (two[2][1], 0)}
+    short = [(i, "\n".join([*wrapped[:2], f"own {'abc'[i]}"])) for i in range(3)]
+    assert sum(d for _, d in _run(spark, short).values()) == 0
+    # copies of one id are one document each; blank lines end a passage
+    again = [(4, "\n".join(wrapped)), (4, "\n".join(wrapped)), (5, "\n".join([*wrapped[:2], "", wrapped[2]]))]
+    assert sorted(d for _, d in _run(spark, again).values()) == [0, 0]
+
+
 def test_edges(spark):
     rows = [(1, None, 7), (2, "", 7), (None, f"{LONG}\nx", 7), (3, LONG, 7), (3, LONG, 7), (4, f"{LONG}\n{LONG}", 7), (5, "\n \n", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, leaf int")
