@@ -75,6 +75,8 @@ def write_file(uri: str, parts: Iterable[bytes]) -> int:
 def text_steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
     """(first row, row after the last, texts as UTF-8) of slices of a batch, each
     of about ``limit`` bytes or one row; a null text is empty."""
+    # a worker goes from stage to stage: what an earlier one no longer needs is given back
+    pa.default_memory_pool().release_unused()
     at = batch.column(column).cast(pa.large_binary())
     n, start, held, size = len(at), 0, [], 0
     for i in range(n):

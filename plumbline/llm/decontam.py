@@ -290,7 +290,7 @@ class Index:
             early.setdefault(walk.early_end, np.unique(keys[0]))
             out.table[walk.alive(early)] |= np.uint32(1 << w)
             order = [np.argsort(k, kind="stable") for k in keys]
-            tables = [(k[o], mine[item[o]], (word - first[item])[o], bit_table(k)) for k, o in zip(keys, order, strict=True)]
+            tables = [(k[o], mine[item[o]].astype(np.int32), (word - first[item])[o].astype(np.int32), bit_table(k)) for k, o in zip(keys, order, strict=True)]
             out.walks.append((walk, {j: bit_table(early[j]) for j in walk.checks}, tables))
         return out
 

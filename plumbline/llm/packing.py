@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0,
         coder = opened(tokenizer)
         for batch in batches:
             names, rows = batch.column(0), batch.column(2)
-            for a, _, texts in text_steps(batch, "t"):
+            for a, _, texts in text_steps(batch, "t", 1 << 20):
                 ids, of = coder.encode(texts)
                 ids = np.insert(ids, of[1:], end_id).astype("<u4")
                 of = of + np.arange(len(of))

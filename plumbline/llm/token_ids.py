@@ -14,7 +14,6 @@ library's own for whole texts.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 
@@ -23,7 +22,7 @@ import numpy as np
 from .words import equal_runs, hash_runs, join, segments, spread
 
 #: Pieces kept per worker; beyond it the table starts anew.
-KEPT_PIECES = 1_200_000
+KEPT_PIECES = 800_000
 #: A longer text is encoded in parts of about this size.
 PART_BYTES = 4 << 20
 _ODD = re.compile(r"\s\s|[^\S \n]|᠎|\s\Z")
@@ -63,13 +62,11 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            about = json.load(f)
-        #: Whether a space before a word belongs to it. Otherwise the file drops white space.
-        self.spaces = "</w>" != about["model"].get("end_of_word_suffix")
         self.library = Tokenizer.from_file(path)
-        self.special = [t["content"].encode() for t in about["added_tokens"]]
-        self.mark = about["added_tokens"][-1]["content"]
+        #: Whether a space before a word belongs to it. Otherwise the file drops white space.
+        self.spaces = "</w>" != self.library.model.end_of_word_suffix
+        added = [t.content for _, t in sorted(self.library.get_added_tokens_decoder().items())]
+        self.special, self.mark = [t.encode() for t in added], added[-1]
         self.mark_id = self.library.token_to_id(self.mark)
         self.vocabulary = self.library.get_vocab_size()
         self._clear()
@@ -77,7 +74,7 @@ class Ids:
     def _clear(self) -> None:
         self.keys, self.flat, self.raw = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
         #: Of each key: where its ids and its bytes are, and whether a space leads.
-        self.where, self.size, self.at, self.length = (np.zeros(0, np.int64) for _ in range(4))
+        self.where, self.size, self.at, self.length = (np.zeros(0, np.int32) for _ in range(4))
         self.lead = np.zeros(0, bool)
 
     def whole(self, text: str) -> np.ndarray:
@@ -104,7 +101,8 @@ class Ids:
         put = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, put, keys)
         for name, new in (("where", where), ("size", size), ("at", at), ("length", length), ("lead", leads)):
-            setattr(self, name, np.insert(getattr(self, name), put, new))
+            held = getattr(self, name)
+            setattr(self, name, np.insert(held, put, new.astype(held.dtype)))
 
     def _found(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -161,11 +159,11 @@ class Ids:
         length = ends - starts
         other = (self.length[place] != length) | (self.lead[place] != lead)
         far = np.flatnonzero((length > 8) & ~other)
-        other[far] = ~equal_runs(buf, starts[far], self.raw, self.at[place[far]], length[far])
+        other[far] = ~equal_runs(buf, starts[far], self.raw, self.at[place[far]].astype(np.int64), length[far])
         for i in np.unique(np.searchsorted(of, np.flatnonzero(other), "right") - 1).tolist():
             slow[i] = self.whole(texts[i].decode())
-        size = self.size[place]
-        ids = self.flat[spread(self.where[place], size)]
+        size = self.size[place].astype(np.int64)
+        ids = self.flat[spread(self.where[place].astype(np.int64), size)]
         of = segments(size)[of]
         if not slow:
             return ids, of

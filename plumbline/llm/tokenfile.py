@@ -144,7 +144,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         coder = opened(tokenizer)
         for batch in batches:
             ids_of = batch.column(0)
-            for a, _, texts in text_steps(batch, "t"):
+            for a, _, texts in text_steps(batch, "t", 1 << 20):
                 ids, of = coder.encode(texts)
                 ends = of[1:]
                 held.append(np.insert(ids, ends, end_id))
