@@ -129,6 +129,13 @@ def _rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return held.flatten().to_numpy(zero_copy_only=False).reshape(len(held), -1)
 
 
+def odd_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which sketches differ, by row. The words are signed as Arrow has
+    them; ``bitwise_count`` takes the absolute value of such, so they are viewed
+    as unsigned."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).sum(-1, dtype=np.int64)
+
+
 def nearest(stars: DataFrame, s: Settings) -> DataFrame:
     """Of rows with two classes (a_..., b_...), those whose sketches may be a link,
     with ``far``, the odd bits of their XOR."""
@@ -136,7 +143,7 @@ def nearest(stars: DataFrame, s: Settings) -> DataFrame:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = np.bitwise_count(_rows(batch["a_sketch"]) ^ _rows(batch["b_sketch"])).sum(1, dtype=np.int64) if batch.num_rows else np.zeros(0, np.int64)
+            far = odd_bits(_rows(batch["a_sketch"]), _rows(batch["b_sketch"])) if batch.num_rows else np.zeros(0, np.int64)
             go = pa.array(far <= most_odd(batch["a_n"].to_numpy(), batch["b_n"].to_numpy(), s))
             yield pa.RecordBatch.from_arrays([*(batch[c].filter(go) for c in names), pa.array(far).filter(go)], [*names, "far"])
 
@@ -157,7 +164,7 @@ def squares(left: pa.Table, right: pa.Table, s: Settings) -> pa.Table:
         i, j = (o[slice(*np.searchsorted(sq, [q, q + 1]))] for o, sq in zip((mine, other), squares_of, strict=True))
         theirs = b_sketch[j]
         for x in i.tolist():
-            far = np.bitwise_count(a_sketch[x] ^ theirs).sum(1, dtype=np.int64)
+            far = odd_bits(a_sketch[x], theirs)
             y = j[far <= most_odd(a_n[x], b_n[j], s)]
             y = y[~(a_bands[x, : band[x]] == b_bands[y, : band[x]]).any(1)]
             found.append((np.full(len(y), x), y))
