@@ -204,6 +204,48 @@ def op10_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import audit
+
+    return audit(_read(spark, sf_dir, "documents"))
+
+
+_OP12_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), word AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM doc
+), kept AS (
+  SELECT lang, term FROM word GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), size AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), grp AS (
+  SELECT DISTINCT lang, source FROM doc
+), n AS (
+  SELECT lang, source, term, count(*) AS c FROM word JOIN kept USING (lang, term) GROUP BY lang, source, term
+), every AS (
+  SELECT g.lang, g.source, k.term, coalesce(n.c, 0)::HUGEINT AS c
+  FROM grp g JOIN kept k ON g.lang = k.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term
+), share AS (
+  SELECT lang, source, term, c, 1 + 1000000000 * (c + 1) // (sum(c) OVER (PARTITION BY lang, source) + v)::HUGEINT AS p,
+         1 + 1000000000 * (sum(c) OVER (PARTITION BY lang, term)::HUGEINT + 1) // (sum(c) OVER (PARTITION BY lang) + v)::HUGEINT AS q
+  FROM every JOIN size USING (lang)
+), pair AS (
+  SELECT g.lang, g.source, h.source AS item, coalesce(x.value, 0) AS value
+  FROM grp g JOIN grp h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+             FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+    ON x.lang = g.lang AND x.source = g.source AND x.item = h.source
+), part AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM share WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM part
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontam": op2_decontam,
@@ -215,6 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neardup": op8_neardup,
     "op9_html": op9_html,
     "op10_tokenfile": op10_tokenfile,
+    "op12_divergence": op12_divergence,
 }
 
-ORACLE: dict[str, str] = {"op3_linededup": _OP3_SQL, "op4_warc": _OP4_SQL, "op6_chat": _OP6_SQL}
+ORACLE: dict[str, str] = {"op3_linededup": _OP3_SQL, "op4_warc": _OP4_SQL, "op6_chat": _OP6_SQL, "op12_divergence": _OP12_SQL}
