@@ -204,6 +204,37 @@ def op10_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op11_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixdedup import remove_repeats
+
+    return remove_repeats(_read(spark, sf_dir, "documents")).drop("kept")
+
+
+_OP11_SQL = """
+WITH doc AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), start AS (
+  SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM doc)
+), gone AS (
+  SELECT doc_id, i FROM start QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1
+), edge AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS new FROM gone WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), run AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM edge) GROUP BY doc_id, r
+), held AS (
+  SELECT doc_id, a, b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS to_a FROM run
+), part AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, min(a) AS a0,
+         string_agg(substr(h, 2 * b + 1, 2 * (coalesce(to_a, n) - b)), '' ORDER BY a) AS after
+  FROM held JOIN doc USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN n_spans IS NULL THEN unhex(h) ELSE unhex(substr(h, 1, 2 * a0) || after) END) AS kept_sha256
+FROM doc LEFT JOIN part USING (doc_id)
+"""
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .divergence import audit
 
@@ -246,6 +277,49 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 """
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefixtrie import conversation_trie
+
+    return conversation_trie(_read(spark, sf_dir, "conversations"))
+
+
+_OP13_SQL = """
+WITH turn AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+  FROM conversations
+), size AS (
+  SELECT c, count(*) AS n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, i: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END))) % 6 AS h
+  FROM turn GROUP BY c
+), plan AS (
+  SELECT s.c, s.c - s.c % 100 AS base, s.h, least(s.h, coalesce(b.n, 0)) AS head FROM size s LEFT JOIN size b ON b.c = s.c - s.c % 100
+), rebuilt AS (
+  SELECT p.c, t.pos, t.role, t.text FROM plan p JOIN turn t ON t.c = p.base AND t.pos <= p.h
+  UNION ALL SELECT p.c, t.pos - p.h + p.head, t.role, t.text FROM plan p JOIN turn t ON t.c = p.c AND t.pos > p.h
+), path AS (
+  SELECT c, pos AS d, length(text) AS chars, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '' ORDER BY pos) OVER (PARTITION BY c ORDER BY pos)) AS k
+  FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM plan
+), step AS (
+  SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS ends FROM path
+), node AS (
+  SELECT d, k, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM step GROUP BY d, k
+), kid AS (
+  SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL
+), full_node AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM node n LEFT JOIN kid USING (d, k)
+), below AS (
+  SELECT r.d, r.k, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves, sum((u.n_convs - 1) * u.chars) AS saved_tokens
+  FROM step r JOIN full_node u ON u.conv_id = r.c AND u.d >= r.d GROUP BY r.d, r.k
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_node n JOIN below b USING (d, k) LEFT JOIN node u ON u.d = n.d - 1 AND u.k = n.up
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontam": op2_decontam,
@@ -257,7 +331,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neardup": op8_neardup,
     "op9_html": op9_html,
     "op10_tokenfile": op10_tokenfile,
+    "op11_suffixdedup": op11_suffixdedup,
     "op12_divergence": op12_divergence,
+    "op13_trie": op13_trie,
 }
 
-ORACLE: dict[str, str] = {"op3_linededup": _OP3_SQL, "op4_warc": _OP4_SQL, "op6_chat": _OP6_SQL, "op12_divergence": _OP12_SQL}
+ORACLE: dict[str, str] = {"op3_linededup": _OP3_SQL, "op4_warc": _OP4_SQL, "op6_chat": _OP6_SQL, "op11_suffixdedup": _OP11_SQL, "op12_divergence": _OP12_SQL, "op13_trie": _OP13_SQL}
