@@ -12,9 +12,10 @@ row. Other columns aren't read.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from bisect import bisect_left, bisect_right
-from collections import Counter, OrderedDict
+from collections import Counter, OrderedDict, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +28,8 @@ from .common import filesystem, materialise, scratch, text_steps, write_file
 from .transducer import Transducer
 from .words import spread
 
-#: Different terms that a task counts before it passes them on.
-HELD = 200_000
+#: Different terms that a task counts before it passes them on, and words.
+HELD, HELD_WORDS = 200_000, 8_000_000
 #: Terms, and bytes of terms, of a shard of the vocabulary.
 SHARD_TERMS, SHARD_BYTES = 1 << 16, 4 << 20
 #: Bytes of transducers that a worker keeps.
@@ -169,27 +170,38 @@ def recount(docs: DataFrame, shards: list[Shard]) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(shards)
-        held: dict[tuple[str, str], Counter] = {}
+        # a number for each term of a language, and the numbers of each source's words
+        number: dict[str, defaultdict[bytes, int]] = {}
+        held: dict[tuple[str, str], list[np.ndarray]] = {}
+        n_words = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang in sorted({k[0] for k in held}):
-                groups = {k: n for k, n in held.items() if k[0] == lang}
-                found = sorted(set().union(*groups.values()))
-                ordinal = dict(zip(found, words.ordinals(lang, found).tolist(), strict=True))
-                for (_, source), n in groups.items():
-                    at = [(o, c) for t, c in n.items() if (o := ordinal[t]) >= 0]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array([source] * len(at), pa.string()), pa.array([o for o, _ in at], pa.int64()), pa.array([c for _, c in at], pa.int64())], ["lang", "source", "ord", "n"])
+            for lang, known in number.items():
+                found = sorted(known)
+                ordinal = np.empty(len(found), np.int64)
+                ordinal[np.fromiter(map(known.__getitem__, found), np.int64, len(found))] = words.ordinals(lang, found)
+                for source in [k[1] for k in held if k[0] == lang]:
+                    times = np.bincount(np.concatenate(held[lang, source]), minlength=len(found))
+                    there = np.flatnonzero((times > 0) & (ordinal >= 0))
+                    same = lambda name, n=len(there): pa.array([name], pa.string()).take(pa.array(np.zeros(n, np.int32)))
+                    yield pa.RecordBatch.from_arrays([same(lang), same(source), pa.array(ordinal[there]), pa.array(times[there])], ["lang", "source", "ord", "n"])
+            number.clear()
             held.clear()
 
         for batch in batches:
             keys = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True))
             for a, _, texts in text_steps(batch, "text"):
                 for key, text in zip(keys[a:], texts, strict=False):
-                    n = held.setdefault(key, Counter())
+                    known = number.get(key[0])
+                    if known is None:
+                        known = number[key[0]] = defaultdict(itertools.count().__next__)
+                    mine = held.setdefault(key, [])
                     for found in terms(text):
-                        n.update(found)
-                if sum(map(len, held.values())) > HELD:
+                        mine.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
+                        n_words += len(found)
+                if n_words > HELD_WORDS or sum(map(len, number.values())) > HELD:
                     yield from flush()
+                    n_words = 0
         yield from flush()
 
     return docs.select("lang", "source", "text").mapInArrow(count, "lang string, source string, ord long, n long")
