@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import functools
 import operator
+import pickle
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_steps
+from .common import filesystem, materialise, scratch, text_steps, write_file
+from .words import spread
 
 _SOLID = np.zeros(256, bool)
 _SOLID[48:58] = _SOLID[97:123] = _SOLID[128:] = True
@@ -59,8 +62,9 @@ class Settings:
     late: int = 4
     samples: int = 6
     seed: int = 29
-    #: Bytes of benchmark text that one pass over the documents holds.
-    block_bytes: int = 8 << 20
+    #: Bytes of benchmark text that one pass over the documents holds; its index is up
+    #: to 250 times that and 4 MB for each of at most seven kinds of windows.
+    block_bytes: int = 512 << 10
 
 
 def normalise(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -231,17 +235,32 @@ def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def bit_table(keys: np.ndarray) -> np.ndarray:
-    """A bit for each value of the highest 20 bits of keys."""
-    held = np.zeros(1 << 20, bool)
-    held[(keys >> np.uint64(44)).astype(np.int64)] = True
+    """A bit for each value of the highest bits of keys: 20 of them, or fewer where
+    there are few keys, but at least sixteen bits a key."""
+    wide = min(20, max(10, (16 * len(keys)).bit_length()))
+    held = np.zeros(1 << wide, bool)
+    held[(keys >> np.uint64(64 - wide)).astype(np.int64)] = True
     return np.packbits(held, bitorder="little")
 
 
 def has_bit(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    spot = (keys >> np.uint64(44)).astype(np.int64)
+    spot = (keys >> np.uint64(65 - (8 * len(table)).bit_length())).astype(np.int64)
     return (table[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
 
 
+#: Pairs of a window and an item window that are listed at once.
+PAIRS = 1 << 19
+
+
+def distinct(*columns: np.ndarray) -> np.ndarray:
+    """Places of the first of each different row, in order of the rows."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    for c in columns:
+        new |= np.append(True, np.diff(c[order]) != 0)[: len(order)]
+    return order[new]
+
+
 @dataclass
 class Windows:
     """Item windows of one size and direction: a table of the first four
@@ -263,6 +282,10 @@ class Index:
         raw = buf.tobytes()
         self.texts = [raw[a:b].strip(b" ") for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         size = self.size = np.array([len(t) for t in self.texts], np.int64)
+        #: Starts of an item that are no further apart are one candidate, and so are
+        #: windows of an item with one key: half of its edits, so that what repeats in
+        #: an item and a text isn't listed in all pairs. Searches reach that far more.
+        self.step = np.maximum(1, (s.share * size).astype(np.int64) // 2)
         self.flat, self.first = np.frombuffer(b"".join(self.texts) + bytes(64), np.uint8), np.cumsum(size) - size
         #: Items too short for a walk, by the number that their bytes are.
         self.tiny: dict[int, dict[int, list[int]]] = {}
@@ -289,18 +312,20 @@ class Index:
             keys, _ = walk.keys(held, word, out=early)
             early.setdefault(walk.early_end, np.unique(keys[0]))
             out.table[walk.alive(early)] |= np.uint32(1 << w)
-            order = [np.argsort(k, kind="stable") for k in keys]
-            tables = [(k[o], mine[item[o]].astype(np.int32), (word - first[item])[o].astype(np.int32), bit_table(k)) for k, o in zip(keys, order, strict=True)]
+            offset = word - first[item]
+            order = [distinct(k, item, offset // self.step[mine[item]]) for k in keys]
+            tables = [(k[o], mine[item[o]].astype(np.int32), offset[o].astype(np.int32), bit_table(k)) for k, o in zip(keys, order, strict=True)]
             out.walks.append((walk, {j: bit_table(early[j]) for j in walk.checks}, tables))
         return out
 
     def candidates(self, buf: np.ndarray, texts: np.ndarray) -> np.ndarray:
-        """Distinct (text, start of the item, item) suggested by agreeing keys.
+        """(text, start of the item, item) suggested by agreeing keys, in order of text,
+        item and start; of starts in one ``step`` of an item the first found.
 
         ``texts``: where each text begins. The text is that of the window, since
         an item whose beginning is missing may seem to start before it.
         """
-        found = []
+        found: list[np.ndarray] = []
         room = self.s.steps + 5
         held = np.concatenate((np.zeros(room, np.uint8), CLASS[buf], np.zeros(room, np.uint8)))
         ends = {}
@@ -319,14 +344,28 @@ class Index:
                     go = has_bit(table, key)
                     key, at_key = key[go], where[go]
                     a, b = np.searchsorted(known, key, "left"), np.searchsorted(known, key, "right")
-                    n = b - a
-                    k = np.repeat(a - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-                    place = np.repeat(at_key, n) - room
-                    found.append(np.stack((np.searchsorted(texts, place, "right") - 1, place - offset[k], item[k], offset[k]), 1))
+                    # a frequent key in bounded parts, each reduced before the next
+                    cuts = np.append(np.flatnonzero(np.diff(np.cumsum(b - a) // PAIRS, prepend=-1)), len(a)).tolist()
+                    for x, y in zip(cuts, cuts[1:], strict=False):
+                        k, n = spread(a[x:y], (b - a)[x:y]), (b - a)[x:y]
+                        place = np.repeat(at_key[x:y], n) - room
+                        found.append(self._apart(np.stack((np.searchsorted(texts, place, "right") - 1, place - offset[k], item[k], offset[k]), 1)))
+                    if sum(map(len, found)) > 4 * PAIRS:
+                        found = [self._apart(np.concatenate(found))]
         if not found:
             return np.zeros((0, 3), np.int64)
-        every = np.unique(np.concatenate(found), axis=0)
-        return np.unique(every[self._near(buf, texts, every), :3], axis=0)
+        every = self._apart(np.concatenate(found))
+        every = every[self._near(buf, texts, every), :3]
+        return every[np.lexsort((every[:, 1], every[:, 2], every[:, 0]))]
+
+    def _apart(self, found: np.ndarray) -> np.ndarray:
+        """One candidate for each text, item and ``step`` of starts."""
+        text, begin, item, _ = found.T
+        spot = begin // self.step[item] + 1_000_000_000  # a start may lie before the text
+        if not len(text) or (int(text.max()) + 1) * len(self.size) * 2 * int(spot.max() - spot.min() + 1) >= 1 << 62:
+            return found[distinct(text, item, spot)]
+        one = (text * len(self.size) + item) * int(spot.max() - spot.min() + 1) + spot - spot.min()
+        return found[np.unique(one, return_index=True)[1]]
 
     def _near(self, buf: np.ndarray, texts: np.ndarray, found: np.ndarray) -> np.ndarray:
         """Which candidates agree well enough with the at most 64 characters of the
@@ -337,8 +376,9 @@ class Index:
         low = np.clip(offset - 16, 0, np.maximum(size - 64, 0))
         long = np.minimum(size, 64)
         slack = np.minimum(most, 28)
-        a = np.maximum(begin + low - slack, texts[text])
-        b = np.minimum(begin + low + long + slack, texts[text + 1])
+        reach = slack + 2 * self.step[item]
+        a = np.maximum(begin + low - reach, texts[text])
+        b = np.minimum(begin + low + long + reach, texts[text + 1])
         got = edits_of_many(self.flat, self.first[item] + low, long, buf, a, np.maximum(b - a, 0))
         return got <= np.where(size <= 64, most, np.maximum(slack, 28))
 
@@ -364,20 +404,28 @@ def matches(texts: list[bytes], index: Index) -> list[tuple[int, int, int]]:
     """(text, item, edits) of the items found in whole texts, fewest edits."""
     buf, at = normalise(texts)
     best: dict[tuple[int, int], int | None] = dict.fromkeys(index.whole_words(buf, at), 0)
-    reach: dict[tuple[int, int], int] = {}
     raw = buf.tobytes()
-    for d, begin, item in index.candidates(buf, at).tolist():
-        text = index.texts[item]
-        most = int(index.s.share * len(text))
-        key = (d, item)
-        # a place that the last one looked at already covers
-        if best.get(key) == 0 or reach.get(key, begin - 1) >= begin:
+    found = index.candidates(buf, at)
+    text, begin, item = found.T
+    most, size, more = (index.s.share * index.size[item]).astype(np.int64), index.size[item], 2 * index.step[item]
+    low, high = np.maximum(at[text], begin - most - more), np.minimum(at[text + 1], begin + 2 * most + size + more)
+    # places of an item that overlap are looked at as one
+    upto = -1
+    parts: list[list[int]] = []
+    for d, i, a, b in zip(text.tolist(), item.tolist(), low.tolist(), high.tolist(), strict=True):
+        if parts and parts[-1][:2] == [d, i] and a <= upto:
+            parts[-1][3] = upto = max(upto, b)
+        else:
+            parts.append([d, i, a, b])
+            upto = b
+    for d, i, a, b in parts:
+        own = index.texts[i]
+        edits = int(index.s.share * len(own))
+        if best.get((d, i)) == 0 or b - a < len(own) - edits:
             continue
-        reach[key] = begin + most
-        low, high = max(int(at[d]), begin - most), min(int(at[d + 1]), begin + 2 * most + len(text))
-        got = edits_within(text, raw[low:high], most) if high - low >= len(text) - most else None
-        if got is not None and (best.get(key) is None or got < best[key]):
-            best[key] = got
+        got = edits_within(own, raw[a:b], edits)
+        if got is not None and (best.get((d, i)) is None or got < best[d, i]):
+            best[d, i] = got
     return [(d, i, e) for (d, i), e in best.items() if e is not None]
 
 
@@ -385,21 +433,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | Non
     """(doc_id, row, item_id, edits): documents and the items in them; ``row``
     tells rows of one id apart.
 
-    The benchmark is read in blocks of bounded size, each one pass over all
+    The benchmark is dealt to blocks of bounded size; tasks build the index of each,
+    in shared files that the searching tasks read. A block is one pass over all
     documents, which are not shuffled. Null or empty texts match nothing; items of
     fewer than eight normalised characters match their exact copies as whole words,
     those without a letter or digit nothing; repeated rows match alike; an empty
     table of either kind gives no rows.
     """
     s = settings or Settings()
-    context = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
     out = docs.sparkSession.createDataFrame([], "doc_id long, row long, item_id long, edits int")
 
-    def search(sent):
+    def search(path: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = sent.value
+            index = None
             for batch in batches:
+                index = index or _read(path)
                 for a, _, texts in text_steps(batch, "t"):
                     got = matches(texts, index)
                     take = pa.array([a + d for d, _, _ in got], pa.int64())
@@ -407,25 +456,45 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | Non
 
         return run
 
-    block: list[tuple[int | None, bytes]] = []
-    size = 0
+    for path in indexes(benchmark, s):
+        out = out.union(rows.mapInArrow(search(path), out.schema))
+    return out
+
 
-    def flush() -> None:
-        nonlocal out, size
-        sent = context.broadcast(Index(block, s))
-        out = out.union(rows.mapInArrow(search(sent), out.schema))
-        block.clear()
+def indexes(benchmark: DataFrame, s: Settings) -> list[str]:
+    """Files of the indexes of all items, each of up to ``block_bytes`` of text."""
+    folder = scratch(benchmark.sparkSession, "benchmark")
+    items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int | None, bytes]] = []
         size = 0
 
-    for r in benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text").toLocalIterator():
-        text = r[1].encode()
-        if block and size + len(text) > s.block_bytes:
-            flush()
-        block.append((r[0], text))
-        size += len(text)
-    if block:
-        flush()
-    return out
+        def write() -> pa.RecordBatch:
+            path = f"{folder}/{uuid.uuid4().hex}.index"
+            write_file(path, [pickle.dumps(Index(held, s), pickle.HIGHEST_PROTOCOL)])
+            return pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
+
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
+                if held and size + len(text) > s.block_bytes:
+                    yield write()
+                    held, size = [], 0
+                held.append((i, text))
+                size += len(text)
+        if held:
+            yield write()
+
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    built = items.repartition(max(1, -(-total // s.block_bytes))).mapInArrow(build, "path string")
+    # one short row a block
+    return sorted(r["path"] for r in materialise(built, "benchmark-index").collect())
+
+
+def _read(path: str) -> Index:
+    fs, at = filesystem(path)
+    with fs.open_input_stream(at) as f:
+        return pickle.loads(f.read())
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:

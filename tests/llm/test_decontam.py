@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import pickle
 import random
+import time
 
 import numpy as np
 import pytest
@@ -84,6 +86,42 @@ def test_distances_of_many_pairs_are_exact():
         assert got[k] == _distance(flat[at[k] : at[k] + size[k]].tobytes(), buf[begin[k] : begin[k] + length[k]].tobytes())
 
 
+def test_what_repeats_takes_linear_time():
+    item = b"na " * 20 + b"end"
+    index = decontam.Index([(1, item), (2, b"la " * 40)], decontam.Settings())
+    took = []
+    for n in (20_000, 80_000):
+        start = time.process_time()
+        got = dict(((d, i), e) for d, i, e in decontam.matches([b"na " * (n // 3) + b"end", b"lo " * 50 + b"la " * (n // 3)], index))
+        took.append(time.process_time() - start)
+        assert got[0, 0] == 0 and got[1, 1] == 0
+    assert took[1] < 8 * took[0] + 1
+
+
+def test_a_match_further_on_is_not_skipped():
+    rng = random.Random(9)
+    # an item that is nearly periodic, in a text where its best place is not the first
+    item = ("ab cd ef gh " * 8).strip()
+    index = decontam.Index([(1, item.encode())], decontam.Settings())
+    for _ in range(20):
+        text = f"{_sentence(rng, 10)} {_edited(item, 16, rng)} {'ab cd ef gh ' * rng.randrange(3)}{item} {_sentence(rng, 5)}"
+        assert decontam.matches([text.encode()], index) == [(0, 0, 0)]
+
+
+def test_an_index_is_bounded(spark):
+    rng = random.Random(10)
+    items = [(i, _sentence(rng, 40)) for i in range(60)]
+    df = spark.createDataFrame(items, "item_id long, text string")
+    s = decontam.Settings(block_bytes=3000)
+    paths = decontam.indexes(df, s)
+    held = [decontam._read(p) for p in paths]
+    assert sorted(i for x in held for i in x.ids) == list(range(60)) and len(paths) > 3
+    assert max(sum(map(len, x.texts)) for x in held) <= 3000
+    big = decontam.Index([(i, t.encode()) for i, t in items], decontam.Settings())
+    # a table of four megabytes for each size and direction of windows, and what grows
+    assert len(pickle.dumps(big)) < len(big.groups) * (5 << 20) + 250 * sum(len(t) for _, t in items)
+
+
 def test_tiny_items_are_whole_words():
     index = decontam.Index([(1, b"abc"), (2, b"To be!"), (3, b"?"), (4, "né".encode())], decontam.Settings())
     texts = ["abc", "x abc y", "abcd", "xabc", "to-be or not", "not to be", "to bee", "", "né-il", "abc abc"]
