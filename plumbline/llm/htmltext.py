@@ -37,13 +37,14 @@ _BESIDE = frozenset("nav footer aside form button select dialog menu object canv
 #: Words of classes and ids that say what stands beside an article: surely, and likely.
 _BESIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox adslot adunit sponsor sponsored promo promotion nav navbar navigation breadcrumb breadcrumbs topnav sidenav "
-    "sidebar masthead topbar comment comments commentlist disqus respond cookie cookies cookiebar consent gdpr newsletter subscribe signup login".split()
+    "sidebar masthead topbar comment comments commentlist disqus respond logo copyright cookie cookies cookiebar consent gdpr newsletter subscribe signup login".split()
 )
 _LIKELY_WORDS = frozenset(
     "banner menu aside widget footer replies notice notices notification alert popup modal overlay share sharing social related recommended recommendations toolbar pager pagination skip hidden".split()
 )
-#: Inside an article, what is likely beside it isn't if it has this much text, few of it links.
-LEAST_OF_ARTICLE = 400
+#: Of these, what says so inside an article, too; the others name parts of articles as
+#: well (related work, a section on sharing), which are no lists of links.
+_NEVER_ARTICLE = _LIKELY_WORDS - frozenset("share sharing social related recommended recommendations widget".split())
 _BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _MAIN = frozenset(("article", "main"))
 #: A start tag of these ends an open element of the same kind below the nearest container.
@@ -51,8 +52,6 @@ _CLOSES = {k: frozenset(v.split()) for k, v in {"p": "p", "li": "li", "tr": "tr
 _CLOSED = frozenset().union(*_CLOSES.values())
 _HOLDS = frozenset("div article section main body td th ul ol dl table blockquote aside nav header footer form".split())
 _WORD = re.compile(r"[a-z]+")
-#: Running text of a sibling from this many characters on is part of an article.
-LEAST_TEXT = 100
 
 
 class Element:
@@ -63,7 +62,7 @@ class Element:
     article, itself included.
     """
 
-    __slots__ = ("tag", "path", "beside", "main", "parent", "chars", "links", "block", "link", "doubt", "likely", "total", "linked")
+    __slots__ = ("tag", "path", "beside", "main", "parent", "chars", "links", "block", "link", "doubt", "likely", "total", "linked", "blank")
 
     def __init__(self, tag: str, path: int, beside: bool, main: bool, parent: "Element | None", likely: bool = False) -> None:
         self.tag, self.path, self.beside, self.main, self.parent, self.likely = tag, path, beside, main, parent, likely
@@ -72,6 +71,8 @@ class Element:
         self.link = inline and (tag == "a" or parent.link)
         self.doubt = self if likely else parent.doubt if parent is not None else None
         self.chars = self.links = self.total = self.linked = 0
+        #: Whether there is nothing but white space in it.
+        self.blank = True
 
 
 class Page:
@@ -123,7 +124,7 @@ def _attributes(text: str) -> dict[str, str]:
 
 def _is_beside(tag: str, about: dict[str, str], inside_main: bool) -> tuple[bool, bool]:
     """Whether an element is known not to be the article, and whether it is likely
-    not, which its text decides."""
+    not, which the share of links in its text decides."""
     if tag in _BESIDE or tag == "header" and not inside_main:
         return True, False
     if not about or tag in _MAIN or tag in ("html", "body"):
@@ -133,8 +134,9 @@ def _is_beside(tag: str, about: dict[str, str], inside_main: bool) -> tuple[bool
     said = set(_WORD.findall(f"{about.get('class', '')} {about.get('id', '')}".lower()))
     if said & _BESIDE_WORDS or "header" in said and not inside_main:
         return True, False
-    likely = bool(said & _LIKELY_WORDS)
-    return likely and not inside_main, likely and inside_main
+    if not inside_main or said & _NEVER_ARTICLE:
+        return bool(said & _LIKELY_WORDS), False
+    return False, bool(said & _LIKELY_WORDS)
 
 
 def _step(tag: str, about: dict[str, str]) -> str:
@@ -261,6 +263,7 @@ def _settle(page: Page) -> None:
         if text and not e.beside:
             n = len(text)
             e.block.chars += n
+            e.block.blank = e.block.blank and text.isspace()
             e.block.links += n if e.link else 0
             if e.doubt is not None:
                 e.doubt.total += n
@@ -271,7 +274,7 @@ def _settle(page: Page) -> None:
             e.parent.doubt.linked += e.linked
     for e in page.elements:
         if e.likely:
-            e.beside |= e.total < LEAST_OF_ARTICLE or 3 * e.linked > e.total
+            e.beside |= 3 * e.linked > e.total
         if e.parent is not None:
             e.beside |= e.parent.beside
 
@@ -294,13 +297,14 @@ def score(page: Page) -> dict[int, float]:
 
 def whole_article(page: Page, path: int) -> int:
     """The path, or that of the container around it where an article goes on in a
-    sibling: running text, beside nothing, in a container that isn't the page."""
+    sibling: text that isn't mostly links, beside nothing, in a container that isn't
+    the page. How long it is doesn't matter."""
     tags = {e.path: e for e in page.elements if e.tag not in _INLINE}
     extra: dict[int, int] = {}
     for e in page.elements:
         if e.block is e and e.chars and not e.beside:
             net, n = e.chars - 3 * e.links, e.path
-            if net >= LEAST_TEXT:
+            if net > 0 and not e.blank:
                 extra[n] = extra.get(n, 0) + net
     if not extra:
         return path
@@ -384,8 +388,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     of their own; repeated rows give repeated rows; an empty table gives none. A
     page's time and memory are linear in its length, however it is nested. Elements
     whose class or id says comment, advert, menu and the like are left out; inside
-    an article, words that only make this likely (related, share, notice, ...) do so
-    where the element is short or mostly links. A drawing, form or frame is left
+    an article, words that only make this likely (related, share, ...) do so where
+    the element is mostly links, however long it is. A drawing, form or frame is left
     out, formulas are kept.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))

@@ -36,7 +36,7 @@ def test_nothing_of_an_article_is_dropped():
     assert htmltext.extract("<article><p>We prove <math>x=2</math> here</article>", None) == "We prove x=2 here"
     assert htmltext.extract("<article><p>one<xmp><b>&amp;</b></xmp>two</article>", None) == "one <b>&amp;</b> two"
     assert htmltext.extract("<article><p>one<svg><text>x</text><p>two<svg/>three</article>", None) == "one two three"
-    related = f"<article><p>{LONG}</p><div class='related-work'><p>{LONG * 3}</p></div><div class='share'><a href=x>{LONG}</a></div><div class=related>see also</div></article>"
+    related = f"<article><p>{LONG}</p><div class='related-work'><p>{LONG * 3}</p></div><div class='share'><a href=x>{LONG}</a></div><div class=related><a href=y>see also</a></div></article>"
     assert htmltext.extract(related, None) == " ".join((LONG * 4).split())
 
 
@@ -47,6 +47,23 @@ def test_pages_without_an_article():
     assert htmltext.extract(table, None).startswith("A sentence")
 
 
+def test_length_decides_nothing():
+    for n in (1, 2, 5, 20, 60, 95, 99, 100, 101, 399, 400, 401, 2000):
+        words = ("lead text " * 200)[:n].strip()
+        for lead in (f"<div class=lead>{words}</div>", f"<div class=lead><p>{words}</p></div>"):
+            page = f"<body><div class=post>{lead}<div class=body><p>{LONG * 4}</p></div></div><div class=footer>foot</div></body>"
+            assert htmltext.extract(page, None) == f"{words} {' '.join((LONG * 4).split())}", n
+        inside = lambda c, more="": htmltext.extract(f"<article><p>{LONG}</p><div class='{c}'>{more or f'<p>{words}</p>'}</div></article>", None)  # noqa: B023, E731
+        assert inside("related-work") == f"{LONG.strip()} {words}"
+        assert inside("notice") == LONG.strip() and inside("share", f"<a href=x>{words}</a>") == LONG.strip()
+        # a heading of the article, whatever its length
+        assert htmltext.extract(f"<body><div id=a><h1>{words}</h1><div class=text><p>{LONG}</p></div></div></body>", None) == f"{words} {LONG.strip()}"
+    # links around an article aren't it, whatever there is of them
+    for k in (1, 50):
+        links = f"<div class=more>{'<a href=x>another page</a> ' * k}</div>"
+        assert htmltext.extract(f"<body><div id=a>{links}<div class=text><p>{LONG}</p></div>{links}</div></body>", None) == LONG.strip()
+
+
 def test_more_classes_than_three_tell_paths_apart():
     page = htmltext.parse("<div class='a b c d'><p>x</p></div><div class='a b c e'><p>y</p></div>")
     assert len({e.path for e in page.elements if e.tag == "div"}) == 2
