@@ -6,8 +6,8 @@ characters. So a text is cut there, and each distinct piece is given to the
 tokenizers library once per worker; its ids are then looked up, all pieces of a
 batch at once. A piece is found by hash and taken only if it is the same bytes.
 A text with other white space (runs, tabs, spaces at the end) goes to the library
-whole where that matters, and so does one with a special token's string, which is
-that token, as the library has it. Very long texts are cut at such places first,
+whole where that matters, and so does one with a piece of over ``PIECE_BYTES``, which
+isn't kept, or with a special token's string, which is that token, as the library has it. Very long texts are cut at such places first,
 so that a step's memory has a bound. ``tests/llm`` compares the ids with the
 library's own for whole texts.
 """
@@ -21,8 +21,10 @@ import numpy as np
 
 from .words import equal_runs, hash_runs, join, segments, spread
 
-#: Pieces kept per worker; beyond it the table starts anew.
-KEPT_PIECES = 800_000
+#: Pieces kept per worker, and their bytes; beyond either the table starts anew.
+KEPT_PIECES, KEPT_BYTES = 800_000, 24 << 20
+#: A text with a longer piece (of a script without spaces) goes to the library whole.
+PIECE_BYTES = 1024
 #: A longer text is encoded in parts of about this size.
 PART_BYTES = 4 << 20
 _ODD = re.compile(r"\s\s|[^\S \n]|᠎|\s\Z")
@@ -126,6 +128,13 @@ class Ids:
         slow = {i: self.whole(texts[i].decode()) for i in whole}
         if slow:
             buf, at = join([b"" if i in slow else t for i, t in enumerate(texts)])
+        # places without a gap for too long
+        gap = np.flatnonzero(_GAP[buf])
+        far = np.flatnonzero(np.diff(gap, prepend=-1) > PIECE_BYTES)
+        if len(far):
+            more = set(np.unique(np.searchsorted(at, gap[far] - 1, "right") - 1).tolist()) - slow.keys()
+            slow |= {i: self.whole(texts[i].decode()) for i in more}
+            buf, at = join([b"" if i in slow else t for i, t in enumerate(texts)])
         space, line = buf == 32, buf == 10
         body = ~(space | line)
         first = body.copy()
@@ -147,7 +156,7 @@ class Ids:
             keys[lead] ^= _SPACE
         each, where, back = np.unique(keys, return_index=True, return_inverse=True)
         new = np.flatnonzero(~self._found(each))
-        if len(new) and len(self.keys) + len(new) > KEPT_PIECES:
+        if len(new) and (len(self.keys) + len(new) > KEPT_PIECES or len(self.raw) + int((ends - starts)[where[new]].sum()) > KEPT_BYTES):
             self._clear()
             new = np.arange(len(each))
         if len(new):

@@ -54,6 +54,20 @@ def test_long_texts_in_parts(monkeypatch, name):
     _same(Ids(public_tokenizers.path(name)), _library(name), texts)
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_texts_without_spaces_are_held_in_bounds(monkeypatch, name):
+    monkeypatch.setattr(token_ids, "KEPT_BYTES", 60_000)
+    rng = np.random.default_rng(4)
+    script = [chr(c) for c in range(0x4E00, 0x4F00)]
+    unspaced = ["".join(rng.choice(script, 3400)) + "\nfin " + "".join(rng.choice(script, 200)) for _ in range(8)]
+    words = [" ".join("".join(rng.choice(list("abcdef"), 9)) for _ in range(2500)) for _ in range(4)]
+    coder = Ids(public_tokenizers.path(name))
+    for part in ([unspaced[0], words[0], "", "a b"], unspaced[1:4] + words[1:3], [words[3], *unspaced[4:]]):
+        _same(coder, _library(name), part)
+        # pieces of ten thousand bytes aren't kept, and the table starts anew
+        assert len(coder.raw) <= 60_000 + 25_000 * len(part) and coder.length.max(initial=0) <= token_ids.PIECE_BYTES
+
+
 def test_any_token_without_its_neighbours():
     rng = np.random.default_rng(3)
     for high in (200, 50_000, 1 << 20):
