@@ -39,5 +39,22 @@ def test_stages(spark, sf):
     assert {r["doc_id"] for r in packed} == set(clean)
 
 
+def test_stages_with_null_ids_and_clashing_columns(spark, sf):
+    """Null ids and texts, repeated rows, and columns named like those of the operators."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(30)
+    odd = docs.limit(3).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "lang", "source", "n_chars")
+    empty = docs.limit(2).selectExpr("doc_id + 1000000 AS doc_id", "CAST(NULL AS STRING) AS text", "lang", "source", "n_chars")
+    every = docs.unionByName(odd).unionByName(empty).unionByName(docs.limit(2))
+    every = every.selectExpr("*", *(f"'{c}' AS `{c}`" for c in ("row", "length", "start", "label", "_kept", "h", "i", "value", "piece")))
+    for name, stage in pipeline.STAGES[:-1]:
+        left = common.materialise(stage(spark, every, sf), f"odd-{name}")
+        assert left.columns == every.columns and left.exceptAll(every.select(left.columns)).where("text IS NOT NULL").join(every.select("doc_id"), "doc_id", "left_anti").where("doc_id IS NOT NULL").count() == 0
+        assert left.select("row", "piece").distinct().collect() == [("row", "piece")]
+        none = stage(spark, every.limit(0), sf)
+        assert none.count() == 0 and none.columns == every.columns
+    packed = pipeline.STAGES[-1][1](spark, every, sf).collect()
+    assert len([r for r in packed if r["piece"] == 0]) == every.count() and sum(r["doc_id"] is None for r in packed if r["piece"] == 0) == 3
+
+
 def test_run_is_the_stages(spark, sf):
     assert pipeline.run(spark, sf).count() > 0
