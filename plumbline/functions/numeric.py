@@ -22,12 +22,6 @@ def ratio(a: Column, b: Column, places: int = 6) -> Column:
     return rounded(F.when(low != 0, a.cast("double") / low), places)
 
 
-def quantile(name: str, q: float, accuracy: int | None = None) -> Column:
-    """A quantile of a column in a group: exact and interpolated, which holds the
-    group's distinct values in one task, or a value of it to 1 / ``accuracy``."""
-    return F.percentile(name, F.lit(q)) if accuracy is None else F.percentile_approx(name, q, accuracy)
-
-
 def total(name: str) -> Column:
     """Sum of a decimal column, as a double."""
     return F.sum(name).cast("double")

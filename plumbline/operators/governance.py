@@ -6,22 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_same
-from ..functions.numeric import quantile, ratio, rounded, total
+from ..functions.numeric import ratio, rounded, total
+from ..functions.selection import quantiles
 
 
 def own_compare(df: DataFrame, truth: DataFrame, keys: list[str], by: list[str], accuracy: int | None = None) -> DataFrame:
     """K1: estimates against true sales per key, summed up by ``by``: matched and
     one-sided counts, and the median and 90th percentile of the relative error
-    (exact, or to an ``accuracy`` for groups that don't fit a task)."""
+    (exact, or to an ``accuracy``)."""
     est = df.groupBy(keys).agg(F.sum("amt").alias("e"))
     real = truth.groupBy(keys).agg(F.sum("true_amt").alias("t"))
     both = join_same(est, real, keys, "full_outer")
     error = F.when(F.col("t") != 0, F.abs(F.col("e").cast("double") / F.col("t").cast("double") - 1))
     matched = F.col("e").isNotNull() & F.col("t").isNotNull()
-    return both.withColumn("_x", error).groupBy(by).agg(
-        F.count_if(matched).alias("matched"), F.count_if(F.col("t").isNull()).alias("only_estimate"), F.count_if(F.col("e").isNull()).alias("only_truth"),
-        rounded(quantile("_x", 0.5, accuracy)).alias("p50"), rounded(quantile("_x", 0.9, accuracy)).alias("p90"),
-    )
+    both = both.withColumn("_x", error)
+    counts = both.groupBy(by).agg(F.count_if(matched).alias("matched"), F.count_if(F.col("t").isNull()).alias("only_estimate"), F.count_if(F.col("e").isNull()).alias("only_truth"))
+    spread = quantiles(both, by, "_x", {"p50": 0.5, "p90": 0.9}, accuracy)
+    return join_same(counts, spread.select(*by, rounded(F.col("p50")).alias("p50"), rounded(F.col("p90")).alias("p90")), by, "left")
 
 
 def carry_over(df: DataFrame, corrections: DataFrame, item: str = "item") -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_same
-from ..functions.numeric import quantile, ratio, rounded, total
+from ..functions.numeric import ratio, rounded, total
+from ..functions.selection import quantiles
 
 
 def label_sample(df: DataFrame, leaf: str, n: int, seed: str = "1", top: int = 3, percentile: float = 0.95, accuracy: int | None = None) -> DataFrame:
@@ -22,7 +23,7 @@ def label_sample(df: DataFrame, leaf: str, n: int, seed: str = "1", top: int = 3
     strata = (
         items.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= n).select(leaf, "item", F.lit("random").alias("reason")),
         items.withColumn("r", F.row_number().over(by_amount)).where(F.col("r") <= top).select(leaf, "item", F.lit("top").alias("reason")),
-        join_same(items, items.groupBy(leaf).agg(quantile("price", percentile, accuracy).alias("cut")), [leaf]).where("price >= cut").select(leaf, "item", F.lit("costly").alias("reason")),
+        join_same(items, quantiles(items, [leaf], "price", {"cut": percentile}, accuracy), [leaf]).where("price >= cut").select(leaf, "item", F.lit("costly").alias("reason")),
     )
     every = strata[0].unionByName(strata[1]).unionByName(strata[2])
     return every.groupBy(leaf, "item").agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reason"))
@@ -83,8 +84,8 @@ def tag_fill(df: DataFrame, keys: list[str], tags: str) -> DataFrame:
 
 def label_churn(cur: DataFrame, prev: DataFrame, item: str, label: str) -> DataFrame:
     """Items whose label differs from the last push's, as a matrix by this
-    push's amount."""
+    push's amount; no label (null) is one to come from and to go to."""
     now = cur.groupBy(item, label).agg(F.sum("amt").alias("a"))
     then = prev.select(item, F.col(label).alias("was")).distinct()
-    moved = now.join(then, item).where(F.col(label) != F.col("was"))
+    moved = join_same(now, then, [item]).where(~F.col(label).eqNullSafe(F.col("was")))
     return moved.groupBy(F.col("was").alias("label_from"), F.col(label).alias("label_to")).agg(F.count("*").alias("items"), total("a").alias("amt"))

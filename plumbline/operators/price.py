@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_same
-from ..functions.numeric import quantile, ratio, rounded, total
+from ..functions.numeric import ratio, rounded, total
+from ..functions.selection import quantiles
 
 
 def _priced(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -19,13 +20,11 @@ def price_summary(df: DataFrame, keys: list[str], accuracy: int | None = None) -
     """volume-weighted mean price, its quantiles over item-months (exact, or
     to an ``accuracy``), and range."""
     p = _priced(df, ["month", *keys, "item"] if "month" not in keys else [*keys, "item"])
-    at = lambda q: rounded(quantile("price", q, accuracy), 4)
     sums = df.groupBy(keys).agg(ratio(F.sum("amt"), F.sum("qty"), 4).alias("mean_price"))
-    spread = p.groupBy(keys).agg(
-        at(0.1).alias("p10"), at(0.5).alias("p50"), at(0.9).alias("p90"),
-        rounded(F.min("price"), 4).alias("low"), rounded(F.max("price"), 4).alias("high"),
-    )
-    return join_same(sums, spread, keys)
+    spread = p.groupBy(keys).agg(rounded(F.min("price"), 4).alias("low"), rounded(F.max("price"), 4).alias("high"))
+    inside = quantiles(p, keys, "price", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, accuracy)
+    inside = inside.select(*keys, *(rounded(F.col(q), 4).alias(q) for q in ("p10", "p50", "p90")))
+    return join_same(join_same(sums, inside, keys), spread, keys)
 
 
 def price_jump(df: DataFrame, jump: float = 1.5) -> DataFrame:
@@ -43,12 +42,11 @@ def peer_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-
     """items whose price is more than k * MAD off their leaf's median (within
     the keys ``by``, such as the site); those
     of catch-all leaves are marked, to be listed apart (``leaf_outliers``).
-    Medians are exact, or to an ``accuracy`` for leaves that don't fit a task."""
+    Medians are exact, or to an ``accuracy``."""
     keys = [*(by or []), leaf]
     p = _priced(df, [*keys, "item"])
-    mid = p.groupBy(keys).agg(quantile("price", 0.5, accuracy).alias("median"))
-    p = join_same(p, mid, keys)
-    off = p.withColumn("_off", F.abs(F.col("price") - F.col("median"))).groupBy(keys).agg(quantile("_off", 0.5, accuracy).alias("mad"))
+    p = join_same(p, quantiles(p, keys, "price", {"median": 0.5}, accuracy), keys)
+    off = quantiles(p.withColumn("_off", F.abs(F.col("price") - F.col("median"))), keys, "_off", {"mad": 0.5}, accuracy)
     out = join_same(p, off, keys).where((F.col("mad") > 0) & (F.abs(F.col("price") - F.col("median")) > k * F.col("mad")))
     return out.select(*keys, "item", rounded(F.col("price"), 4).alias("price"), rounded(F.col("price") / F.col("median"), 4).alias("times"), F.col("a").alias("amt"), F.endswith(F.col(leaf), F.lit(catch_all)).alias("catch_all"))
 
