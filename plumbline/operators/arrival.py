@@ -46,6 +46,54 @@ def push_diff(cur: DataFrame, prev: DataFrame, key: list[str], measures: list[st
     return both.withColumns({"status": status, "_e": effect}).groupBy(*by, "status").agg(F.count("*").alias("keys"), total("_e").alias("effect"))
 
 
+#: Parts that the keys below one branch of a push's tree are dealt to.
+PARTS = 256
+
+
+def _part(key: list[str]) -> F.Column:
+    return F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int").alias("part")
+
+
+def push_tree(df: DataFrame, key: list[str], measures: list[str], branch: list[str], amount: str = "amt") -> DataFrame:
+    """The checksums of a push: per ``branch`` (such as month and site) and part of
+    its keys the rows, their hash sum and their amount. Land it with the run: the next
+    push is compared with it before any row of this one is read again."""
+    row = F.xxhash64(*key, *measures).cast("decimal(38,0)")
+    return df.groupBy(*branch, _part(key)).agg(F.count("*").alias("rows"), F.sum(row).alias("checksum"), F.sum(amount).alias("amt"))
+
+
+def changed_parts(cur_tree: DataFrame, prev_tree: DataFrame) -> DataFrame:
+    """The branches and parts in which two trees differ."""
+    keys = [c for c in cur_tree.columns if c not in ("rows", "checksum", "amt")]
+    sums = lambda t, s: t.select(*keys, F.struct("rows", "checksum").alias(s))
+    both = join_same(sums(cur_tree, "_c"), sums(prev_tree, "_p"), keys, "full_outer")
+    return both.where(~F.col("_c").eqNullSafe(F.col("_p"))).select(keys)
+
+
+def only_parts(df: DataFrame, parts: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of a push in these branches and parts."""
+    return join_same(df.select("*", _part(key)), parts, parts.columns, "left_semi").drop("part")
+
+
+def push_diff_by_tree(cur: DataFrame, prev: DataFrame, key: list[str], measures: list[str], amount: str = "amt", by: list[str] | None = None, trees: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """B4 for pushes that are mostly the same: the rows of ``push_diff``, but only parts
+    whose checksums differ are joined; the keys of the others are the same.
+
+    ``trees``: what ``push_tree`` gave for both with ``by`` as the branch, if landed.
+    """
+    by = by or ["month"]
+    a, b = trees or (push_tree(cur, key, measures, by, amount), push_tree(prev, key, measures, by, amount))
+    parts = changed_parts(a, b)
+    found = push_diff(only_parts(cur, parts, key), only_parts(prev, parts, key), key, measures, amount, by)
+    alike = join_same(a, parts, parts.columns, "left_anti").select(*by, F.lit("same").alias("status"), F.col("rows").alias("keys"), F.lit(0.0).alias("effect"))
+    return found.unionByName(alike).groupBy(*by, "status").agg(F.sum("keys").alias("keys"), F.sum("effect").alias("effect"))
+
+
+def restatement_by_tree(cur_tree: DataFrame, prev_tree: DataFrame, keys: list[str]) -> DataFrame:
+    """B5 from two trees alone."""
+    return restatement(cur_tree, prev_tree, keys)
+
+
 def restatement(cur: DataFrame, prev: DataFrame, keys: list[str]) -> DataFrame:
     """Per past period, this push's amount over the last push's."""
     a, b = (d.groupBy(keys).agg(F.sum("amt").alias(n)) for d, n in ((cur, "cur"), (prev, "prev")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.components import components
 from ..functions.joins import join_same
 from ..functions.numeric import ratio, total
 from ..functions.text import brand_tokens, folded
@@ -47,6 +48,35 @@ def aliases(names: DataFrame, name: str = "raw_brand") -> DataFrame:
     return pairs.where("token <> alias").distinct()
 
 
+def families(names: DataFrame, name: str = "raw_brand") -> DataFrame:
+    """(token, family): parts of names that stand together in some name, over any
+    number of steps, as one family under its least part, lowered. A part that stands
+    alone everywhere has no row."""
+    return components(aliases(names, name), "token", "alias").select(F.col("node").alias("token"), F.col("component").alias("family"))
+
+
+def swallowed_families(names: DataFrame, family: DataFrame, raw: str = "raw_brand", standard: str = "brand", amount: str = "amt") -> DataFrame:
+    """H5 over chains: raw brands under a standard name of which no part is of one
+    family with theirs (``families``). The amount of each pair."""
+    apart = swallowed(names, raw, standard, amount)
+    each = lambda c, out: apart.select(raw, standard, F.explode(F.array_distinct(F.transform(brand_tokens(F.col(c)), lambda t: F.lower(t)))).alias("token")).join(family, "token").select(raw, standard, F.col("family").alias(out)).distinct()
+    mine, theirs = each(raw, "family"), each(standard, "family")
+    known = join_same(mine, theirs, [raw, standard, "family"], "left_semi").select(raw, standard).distinct()
+    return join_same(apart, known, [raw, standard], "left_anti")
+
+
+def split_families(names: DataFrame, family: DataFrame, raw: str = "raw_brand", standard: str = "brand", amount: str = "amt") -> DataFrame:
+    """H6 over chains: families of raw names that go to several standard names, with
+    the share of each. A name of several parts of one family counts once."""
+    sums = names.groupBy(raw, standard).agg(F.sum(amount).alias("_a"))
+    tokens = sums.select(raw, standard, "_a", F.explode(F.array_distinct(F.transform(brand_tokens(F.col(raw)), lambda t: F.lower(t)))).alias("token"))
+    named = tokens.join(family, "token", "left").select(raw, standard, "_a", F.coalesce("family", "token").alias("family")).distinct()
+    out = named.groupBy("family", F.col(standard).alias("standard")).agg(F.sum("_a").alias("a"))
+    whole = Window.partitionBy("family")
+    out = out.withColumns({"n": F.count("*").over(whole), "t": F.sum("a").over(whole)}).where("n > 1")
+    return out.select("family", "standard", F.col("n").alias("standards"), ratio(F.col("a"), F.col("t")).alias("share"))
+
+
 def swallowed(names: DataFrame, raw: str = "raw_brand", standard: str = "brand", amount: str = "amt") -> DataFrame:
     """H5: raw brands put under a standard name with which they share no part, also
     not by an alias or but for one letter. The amount of each pair."""

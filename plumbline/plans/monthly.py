@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import key_text
 from ..functions.numeric import total
 from ..operators import arrival as b
 from ..operators import brand as h
@@ -22,6 +23,7 @@ from ..operators import tail as g
 from ..operators import tree as i
 from ..sources.sales import SITE, base, current_push, previous_push, sales_view
 from ..sources.scratch import shared_folder
+from . import run
 
 #: The month under review, the month before, and the price bands' edges.
 MONTH, BASE_MONTH = "2001-06-01", "2001-05-01"
@@ -134,6 +136,14 @@ def a6(spark, sf):
     return a.fingerprint(w, "month").crossJoin(w.agg(total("amt").alias("amt"))).select("rows", "updated", "amt")
 
 
+@query("A6_changed_months")
+def a6_months(spark, sf):
+    w = sales_view(spark, sf)
+    other = w.withColumn("qty", F.when((F.col("item") == 100) & (F.col("qty") > 45), F.col("qty") + 1).otherwise(F.col("qty")).cast(w.schema["qty"].dataType))
+    # one side as a base keeps it, one from the rows themselves
+    return a.changed_months(a.month_checksums(base(w, checks=True)), a.month_checksums(other))
+
+
 @query("A7_intake")
 def a7(spark, sf):
     new = _table(spark, sf, "conversations")
@@ -168,6 +178,27 @@ def b4(spark, sf):
     return b.push_diff(_cur(spark, sf), _prev(spark, sf), GRAIN, ["qty", "amt", "l2", "brand", "root"])
 
 
+@query("B4_push_diff_by_tree")
+def b4_tree(spark, sf):
+    return b.push_diff_by_tree(_cur(spark, sf), _prev(spark, sf), GRAIN, ["qty", "amt", "l2", "brand", "root"])
+
+
+@query("B4_changed_parts")
+def b4_parts(spark, sf):
+    # one item of one month and site differs; the hash that deals the parts stays out
+    w = _w(spark, sf)
+    one = (F.col("item") == 100) & (F.col("country") == "ASIA") & (F.col("qty") > 40)
+    other = w.withColumn("qty", F.when(one, F.col("qty") + 1).otherwise(F.col("qty")).cast(w.schema["qty"].dataType))
+    trees = [b.push_tree(x, GRAIN, ["qty", "amt"], ["month", *SITE]) for x in (w, other)]
+    parts = b.changed_parts(*trees)
+    return parts.groupBy("month", *SITE).agg(F.count("*").alias("parts"))
+
+
+@query("B5_restatement_by_tree")
+def b5_tree(spark, sf):
+    return b.restatement_by_tree(*(b.push_tree(x, GRAIN, ["qty", "amt"], ["month"]) for x in (_cur(spark, sf), _prev(spark, sf))), ["month"])
+
+
 @query("B5_restatement")
 def b5(spark, sf):
     return b.restatement(_cur(spark, sf), _prev(spark, sf), ["month"])
@@ -284,6 +315,26 @@ def h6(spark, sf):
     return h.split_brands(_names(_w(spark, sf)))
 
 
+def _chained(spark, sf):
+    """Names in chains: red(red-k), red-k/red-z, red-z; some under an unrelated one."""
+    items = _w(spark, sf).groupBy("item", "raw_brand", "brand").agg(F.sum("amt").alias("amt"))
+    n, k, z = F.col("item"), F.concat("raw_brand", F.lit("-k")), F.concat("raw_brand", F.lit("-z"))
+    raw = F.when(n % 4 == 0, F.concat("raw_brand", F.lit("("), k, F.lit(")"))).when(n % 4 == 1, F.concat(k, F.lit("/"), F.upper(z))).when(n % 4 == 2, z).otherwise(F.col("raw_brand"))
+    return items.select("item", raw.alias("raw_brand"), F.when(n % 8 == 3, F.col("brand")).when(n % 8 == 2, F.upper("raw_brand")).otherwise(F.col("raw_brand")).alias("brand"), "amt")
+
+
+@query("H5_swallowed_families")
+def h5_families(spark, sf):
+    names = _chained(spark, sf)
+    return h.swallowed_families(names, h.families(names))
+
+
+@query("H6_split_families")
+def h6_families(spark, sf):
+    names = _chained(spark, sf)
+    return h.split_families(names, h.families(names))
+
+
 @query("H7_non_brand")
 def h7(spark, sf):
     words = spark.createDataFrame([("red",), ("blue",), ("new",)], "word string")
@@ -451,7 +502,7 @@ def m1(spark, sf):
 
 
 def _amounts(spark, sf):
-    return _w(spark, sf).groupBy(F.concat_ws("|", F.col("month").cast("string"), *SITE).alias("key")).agg(F.sum("amt").alias("amt"))
+    return _w(spark, sf).groupBy(key_text("month", *SITE).alias("key")).agg(F.sum("amt").alias("amt"))
 
 
 @query("M2_digest")
@@ -465,6 +516,32 @@ def m3(spark, sf):
     return m.impact(w, f.price_jump(w, 1.8), GRAIN)
 
 
+def _grained(spark, sf):
+    """Flags of three grains: months and sites, leaves of a site, items."""
+    w = _w(spark, sf)
+    jumps = f.price_jump(w, 1.8).where("item % 3 = 0")
+    return (
+        _screened(spark, sf).where("module = 'level'").select("module", "key")
+        .unionByName(i.rare_roots(w, "l2", most=0.03).select(F.lit("tree").alias("module"), key_text("l2", "root").alias("key")))
+        .unionByName(jumps.select(F.lit("price").alias("module"), key_text("month", *SITE, "item").alias("key")))
+    )
+
+
+@query("M3_impact_of_grains")
+def m3_grains(spark, sf):
+    return m.impact_of_grains(_w(spark, sf), _grained(spark, sf), SITE)
+
+
+@query("M3_module_impact")
+def m3_modules(spark, sf):
+    return m.module_impact(_w(spark, sf), _grained(spark, sf), SITE).withColumn("amt", F.col("amt").cast("double"))
+
+
+@query("M4_drill_flags")
+def m4_flags(spark, sf):
+    return m.drill_flags(_w(spark, sf), _screened(spark, sf), MONTH, n=5)
+
+
 @query("M4_drill")
 def m4(spark, sf):
     return m.drill(_w(spark, sf), {"country": "ASIA", "platform": "BUILDING"}, MONTH, BASE_MONTH, 20)
@@ -479,6 +556,25 @@ def m5(spark, sf):
     return a.recompute(a.landed(spark, "run-1", "site_totals", path), changed)
 
 
+@query("M5_recompute_view")
+def m5_view(spark, sf):
+    w, path = sales_view(spark, sf), shared_folder(spark, "run")
+    told = spark.createDataFrame([], "country string, platform string, from_month date, to_month date")
+    run.freeze_inputs(current_push(w), previous_push(w), None, told, "run-1", path)
+    run.land_views(spark, "run-1", run.parameters(MONTH, BASE_MONTH), path, ["push_diff"])
+    # nothing but the run and the view is told
+    return run.recompute(spark, "run-1", "push_diff", path)
+
+
+@query("A5_landed_view")
+def a5_view(spark, sf):
+    w, path = sales_view(spark, sf), shared_folder(spark, "run")
+    told = spark.createDataFrame([], "country string, platform string, from_month date, to_month date")
+    run.freeze_inputs(current_push(w), previous_push(w), None, told, "run-1", path)
+    run.land_views(spark, "run-1", run.parameters(MONTH, BASE_MONTH), path, ["period_change"])
+    return a.landed(spark, "run-1", "period_change", path).where(F.col("month") == F.lit(MONTH).cast("date"))
+
+
 @query("M6_acceptance")
 def m6(spark, sf):
     flags = _flags(spark, sf)

@@ -44,6 +44,10 @@ def _of(body: str, *more: str) -> str:
     return "WITH " + ",\n".join([_W, *more]) + "\n" + body
 
 
+def _recursive(body: str, *more: str) -> str:
+    return _of(body, *more).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 _BOTH = (_CUR, _PREV)
 _SITE = "country, platform"
 _TOTALS = f"count(*) AS rows, {_sum('qty')} AS qty, {_sum('amt')} AS amt"
@@ -130,9 +134,9 @@ SELECT coalesce(c.month, p.month) AS month, coalesce(c.country, p.country) AS co
 FROM (SELECT month, country, platform, sum(amt) AS v FROM cur GROUP BY ALL) c
 FULL JOIN (SELECT month, country, platform, sum(amt) AS v FROM prev GROUP BY ALL) p USING (month, country, platform)"""
 _FLAGGED = f"""chg AS ({_CHANGE}), rst AS ({_RESTATED}), flagged AS (
-  SELECT 'level' AS module, concat_ws('|', month, country, platform) AS key, 'change_1' AS metric, change_1 AS value, 'month-on-month' AS rule, 2 AS severity FROM chg WHERE change_1 < -0.9 OR change_1 > 2.0
-  UNION ALL SELECT 'level', concat_ws('|', month, country, platform), 'change_12', change_12, 'year-on-year', 1 FROM chg WHERE change_12 < -0.9 OR change_12 > 3.0
-  UNION ALL SELECT 'restated', concat_ws('|', month, country, platform), 'ratio', ratio, 'restated', 3 FROM rst WHERE ratio < 0.95 OR ratio > 1.05
+  SELECT 'level' AS module, json_object('month', CAST(month AS VARCHAR), 'country', country, 'platform', platform)::VARCHAR AS key, 'change_1' AS metric, change_1 AS value, 'month-on-month' AS rule, 2 AS severity FROM chg WHERE change_1 < -0.9 OR change_1 > 2.0
+  UNION ALL SELECT 'level', json_object('month', CAST(month AS VARCHAR), 'country', country, 'platform', platform)::VARCHAR, 'change_12', change_12, 'year-on-year', 1 FROM chg WHERE change_12 < -0.9 OR change_12 > 3.0
+  UNION ALL SELECT 'restated', json_object('month', CAST(month AS VARCHAR), 'country', country, 'platform', platform)::VARCHAR, 'ratio', ratio, 'restated', 3 FROM rst WHERE ratio < 0.95 OR ratio > 1.05
 )"""
 _TOLD = """told(country, platform, f, t) AS (
   VALUES ('ASIA', 'BUILDING', DATE '1996-01-01', DATE '1998-12-01'), (NULL, 'FURNITURE', DATE '2000-01-01', DATE '2000-06-01'), ('EUROPE', NULL, DATE '1997-03-01', DATE '1997-03-01')
@@ -142,6 +146,29 @@ _LEAF_MIX = f"SELECT l2, root, count(DISTINCT item) AS items, {_sum('amt')} AS a
 _RANKED = "SELECT l2, brand, sum(amt) AS a, row_number() OVER (PARTITION BY l2 ORDER BY sum(amt) DESC, brand) AS rank FROM w WHERE month = {} GROUP BY l2, brand"
 _HEAD = "SELECT l2, item FROM (SELECT l2, item, row_number() OVER (PARTITION BY l2 ORDER BY sum(amt) DESC, item) AS r FROM w WHERE month = {} GROUP BY l2, item) WHERE r <= 5"
 
+_KEY = "json_object('month', CAST(month AS VARCHAR), 'country', country, 'platform', platform)::VARCHAR"
+_GRAINED = f"""chg AS ({_CHANGE}), g1 AS (
+  SELECT DISTINCT month, country, platform, true AS h1 FROM chg WHERE change_1 < -0.9 OR change_1 > 2.0 OR change_12 < -0.9 OR change_12 > 3.0
+), g2 AS (SELECT l2, root, true AS h2 FROM ({_LEAF_MIX}) WHERE share < 0.03
+), g3 AS (SELECT DISTINCT month, country, platform, item, true AS h3 FROM jump WHERE item % 3 = 0
+), hit AS (
+  SELECT b.*, h1, h2, h3 FROM (SELECT month, country, platform, l2, root, item, sum(amt) AS amt FROM w GROUP BY ALL) b
+  LEFT JOIN g1 USING (month, country, platform) LEFT JOIN g2 USING (l2, root) LEFT JOIN g3 USING (month, country, platform, item)
+)"""
+
+_FAMILIES = """names AS (
+  SELECT item, CASE item % 4 WHEN 0 THEN concat(raw_brand, '(', raw_brand, '-k)') WHEN 1 THEN concat(raw_brand, '-k/', upper(concat(raw_brand, '-z'))) WHEN 2 THEN concat(raw_brand, '-z') ELSE raw_brand END AS raw_brand,
+         CASE item % 8 WHEN 3 THEN brand WHEN 2 THEN upper(raw_brand) ELSE raw_brand END AS brand, sum(amt) AS amt
+  FROM w GROUP BY ALL
+), part AS (
+  SELECT DISTINCT raw_brand, token FROM (SELECT raw_brand, trim(lower(unnest(string_split_regex(raw_brand, '[/／()（）]')))) AS token FROM names) WHERE token <> ''
+), link AS (SELECT DISTINCT a.token AS x, b.token AS y FROM part a JOIN part b USING (raw_brand) WHERE a.token <> b.token
+), reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), fam AS (SELECT x AS token, least(x, min(y)) AS family FROM reach GROUP BY x
+), std AS (
+  SELECT DISTINCT brand, token FROM (SELECT brand, trim(lower(unnest(string_split_regex(brand, '[/／()（）]')))) AS token FROM names) WHERE token <> ''
+)"""
+
 ORACLE: dict[str, str] = {
     "A1_load_sales": _of(f"SELECT {_SITE}, {_TOTALS} FROM w GROUP BY {_SITE}"),
     "A2_apply_scope": _of(f"SELECT month, {_SITE}, {_TOTALS} FROM w WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT {_SITE} FROM w) s WHERE s.country = w.country AND s.platform = w.platform AND s.country IN ('ASIA', 'EUROPE') AND s.platform IN ('BUILDING', 'MACHINERY', 'FURNITURE')) GROUP BY month, {_SITE}"),
@@ -150,6 +177,8 @@ ORACLE: dict[str, str] = {
 FROM std s FULL JOIN (SELECT l2, 'ruled' AS rule FROM std WHERE l2 LIKE '%bolt' UNION ALL SELECT concat(l2, '-new'), rule FROM std WHERE l2 LIKE '%gear') r ON s.l2 = r.l2""", "std AS (SELECT l2, min(l1) AS rule FROM w GROUP BY l2)"),
     "A5_land": _of(_C1),
     "A6_fingerprint": _of(f"SELECT count(*) AS rows, max(month) AS updated, {_sum('amt')} AS amt FROM w"),
+    "A6_changed_months": _of("SELECT DISTINCT month FROM w WHERE item = 100 AND qty > 45"),
+    "A5_landed_view": _of(f"{_CHANGE} WHERE n.month = {_M}", *_BOTH, _S.replace("FROM w", "FROM cur")),
     "A7_intake": f"SELECT conv_id, turn, role, {_MASK} AS text FROM conversations c WHERE NOT EXISTS (SELECT 1 FROM conversations f WHERE f.conv_id = c.conv_id AND f.conv_id % 3 = 0)",
     "A7_mask": f"SELECT doc_id, {_MASK} AS text FROM documents d WHERE regexp_matches(text, '[0-9@]')",
     "B1_arrival": _of(f"SELECT country, platform, l2, month, coalesce(n, 0) AS rows, coalesce(i, 0) AS items, n IS NULL AS missing FROM (SELECT DISTINCT country, platform, l2 FROM w) CROSS JOIN (SELECT DISTINCT month FROM w) LEFT JOIN (SELECT country, platform, l2, month, count(*) AS n, count(DISTINCT item) AS i FROM w GROUP BY ALL) USING (country, platform, l2, month)"),
@@ -160,6 +189,13 @@ FROM std s FULL JOIN (SELECT l2, 'ruled' AS rule FROM std WHERE l2 LIKE '%bolt'
   FROM (SELECT month, country, platform, item, l2, brand, root, sum(qty) AS qty, sum(amt) AS amt FROM cur GROUP BY ALL) c
   FULL JOIN (SELECT month, country, platform, item, l2, brand, root, sum(qty) AS qty, sum(amt) AS amt FROM prev GROUP BY ALL) p
   ON c.month = p.month AND c.country = p.country AND c.platform = p.platform AND c.item = p.item) GROUP BY month, status""", *_BOTH),
+    "B4_push_diff_by_tree": _of(f"""SELECT month, status, count(*) AS keys, {_sum('coalesce(ca, 0) - coalesce(pa, 0)')} AS effect FROM (
+  SELECT coalesce(c.month, p.month) AS month, c.amt AS ca, p.amt AS pa, CASE WHEN p.item IS NULL THEN 'added' WHEN c.item IS NULL THEN 'removed' WHEN c.qty = p.qty AND c.amt = p.amt AND c.l2 = p.l2 AND c.brand = p.brand AND c.root = p.root THEN 'same' ELSE 'changed' END AS status
+  FROM (SELECT month, country, platform, item, l2, brand, root, sum(qty) AS qty, sum(amt) AS amt FROM cur GROUP BY ALL) c
+  FULL JOIN (SELECT month, country, platform, item, l2, brand, root, sum(qty) AS qty, sum(amt) AS amt FROM prev GROUP BY ALL) p
+  ON c.month = p.month AND c.country = p.country AND c.platform = p.platform AND c.item = p.item) GROUP BY month, status""", *_BOTH),
+    "B4_changed_parts": _of("SELECT month, country, platform, count(*) AS parts FROM (SELECT month, country, platform, item, sum(qty) AS q FROM w WHERE item = 100 AND country = 'ASIA' GROUP BY ALL) WHERE q > 40 GROUP BY month, country, platform"),
+    "B5_restatement_by_tree": _of(f"SELECT coalesce(c.month, p.month) AS month, {_d('c.v')} AS cur_amt, {_d('p.v')} AS prev_amt, {_ratio('c.v', 'p.v')} AS ratio FROM (SELECT month, sum(amt) AS v FROM cur GROUP BY month) c FULL JOIN (SELECT month, sum(amt) AS v FROM prev GROUP BY month) p USING (month)", *_BOTH),
     "B5_restatement": _of(f"SELECT coalesce(c.month, p.month) AS month, {_d('c.v')} AS cur_amt, {_d('p.v')} AS prev_amt, {_ratio('c.v', 'p.v')} AS ratio FROM (SELECT month, sum(amt) AS v FROM cur GROUP BY month) c FULL JOIN (SELECT month, sum(amt) AS v FROM prev GROUP BY month) p USING (month)", *_BOTH),
     "C1_site_totals": _of(_C1),
     "C2_period_change": _of(_CHANGE, _S),
@@ -192,6 +228,12 @@ AND NOT EXISTS (SELECT 1 FROM rt JOIN al ON al.token = rt.token JOIN st ON st.to
         f"st AS (SELECT * FROM (SELECT DISTINCT brand, {_parts('brand', True)} AS token FROM names) WHERE token <> '')",
         "al AS (SELECT DISTINCT x.token, y.token AS alias FROM rt x JOIN rt y ON x.raw_brand = y.raw_brand AND x.token <> y.token)"),
     "H6_split_brands": _of(f"SELECT token, standard, count(*) OVER (PARTITION BY token) AS standards, {_ratio('a', 'sum(a) OVER (PARTITION BY token)')} AS share FROM (SELECT token, brand AS standard, sum(amt) AS a FROM (SELECT DISTINCT item, {_parts('raw_brand', True)} AS token, brand, amt FROM names) WHERE token <> '' GROUP BY token, brand) QUALIFY standards > 1", _NAMES),
+    "H5_swallowed_families": _recursive(f"""SELECT raw_brand, brand, rows, amt FROM (SELECT raw_brand, brand, count(*) AS rows, {_sum('amt')} AS amt FROM names GROUP BY ALL) n
+WHERE NOT EXISTS (SELECT 1 FROM part p LEFT JOIN fam f ON f.token = p.token, std s LEFT JOIN fam g ON g.token = s.token WHERE p.raw_brand = n.raw_brand AND s.brand = n.brand
+  AND (p.token = s.token OR f.family = g.family OR length(p.token) >= 4 AND levenshtein(p.token, s.token) <= 1))""", _FAMILIES),
+    "H6_split_families": _recursive(f"""SELECT family, standard, count(*) OVER (PARTITION BY family) AS standards, {_ratio('a', 'sum(a) OVER (PARTITION BY family)')} AS share FROM (
+  SELECT family, brand AS standard, sum(amt) AS a FROM (SELECT raw_brand, brand, sum(amt) AS amt FROM names GROUP BY ALL) n
+  JOIN (SELECT DISTINCT raw_brand, coalesce(family, token) AS family FROM part LEFT JOIN fam USING (token)) USING (raw_brand) GROUP BY ALL) QUALIFY count(*) OVER (PARTITION BY family) > 1""", _FAMILIES),
     "H7_non_brand": _of(f"SELECT trim(name) AS name, kind, count(*) AS rows, {_sum('amt')} AS amt FROM (SELECT *, CASE WHEN trim(name) = '' THEN 'blank' WHEN regexp_full_match(name, '[0-9]+') THEN 'digits' WHEN name IN ('red', 'blue', 'new') THEN 'word' END AS kind FROM (SELECT item, CASE WHEN item % 13 = 0 THEN '  ' WHEN item % 17 = 0 THEN CAST(item AS VARCHAR) ELSE raw_brand END AS name, sum(amt) AS amt FROM w GROUP BY item, raw_brand)) WHERE kind IS NOT NULL GROUP BY 1, 2"),
     "H8_others_yoy": _of(f"SELECT n.month, n.l1, {_r('n.s')} AS share, {_r('y.s')} AS last_year, {_r('n.s - y.s')} AS change FROM sh n LEFT JOIN sh y ON y.l1 = n.l1 AND y.month = CAST(n.month - INTERVAL '12' MONTH AS DATE)", _PREV, "sh AS (SELECT month, l1, CAST(coalesce(sum(amt) FILTER (WHERE brand = 'OTHERS'), 0) AS DOUBLE) / CAST(sum(amt) AS DOUBLE) AS s FROM prev GROUP BY month, l1)"),
     "H9_leaf_top_brands": _of(f"SELECT n.l2, n.brand, n.rank, b.rank AS base_rank, {_ratio('n.a', 't.a')} AS share FROM ({_RANKED.format(_M)}) n JOIN (SELECT l2, sum(amt) AS a FROM w WHERE month = {_M} GROUP BY l2) t ON n.l2 = t.l2 LEFT JOIN ({_RANKED.format(_B)}) b ON b.l2 = n.l2 AND b.brand = n.brand WHERE n.rank <= 5"),
@@ -225,9 +267,22 @@ FROM (SELECT DISTINCT item, CASE WHEN item % 20 = 0 THEN l2 ELSE concat(l2, '/fi
     "K7_downgrade": _of("SELECT j.*, CASE WHEN EXISTS (SELECT 1 FROM told d WHERE j.month BETWEEN d.f AND d.t AND (d.country IS NULL OR d.country = j.country) AND (d.platform IS NULL OR d.platform = j.platform)) THEN 'explained' ELSE 'open' END AS state FROM jump j", _jump(1.8), _TOLD),
     "K8_flag_history": _of(f"SELECT item, coalesce(n, 0) AS times, first_month, last_month FROM (SELECT DISTINCT item FROM jump WHERE month = {_M}) LEFT JOIN (SELECT item, count(*) AS n, min(month) AS first_month, max(month) AS last_month FROM jump WHERE month < {_M} GROUP BY item) USING (item)", _jump(1.8)),
     "M1_screen": _of("SELECT module, key, metric, value, rule, severity FROM flagged", *_BOTH, _S, _FLAGGED),
-    "M2_digest": _of(f"SELECT * FROM (SELECT module, count(*) OVER (PARTITION BY module) AS flags, CAST(sum(amt) OVER (PARTITION BY module) AS DOUBLE) AS module_amt, row_number() OVER (PARTITION BY module ORDER BY amt DESC, key, metric) AS rank, key, metric, {_d('amt')} AS amt FROM flagged JOIN (SELECT concat_ws('|', month, country, platform) AS key, sum(amt) AS amt FROM w GROUP BY 1) USING (key)) WHERE rank <= 5", *_BOTH, _S, _FLAGGED),
+    "M2_digest": _of(f"SELECT * FROM (SELECT module, count(*) OVER (PARTITION BY module) AS flags, CAST(sum(amt) OVER (PARTITION BY module) AS DOUBLE) AS module_amt, row_number() OVER (PARTITION BY module ORDER BY amt DESC, key, metric) AS rank, key, metric, {_d('amt')} AS amt FROM flagged JOIN (SELECT json_object('month', CAST(month AS VARCHAR), 'country', country, 'platform', platform)::VARCHAR AS key, sum(amt) AS amt FROM w GROUP BY 1) USING (key)) WHERE rank <= 5", *_BOTH, _S, _FLAGGED),
     "M3_impact": _of(f"SELECT count(*) FILTER (WHERE hit) AS rows, CAST(coalesce(sum(amt) FILTER (WHERE hit), 0) AS DOUBLE) AS touched, {_ratio('coalesce(sum(amt) FILTER (WHERE hit), 0)', 'sum(amt)')} AS share FROM (SELECT amt, EXISTS (SELECT 1 FROM jump j WHERE j.month = b.month AND j.country = b.country AND j.platform = b.platform AND j.item = b.item) AS hit FROM (SELECT month, country, platform, item, sum(amt) AS amt FROM w GROUP BY ALL) b)", _jump(1.8)),
+    "M3_impact_of_grains": _of(f"SELECT country, platform, count(*) FILTER (WHERE h1 OR h2 OR h3) AS rows, CAST(coalesce(sum(amt) FILTER (WHERE h1 OR h2 OR h3), 0) AS DOUBLE) AS touched, {_ratio('coalesce(sum(amt) FILTER (WHERE h1 OR h2 OR h3), 0)', 'sum(amt)')} AS share FROM hit GROUP BY country, platform", _S, _jump(1.8), _GRAINED),
+    "M3_module_impact": _of(" UNION ALL ".join(f"SELECT '{m}' AS module, country, platform, count(*) AS rows, {_sum('amt')} AS amt FROM hit WHERE {h} GROUP BY country, platform" for m, h in (("level", "h1"), ("tree", "h2"), ("price", "h3"))), _S, _jump(1.8), _GRAINED),
+    "M4_drill_flags": _of(f"""SELECT {_KEY} AS key, rank, item, {_d('a0')} AS base_amt, {_d('a1')} AS amt, {_d('d')} AS change FROM (
+  SELECT *, coalesce(a1, 0) - coalesce(a0, 0) AS d, row_number() OVER (PARTITION BY month, country, platform ORDER BY abs(coalesce(a1, 0) - coalesce(a0, 0)) DESC, item) AS rank FROM (
+    SELECT month, country, platform, item, sum(a0) AS a0, sum(a1) AS a1 FROM (
+      SELECT g.*, item, v AS a1, NULL AS a0 FROM g JOIN s USING (month, country, platform)
+      UNION ALL SELECT g.*, item, NULL, v FROM g JOIN s ON s.month = CAST(g.month - INTERVAL '1' MONTH AS DATE) AND s.country = g.country AND s.platform = g.platform
+    ) GROUP BY ALL)) WHERE rank <= 5""",
+        *_BOTH, _S.replace("s AS", "t AS", 1), f"chg AS ({_CHANGE.replace('FROM s n', 'FROM t n').replace('JOIN s ', 'JOIN t ')})", f"rst AS ({_RESTATED})", """g AS (
+  SELECT DISTINCT month, country, platform FROM chg WHERE change_1 < -0.9 OR change_1 > 2.0 OR change_12 < -0.9 OR change_12 > 3.0
+  UNION SELECT month, country, platform FROM rst WHERE ratio < 0.95 OR ratio > 1.05
+), s AS (SELECT month, country, platform, item, sum(amt) AS v FROM w GROUP BY ALL)"""),
     "M4_drill": _of(f"SELECT item, {_d('a0')} AS base_amt, {_d('a1')} AS amt, {_d('coalesce(a1, 0) - coalesce(a0, 0)')} AS change FROM (SELECT item, sum(amt) AS a1 FROM w WHERE month = {_M} AND country = 'ASIA' AND platform = 'BUILDING' GROUP BY item) FULL JOIN (SELECT item, sum(amt) AS a0 FROM w WHERE month = {_B} AND country = 'ASIA' AND platform = 'BUILDING' GROUP BY item) USING (item) ORDER BY abs(coalesce(a1, 0) - coalesce(a0, 0)) DESC, item LIMIT 20"),
+    "M5_recompute_view": "SELECT side, (SELECT count(*) FROM region WHERE r_name IS NULL) AS rows FROM (VALUES ('landed'), ('recomputed')) v(side)",
     "M5_recompute": f"SELECT side, (SELECT count(DISTINCT date_trunc('month', l_shipdate)) FROM lineitem WHERE CAST(date_trunc('month', l_shipdate) AS DATE) = {_M}) AS rows FROM (VALUES ('landed'), ('recomputed')) v(side)",
     "M6_acceptance": _of(f"""SELECT m.module, t.country, t.platform, CASE WHEN o > 0 THEN 'fail' WHEN n > 0 THEN 'explained' ELSE 'pass' END AS status, coalesce(n, 0) AS flags, {_ratio('coalesce(a, 0)', 't.v')} AS share
 FROM (SELECT DISTINCT module FROM fl) m CROSS JOIN (SELECT country, platform, sum(amt) AS v FROM w GROUP BY country, platform) t

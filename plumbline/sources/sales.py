@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.freeze import row_hash
+from .database import SalesDatabase
+
 SITE = ["country", "platform"]
 LABELS = ["root", "node", "l1", "l2", "leaf", "raw_brand", "brand", "list_price"]
 
@@ -33,12 +36,18 @@ SALES = T.StructType([
 def load_sales(spark: SparkSession, source: str | dict) -> DataFrame:
     """A1: the whole table, all sites and months, cast to the declared schema.
 
-    ``source`` is a path of Parquet, or options of a JDBC read (give
+    ``source`` is a path of Parquet, options of a read by a Python driver
+    (``sources.database``, a partition a month), or options of a JDBC read (give
     ``partitionColumn`` and ``numPartitions``, so that months load in parallel).
     A missing column is an error.
     """
-    raw = spark.read.format("jdbc").options(**source).load() if isinstance(source, dict) else spark.read.parquet(source)
-    return typed(raw)
+    if isinstance(source, str):
+        return typed(spark.read.parquet(source))
+    if "driver" in source and "url" not in source:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+        spark.dataSource.register(SalesDatabase)
+        return spark.read.format(SalesDatabase.name()).options(**source).load()
+    return typed(spark.read.format("jdbc").options(**source).load())
 
 
 def typed(raw: DataFrame) -> DataFrame:
@@ -94,7 +103,10 @@ def previous_push(w: DataFrame, last: str = "2001-11-01") -> DataFrame:
     })
 
 
-def base(sales: DataFrame) -> DataFrame:
+def base(sales: DataFrame, checks: bool = False) -> DataFrame:
     """Volume and amount per month, site, item and its labels: where most
-    operators start. Persist it once for a run."""
-    return sales.groupBy("month", *SITE, "item", *LABELS).agg(F.sum("qty").alias("qty"), F.sum("amt").alias("amt"))
+    operators start. Persist or freeze it once for a run. With ``checks`` it also
+    carries the rows and the checksum of what went in, so that a month's can be told
+    without reading the source again."""
+    more = [F.count("*").alias("rows"), F.sum(row_hash(sales)).alias("checksum")] if checks else []
+    return sales.groupBy("month", *SITE, "item", *LABELS).agg(F.sum("qty").alias("qty"), F.sum("amt").alias("amt"), *more)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, tag: str) -> str:
@@ -17,3 +17,11 @@ def shared_folder(spark: SparkSession, tag: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="plumbline-")
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as a table in a shared folder: later steps neither make it again nor
+    need the executors that made it."""
+    path = shared_folder(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
