@@ -4,6 +4,9 @@ A mergeable sketch gives cuts on both sides of each wanted rank. A second pass c
 the rows between the cuts, which says in which bucket a rank lies, whatever the sketch
 did; only the distinct values of that bucket are ranked. So no task holds more of a
 group than a few parts in ``accuracy`` of its distinct values.
+
+The values are written to the shared folder once, and so are the short tables of cuts
+and of wanted places: the passes read them, and what made the values runs once.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
 from .joins import join_same
 
 #: Of the sketch: ranks are off by at most a group's rows over this.
@@ -19,10 +23,10 @@ ACCURACY = 10_000
 
 def _buckets(df: DataFrame, keys: list[str], value: str, at: list[float], accuracy: int) -> DataFrame:
     """(keys, _b, _v): each value with the number of cuts below it."""
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    rows = written(df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL"), "values")
     margin = 2.0 / accuracy
     probes = sorted({min(max(q + side * margin, 0.0), 1.0) for q in at for side in (-1, 1)})
-    cuts = rows.groupBy(keys).agg(F.percentile_approx("_v", probes, accuracy).alias("_cuts"))
+    cuts = written(rows.groupBy(keys).agg(F.percentile_approx("_v", probes, accuracy).alias("_cuts")), "cuts")
     bucket = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
     return join_same(rows, cuts, keys).select(*keys, bucket.alias("_b"), "_v")
 
@@ -49,7 +53,7 @@ def ranked_part(df: DataFrame, keys: list[str], value: str, at: dict[str, float]
     """The places that are wanted, and (keys, _b, _v, _c): the distinct values, with
     their counts, of the buckets that hold them."""
     placed = _buckets(df, keys, value, list(at.values()), accuracy)
-    wanted = _wanted(placed, keys, at)
+    wanted = written(_wanted(placed, keys, at), "places")
     held = join_same(placed, wanted.select(*keys, "_b").distinct(), [*keys, "_b"], "left_semi")
     return wanted, held.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.distinct import by_level
 from ..functions.joins import join_same
-from ..functions.numeric import ratio, total
+from ..functions.numeric import ratio
 
 
 def category_results(df: DataFrame, levels: list[str]) -> DataFrame:
     """Items, volume and amount at every level and in total; ``gid`` tells
     which levels are rolled up."""
-    out = df.rollup(*levels).agg(F.grouping_id().cast("int").alias("gid"), F.count_distinct("item").alias("items"), total("qty").alias("qty"), total("amt").alias("amt"))
-    return out.select(*levels, "gid", "items", "qty", "amt")
+    out = by_level(df, levels, "item", ["qty", "amt"])
+    return out.select(*levels, "gid", "items", F.col("qty").cast("double").alias("qty"), F.col("amt").cast("double").alias("amt"))
 
 
 def band_of(price: Column, edges: list[float]) -> Column:

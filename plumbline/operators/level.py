@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.distinct import by_level
 from ..functions.joins import join_same
 from ..functions.numeric import median_of, ratio, total
 
@@ -12,8 +13,7 @@ from ..functions.numeric import median_of, ratio, total
 def site_totals(df: DataFrame) -> DataFrame:
     """Month, month x country and month x site: amount, volume, items, mean
     price, and the share among its level's rows of the month."""
-    sets = df.groupingSets([["month"], ["month", "country"], ["month", "country", "platform"]], "month", "country", "platform")
-    out = sets.agg(F.grouping_id().cast("int").alias("gid"), F.sum("amt").alias("a"), F.sum("qty").alias("q"), F.count_distinct("item").alias("items"))
+    out = by_level(df, ["month", "country", "platform"], "item", ["amt", "qty"], least=1).withColumnsRenamed({"amt": "a", "qty": "q"})
     level = Window.partitionBy("month", "gid")
     return out.select(
         "month", "country", "platform", "gid", F.col("a").cast("double").alias("amt"), F.col("q").cast("double").alias("qty"), "items",

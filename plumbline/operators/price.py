@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import join_same
 from ..functions.numeric import ratio, rounded, total
 from ..functions.selection import quantiles
+from ..sources.scratch import written
 
 
 def _priced(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -44,7 +45,8 @@ def peer_outliers(df: DataFrame, leaf: str, k: float = 3.0, catch_all: str = "-
     of catch-all leaves are marked, to be listed apart (``leaf_outliers``).
     Medians are exact, or to an ``accuracy``."""
     keys = [*(by or []), leaf]
-    p = _priced(df, [*keys, "item"])
+    # read again for the median, for the spread around it, and at the end
+    p = written(_priced(df, [*keys, "item"]), "prices")
     p = join_same(p, quantiles(p, keys, "price", {"median": 0.5}, accuracy), keys)
     off = quantiles(p.withColumn("_off", F.abs(F.col("price") - F.col("median"))), keys, "_off", {"mad": 0.5}, accuracy)
     out = join_same(p, off, keys).where((F.col("mad") > 0) & (F.abs(F.col("price") - F.col("median")) > k * F.col("mad")))

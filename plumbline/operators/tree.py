@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.distinct import by_prefix
 from ..functions.joins import join_same
-from ..functions.numeric import ratio, total
+from ..functions.numeric import ratio
 
 
 def tree_totals(df: DataFrame, path: str = "path") -> DataFrame:
     """Items, volume and amount of every node, a row's path being counted at
     each of its prefixes. ``path`` is an array from the root."""
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(path)), lambda n: F.slice(F.col(path), F.lit(1), n))
-    # items first, so that a row per prefix and item is all that is exploded
-    items = df.where(F.size(path) > 0).groupBy(path, "item").agg(F.sum("qty").alias("q"), F.sum("amt").alias("a"))
-    each = items.select(F.explode(prefixes).alias("node"), "item", "q", "a")
-    out = each.groupBy("node").agg(F.count_distinct("item").alias("items"), total("q").alias("qty"), total("a").alias("amt"))
-    return out.select(F.array_join("node", "/").alias("node"), F.size("node").alias("depth"), "items", "qty", "amt")
+    out = by_prefix(df, path, "item", ["qty", "amt"])
+    return out.select(F.array_join(path, "/").alias("node"), F.size(path).alias("depth"), "items", F.col("qty").cast("double").alias("qty"), F.col("amt").cast("double").alias("amt"))
 
 
 def tree_diff(cur: DataFrame, base: DataFrame, node: str = "node", parent: str = "root") -> DataFrame:
