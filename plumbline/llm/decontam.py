@@ -236,8 +236,8 @@ def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def bit_table(keys: np.ndarray) -> np.ndarray:
     """A bit for each value of the highest bits of keys: 20 of them, or fewer where
-    there are few keys, but at least sixteen bits a key."""
-    wide = min(20, max(10, (16 * len(keys)).bit_length()))
+    there are few keys, but at least 128 bits a key."""
+    wide = min(20, max(10, (128 * len(keys)).bit_length()))
     held = np.zeros(1 << wide, bool)
     held[(keys >> np.uint64(64 - wide)).astype(np.int64)] = True
     return np.packbits(held, bitorder="little")
