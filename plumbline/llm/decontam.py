@@ -63,7 +63,7 @@ class Settings:
     samples: int = 6
     seed: int = 29
     #: Bytes of benchmark text that one pass over the documents holds; its index is up
-    #: to 250 times that and 4 MB for each of at most seven kinds of windows.
+    #: to 250 times that and 20 MB for each of at most seven kinds of windows.
     block_bytes: int = 512 << 10
 
 
@@ -283,9 +283,10 @@ class Index:
         self.texts = [raw[a:b].strip(b" ") for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         size = self.size = np.array([len(t) for t in self.texts], np.int64)
         #: Starts of an item that are no further apart are one candidate, and so are
-        #: windows of an item with one key: half of its edits, so that what repeats in
-        #: an item and a text isn't listed in all pairs. Searches reach that far more.
-        self.step = np.maximum(1, (s.share * size).astype(np.int64) // 2)
+        #: windows of an item with one key: half of its edits, at most eight, so that what
+        #: repeats in an item and a text isn't listed in all pairs. Searches reach that
+        #: far more.
+        self.step = np.clip((s.share * size).astype(np.int64) // 2, 1, 8)
         self.flat, self.first = np.frombuffer(b"".join(self.texts) + bytes(64), np.uint8), np.cumsum(size) - size
         #: Items too short for a walk, by the number that their bytes are.
         self.tiny: dict[int, dict[int, list[int]]] = {}
