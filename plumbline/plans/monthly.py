@@ -139,7 +139,7 @@ def a6(spark, sf):
 @query("A6_changed_months")
 def a6_months(spark, sf):
     w = sales_view(spark, sf)
-    other = w.withColumn("qty", F.when((F.col("item") == 100) & (F.col("qty") > 45), F.col("qty") + 1).otherwise(F.col("qty")).cast(w.schema["qty"].dataType))
+    other = w.withColumn("qty", F.when((F.col("item") == 100) & (F.col("qty") > 10), F.col("qty") + 1).otherwise(F.col("qty")).cast(w.schema["qty"].dataType))
     # one side as a base keeps it, one from the rows themselves
     return a.changed_months(a.month_checksums(base(w, checks=True)), a.month_checksums(other))
 
@@ -187,7 +187,7 @@ def b4_tree(spark, sf):
 def b4_parts(spark, sf):
     # one item of one month and site differs; the hash that deals the parts stays out
     w = _w(spark, sf)
-    one = (F.col("item") == 100) & (F.col("country") == "ASIA") & (F.col("qty") > 40)
+    one = (F.col("item") == 100) & (F.col("qty") > 10)
     other = w.withColumn("qty", F.when(one, F.col("qty") + 1).otherwise(F.col("qty")).cast(w.schema["qty"].dataType))
     trees = [b.push_tree(x, GRAIN, ["qty", "amt"], ["month", *SITE]) for x in (w, other)]
     parts = b.changed_parts(*trees)

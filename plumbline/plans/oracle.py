@@ -177,7 +177,7 @@ ORACLE: dict[str, str] = {
 FROM std s FULL JOIN (SELECT l2, 'ruled' AS rule FROM std WHERE l2 LIKE '%bolt' UNION ALL SELECT concat(l2, '-new'), rule FROM std WHERE l2 LIKE '%gear') r ON s.l2 = r.l2""", "std AS (SELECT l2, min(l1) AS rule FROM w GROUP BY l2)"),
     "A5_land": _of(_C1),
     "A6_fingerprint": _of(f"SELECT count(*) AS rows, max(month) AS updated, {_sum('amt')} AS amt FROM w"),
-    "A6_changed_months": _of("SELECT DISTINCT month FROM w WHERE item = 100 AND qty > 45"),
+    "A6_changed_months": _of("SELECT DISTINCT month FROM w WHERE item = 100 AND qty > 10"),
     "A5_landed_view": _of(f"{_CHANGE} WHERE n.month = {_M}", *_BOTH, _S.replace("FROM w", "FROM cur")),
     "A7_intake": f"SELECT conv_id, turn, role, {_MASK} AS text FROM conversations c WHERE NOT EXISTS (SELECT 1 FROM conversations f WHERE f.conv_id = c.conv_id AND f.conv_id % 3 = 0)",
     "A7_mask": f"SELECT doc_id, {_MASK} AS text FROM documents d WHERE regexp_matches(text, '[0-9@]')",
@@ -194,7 +194,7 @@ FROM std s FULL JOIN (SELECT l2, 'ruled' AS rule FROM std WHERE l2 LIKE '%bolt'
   FROM (SELECT month, country, platform, item, l2, brand, root, sum(qty) AS qty, sum(amt) AS amt FROM cur GROUP BY ALL) c
   FULL JOIN (SELECT month, country, platform, item, l2, brand, root, sum(qty) AS qty, sum(amt) AS amt FROM prev GROUP BY ALL) p
   ON c.month = p.month AND c.country = p.country AND c.platform = p.platform AND c.item = p.item) GROUP BY month, status""", *_BOTH),
-    "B4_changed_parts": _of("SELECT month, country, platform, count(*) AS parts FROM (SELECT month, country, platform, item, sum(qty) AS q FROM w WHERE item = 100 AND country = 'ASIA' GROUP BY ALL) WHERE q > 40 GROUP BY month, country, platform"),
+    "B4_changed_parts": _of("SELECT month, country, platform, count(*) AS parts FROM (SELECT month, country, platform, item, sum(qty) AS q FROM w WHERE item = 100 GROUP BY ALL) WHERE q > 10 GROUP BY month, country, platform"),
     "B5_restatement_by_tree": _of(f"SELECT coalesce(c.month, p.month) AS month, {_d('c.v')} AS cur_amt, {_d('p.v')} AS prev_amt, {_ratio('c.v', 'p.v')} AS ratio FROM (SELECT month, sum(amt) AS v FROM cur GROUP BY month) c FULL JOIN (SELECT month, sum(amt) AS v FROM prev GROUP BY month) p USING (month)", *_BOTH),
     "B5_restatement": _of(f"SELECT coalesce(c.month, p.month) AS month, {_d('c.v')} AS cur_amt, {_d('p.v')} AS prev_amt, {_ratio('c.v', 'p.v')} AS ratio FROM (SELECT month, sum(amt) AS v FROM cur GROUP BY month) c FULL JOIN (SELECT month, sum(amt) AS v FROM prev GROUP BY month) p USING (month)", *_BOTH),
     "C1_site_totals": _of(_C1),
