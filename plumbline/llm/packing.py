@@ -5,7 +5,7 @@ its size depends on the sequence length and not on the corpus. Its
 configuration linear program (a column is a multiset of lengths that fits one
 sequence) is solved by multiplicative weights: a length that is covered less
 gets more weight, and a knapsack dynamic program finds the configuration of the
-greatest weight. Whole multiples of the solution are taken; what rounding leaves
+greatest weight. The fractional solution is rounded; what rounding leaves
 is packed best-fit, again on the histogram. The plan is a small table that says
 where the r-th piece of a length goes, and a join puts every piece in place.
 """
@@ -91,49 +91,92 @@ def configuration(last: np.ndarray, room: int) -> dict[int, int]:
     return out
 
 
-def solve_configurations(count: np.ndarray, capacity: int, rounds: int = 120, rate: float = 0.05) -> tuple[dict[tuple, int], float]:
-    """Configurations of the covering program with how often each is used, as whole
-    numbers that cover no length more than its ``count`` (index = length), and a
-    lower bound on the sequences that the whole histogram needs.
+@dataclass
+class Program:
+    """A solution of the covering program: configurations with how often each is used
+    (fractions; no length is covered more than its count), what all pieces need by it
+    (those not covered in sequences of their own length), and the greatest lower
+    bound that any weights gave."""
 
-    Multiplicative weights: a length's weight is its share of a sequence, a little
-    more the longer it is, times the exponential of what part of it is not covered
-    yet. Each round prices the lengths by weight with one knapsack program, which
-    gives the best configuration that has a given length, for each of them. Those
-    that fill a sequence are taken, longest first, as often as half of what is left
-    allows, rounded up. Any weights bound the program from below by duality: the
-    weight of all pieces over that of the best configuration.
+    used: dict[tuple, float]
+    value: float
+    bound: float
+
+
+def solve_configurations(count: np.ndarray, capacity: int, rounds: int = 40, gap: float = 0.02, rate: float = 0.2, slack: float = 0.02, passes: int = 12) -> Program:
+    """Solve the covering program of ``count`` (index = length) in fractions.
+
+    Multiplicative weights: a length's weight starts at its share of a sequence, and
+    after each round is multiplied by exp(-rate * c) for the part c of it that the
+    round covered. A round fills what it can of all pieces by configurations within
+    ``slack`` of the best under its weights: a knapsack program gives the best one that
+    has a given length, for each of them; each is used for half of what is left, and
+    what is left is priced again, a little higher the more it is. The solution is the
+    rounds' average, scaled to where it and the pieces that it doesn't cover need
+    least. Any weights bound the program from below by duality: the weight of all
+    pieces over that of the best configuration. Rounds end when the solution is within
+    ``gap`` of the bound. ``rate`` 0 leaves the weights as they start.
     """
-    need, left = np.maximum(count, 1).astype(float), count.astype(np.int64)
-    size = np.arange(len(count), dtype=float) / capacity
-    used: dict[tuple, int] = defaultdict(int)
-    best, _ = price(np.where(count > 0, size, 0.0), capacity)
-    bound = float(count @ size) / best[capacity] if best[capacity] > 0 else 0.0
+    need, at = count.astype(float), np.arange(len(count))
+    each, one = np.maximum(need, 1), need / np.maximum(capacity // np.maximum(at, 1), 1)
+    weight = np.where(count > 0, at / capacity, 0.0)
+    cover, used, result = np.zeros(len(count)), defaultdict(float), Program({}, float(one.sum()), 0.0)
+    best, _ = price(weight, capacity)
+    bound = float(need @ weight) / best[capacity] if best[capacity] > 0 else 0.0
     for _ in range(rounds):
-        weight = np.where(left > 0, size * (1 + rate * size) * np.exp(rate * left / need), 0.0)
-        best, last = price(weight, capacity)
-        if best[capacity] > 0:
-            # over all lengths the weights of this round are a dual solution, too
-            whole = np.where(count > 0, weight, 0.0)
-            bound = max(bound, float(count @ whole) / best[capacity])
-        placed = 0
-        for k in np.flatnonzero(left)[::-1].tolist():
-            if not left[k]:
-                continue
-            pick = configuration(last, capacity - k)
-            pick[k] += 1
-            if sum(length * n for length, n in pick.items()) < capacity:
-                continue  # with room left; a later round may fill it, or best-fit
-            m = min(int(left[length]) // n for length, n in pick.items())
-            m -= m // 2
-            if m > 0:
-                used[tuple(sorted(pick.items(), reverse=True))] += m
-                for length, n in pick.items():
-                    left[length] -= m * n
-                    placed += m * n
-        if not placed:
+        room, done, least = need.copy(), np.zeros(len(count)), 0.0
+        for turn in range(passes):
+            value = np.where(room > 0, weight * np.exp(slack / 2 * room / each), 0.0)
+            best, last = price(value, capacity)
+            if best[capacity] <= least:
+                break
+            if not turn:
+                least = (1 - slack) * best[capacity]
+                bound = max(bound, float(need @ value) / best[capacity])
+            for k in np.flatnonzero((room > 0) & (value + best[np.maximum(capacity - at, 0)] >= least))[::-1].tolist():
+                if room[k] <= 0:
+                    continue
+                pick = configuration(last, capacity - k)
+                pick[k] += 1
+                m = min(room[j] / n for j, n in pick.items()) * (1.0 if turn == passes - 1 else 0.5)
+                if m > 0:
+                    used[tuple(sorted(pick.items(), reverse=True))] += m
+                    for j, n in pick.items():
+                        done[j] += m * n / need[j]
+                        room[j] = room[j] - m * n if room[j] - m * n > 1e-3 * need[j] else 0.0
+        cover += done
+        weight = weight * np.exp(-rate * done)
+        weight /= max(weight.max(), 1e-300)
+        # what is needed is convex in the scale, with corners where a length is covered
+        total = sum(used.values())
+        scales = np.unique(1 / cover[cover > 0])
+        if len(scales):
+            needs = [s * total + float((np.maximum(0, 1 - s * cover) * one).sum()) for s in scales.tolist()]
+            k = int(np.argmin(needs))
+            if needs[k] < result.value:
+                result = Program({key: m * float(scales[k]) for key, m in used.items()}, needs[k], bound)
+        if result.value <= (1 + gap) * bound:
             break
-    return dict(used), bound
+    return Program(result.used, result.value, bound)
+
+
+def rounded(used: dict[tuple, float], count: np.ndarray) -> dict[tuple, int]:
+    """A solution in whole numbers that cover no length more than its count: every use
+    rounded down, then once more for those that lose most by it, while they fit."""
+    left, out = count.copy(), {}
+
+    def take(key: tuple, m: int) -> None:
+        m = min([m, *(int(left[k]) // n for k, n in key)])
+        if m > 0:
+            out[key] = out.get(key, 0) + m
+            for k, n in key:
+                left[k] -= m * n
+
+    for key, m in used.items():
+        take(key, int(m + 1e-6))
+    for key, _ in sorted(used.items(), key=lambda x: (-((x[1] + 1e-6) % 1), x[0])):
+        take(key, 1)
+    return out
 
 
 def best_fit(count: np.ndarray, capacity: int) -> dict[tuple, int]:
@@ -177,16 +220,18 @@ def best_fit(count: np.ndarray, capacity: int) -> dict[tuple, int]:
 @dataclass(frozen=True)
 class Plan:
     """Configurations with how many sequences have each, the program's lower bound on
-    their number, and how many pieces the program placed (the others: best-fit)."""
+    their number, what its solution needs in fractions, and how many pieces it placed
+    (the others: best-fit)."""
 
     configurations: list[tuple[tuple, int]]
     bound: int
+    value: float
     by_program: int
 
 
-def plan(histogram: dict[int, int], capacity: int, rounds: int = 120) -> Plan:
-    """A packing of exactly the histogram: the program's whole multiples, and what
-    they leave by best-fit. Pieces that fill a sequence are sequences of their own."""
+def plan(histogram: dict[int, int], capacity: int, rounds: int = 40) -> Plan:
+    """A packing of exactly the histogram: the program's solution, rounded, and what
+    that leaves by best-fit. Pieces that fill a sequence are sequences of their own."""
     count = np.zeros(capacity + 1, np.int64)
     for k, n in histogram.items():
         count[k] = n
@@ -196,16 +241,16 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = 120) -> Plan:
         out[((capacity, 1),)] += full
     left = count.copy()
     left[capacity] = 0
-    taken, bound = solve_configurations(left, capacity, rounds)
+    program = solve_configurations(left, capacity, rounds)
     by_program = 0
-    for key, m in taken.items():
+    for key, m in rounded(program.used, left).items():
         out[key] += m
         for k, n in key:
             left[k] -= m * n
             by_program += m * n
     for key, m in best_fit(left, capacity).items():
         out[key] += m
-    return Plan(sorted(out.items(), reverse=True), full + math.ceil(bound - 1e-6), by_program)
+    return Plan(sorted(out.items(), reverse=True), full + math.ceil(program.bound - 1e-6), full + program.value, by_program)
 
 
 def plan_rows(configurations: list[tuple[tuple, int]]) -> list[tuple[int, int, int, int, int, int]]:
@@ -222,7 +267,7 @@ def plan_rows(configurations: list[tuple[tuple, int]]) -> list[tuple[int, int, i
     return rows
 
 
-def pack_pieces(cut: DataFrame, length: int = 2048, rounds: int = 120) -> DataFrame:
+def pack_pieces(cut: DataFrame, length: int = 2048, rounds: int = 40) -> DataFrame:
     """Put every piece into a sequence: adds sequence_id and offset.
 
     The driver holds the histogram (at most ``length`` rows) and the plan (at most a
@@ -249,7 +294,7 @@ def pack_pieces(cut: DataFrame, length: int = 2048, rounds: int = 120) -> DataFr
     return out.withColumns({"sequence_id": F.col("_sequence") + F.floor(inside / F.col("_each")), "offset": F.col("_offset") + F.pmod(inside, F.col("_each")) * F.col("length")}).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0, rounds: int = 120, **columns) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0, rounds: int = 40, **columns) -> DataFrame:
     """Pack whole documents into sequences of at most ``length`` tokens.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,

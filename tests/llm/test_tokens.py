@@ -119,7 +119,33 @@ def test_plan_holds_every_piece_and_is_tight():
         used = sum(m for _, m in found.configurations)
         assert found.bound <= used and -(-sum(k * n for k, n in histogram.items()) // 2048) <= found.bound
         assert used <= 1.01 * sum(packing.best_fit(count, 2048).values()) + 1
-    assert packing.plan({}, 2048) == packing.Plan([], 0, 0)
+    assert packing.plan({}, 2048) == packing.Plan([], 0, 0.0, 0)
+
+
+def test_the_fractional_program():
+    """The solution is what it says, close to the dual bound, and needs the weights."""
+    rng = np.random.default_rng(2)
+    lognormal = np.minimum(2047, rng.lognormal(6, 1.2, 8000).astype(int) + 1)
+    few = rng.choice([1100, 1080, 700, 701, 650, 350, 340, 300, 90], 4000)
+    for draw, gap in ((lognormal, 0.03), (few, 0.07)):
+        count = np.bincount(draw, minlength=2049)
+        found = packing.solve_configurations(count, 2048)
+        cover = np.zeros(2049)
+        for key, m in found.used.items():
+            assert m > 0 and sum(k * n for k, n in key) <= 2048
+            for k, n in key:
+                cover[k] += m * n
+        at = np.flatnonzero(count)
+        open_ = np.maximum(0, count - cover)[at] / (2048 // at)
+        assert abs(sum(found.used.values()) + open_.sum() - found.value) < 1e-6 * found.value
+        assert found.bound - 1e-6 <= found.value <= (1 + gap) * found.bound
+        assert packing.solve_configurations(count, 2048, rate=0.0, rounds=10).value > 1.02 * found.value
+        whole = packing.rounded(found.used, count)
+        held = np.zeros(2049, np.int64)
+        for key, m in whole.items():
+            for k, n in key:
+                held[k] += m * n
+        assert (held <= count).all() and (draw is few or held.sum() >= 0.8 * count.sum())
 
 
 def test_the_program_places_nearly_all(spark):
