@@ -24,7 +24,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     stay or go together; a score of exactly the threshold goes.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.classify(docs, labels).where("_kept").select(docs.columns)
+    own = docs.withColumnsRenamed({c: f"_docs{c}" for c in ("_junk", "_toxic", "_kept") if c in docs.columns})
+    return quality.classify(own, labels).where("_kept").select(own.columns).toDF(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
