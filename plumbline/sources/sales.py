@@ -55,21 +55,28 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sales rows that the order tables hold, in the declared schema."""
+    """The sales rows that the order tables hold, in the declared schema, dealt by item.
+
+    Orders get their site first and lines are joined narrow, so a line travels twice: to
+    its order and to its item. The labels are put on where it then is, so whatever groups
+    by items and more (a base, prices, labels) shuffles nothing again.
+    """
     t = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("lineitem", "orders", "customer", "nation", "region", "part")}
-    joined = (
-        t["lineitem"]
-        .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    places = (
+        t["orders"]
         .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
         .join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+        .select("o_orderkey", "r_name", "c_mktsegment")
     )
+    lines = t["lineitem"].select("l_orderkey", "l_partkey", F.trunc("l_shipdate", "MM").alias("month"), "l_quantity", "l_extendedprice", "l_discount")
+    # the same plan whatever the sizes: no side is broadcast in one and shuffled in another
+    joined = lines.join(places.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(t["part"].hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
     first, second = (F.split_part("p_name", F.lit(" "), F.lit(k)) for k in (1, 2))
     money = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     return typed(
         joined.select(
-            F.trunc("l_shipdate", "MM").alias("month"),
+            "month",
             F.col("r_name").alias("country"),
             F.col("c_mktsegment").alias("platform"),
             F.floor(F.col("p_size") / 10).cast("int").alias("root"),
@@ -92,10 +99,15 @@ def current_push(w: DataFrame) -> DataFrame:
     return w.where("item % 29 <> 0")
 
 
+def previous_rows(w: DataFrame, last: str = "2001-11-01") -> DataFrame:
+    """The rows that the push before it had, as they are now."""
+    return w.where(f"item % 23 <> 0 AND month < DATE'{last}'")
+
+
 def previous_push(w: DataFrame, last: str = "2001-11-01") -> DataFrame:
     """The push before it, for tests: a month shorter, with other items, volumes,
     labels, brands and a node moved."""
-    return w.where(f"item % 23 <> 0 AND month < DATE'{last}'").withColumns({
+    return previous_rows(w, last).withColumns({
         "root": F.when(F.col("node").isin(40, 41), 9).otherwise(F.col("root")),
         "l2": F.when(F.col("item") % 31 == 0, F.concat("l1", F.lit("/moved"))).otherwise(F.col("l2")),
         "brand": F.when(F.col("item") % 37 == 0, F.lit("OTHERS")).otherwise(F.col("brand")),
