@@ -9,10 +9,21 @@ from ..functions.joins import join_same
 from ..functions.numeric import ratio, total
 
 
+def arrived(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows and items per key. Rows are counted per key and item first, so no task holds
+    the items of its keys at once."""
+    per_item = df.groupBy(*keys, "item").agg(F.count("*").alias("_n"))
+    return per_item.groupBy(keys).agg(F.sum("_n").alias("rows"), F.count("item").alias("items"))
+
+
 def arrival(df: DataFrame, sites: DataFrame, months: DataFrame) -> DataFrame:
     """B1: the full grid of sites x months, with rows and items, and what is missing."""
+    return arrival_grid(arrived(df, [*sites.columns, *months.columns]), sites, months)
+
+
+def arrival_grid(there: DataFrame, sites: DataFrame, months: DataFrame) -> DataFrame:
+    """B1 from what ``arrived`` counted."""
     keys = [*sites.columns, *months.columns]
-    there = df.groupBy(keys).agg(F.count("*").alias("rows"), F.count_distinct("item").alias("items"))
     # both sides are short lists of names
     grid = sites.distinct().crossJoin(months.distinct())
     out = join_same(grid, there, keys, "left")
@@ -38,12 +49,27 @@ def push_diff(cur: DataFrame, prev: DataFrame, key: list[str], measures: list[st
     ``by`` groups the result; months that only this push has count as new.
     """
     by = by or ["month"]
-    side = lambda d, s: d.select(*key, F.struct(*measures).alias(f"_{s}"), F.col(amount).alias(f"_{s}_amt"))
-    both = join_same(side(cur, "c"), side(prev, "p"), key, "full_outer")
-    status = F.when(F.col("_p").isNull(), "added").when(F.col("_c").isNull(), "removed").when(F.col("_c").eqNullSafe(F.col("_p")), "same").otherwise("changed")
-    zero = F.lit(0).cast("decimal(20,4)")
-    effect = F.coalesce("_c_amt", zero) - F.coalesce("_p_amt", zero)
-    return both.withColumns({"status": status, "_e": effect}).groupBy(*by, "status").agg(F.count("*").alias("keys"), total("_e").alias("effect"))
+    here, there = F.col("_side") == "c", F.col("_side") == "p"
+    given = F.coalesce(F.col("_a"), F.lit(0))
+    side = lambda d, s: d.select(*key, *(F.col(m).alias(f"_m{i}") for i, m in enumerate(measures)), F.col(amount).alias("_a"), F.lit(s).alias("_side"))
+    # dealt by the key's last column alone (the item), as a base is: rows of one item
+    # travel side by side, and only numbers are summed where they meet
+    rows = side(cur, "c").unionByName(side(prev, "p")).repartition(F.col(f"`{key[-1]}`"))
+    alike = rows.groupBy(*key, *(f"_m{i}" for i in range(len(measures)))).agg(
+        F.count_if(here).alias("_nc"), F.count_if(there).alias("_np"),
+        F.sum(F.when(here, given).otherwise(0)).alias("_c"), F.sum(F.when(there, given).otherwise(0)).alias("_p"),
+    )
+    # a key that a push repeats meets each of the other's rows, as in a full outer join
+    sums = alike.groupBy(key).agg(
+        *(F.sum(c).alias(c) for c in ("_nc", "_np", "_c", "_p")), F.sum(F.col("_nc") * F.col("_np")).alias("_ns"),
+        F.sum(F.col("_c") * F.col("_np") - F.col("_p") * F.col("_nc")).alias("_s"),
+    )
+    whole = F.col("_c") * F.col("_np") - F.col("_p") * F.col("_nc")
+    kind = lambda status, n, effect: F.struct(F.lit(status).alias("status"), n.alias("keys"), effect.cast("decimal(38,4)").alias("_e"))
+    both = F.array(kind("same", F.col("_ns"), F.col("_s")), kind("changed", F.col("_nc") * F.col("_np") - F.col("_ns"), whole - F.col("_s")))
+    found = F.when(F.col("_np") == 0, F.array(kind("added", F.col("_nc"), F.col("_c")))).when(F.col("_nc") == 0, F.array(kind("removed", F.col("_np"), -F.col("_p")))).otherwise(both)
+    told = sums.select(*key, F.explode(found).alias("_f")).select(*key, "_f.*").where("keys > 0")
+    return told.groupBy(*by, "status").agg(F.sum("keys").alias("keys"), total("_e").alias("effect"))
 
 
 #: Parts that the keys below one branch of a push's tree are dealt to.
@@ -51,7 +77,7 @@ PARTS = 256
 
 
 def _part(key: list[str]) -> F.Column:
-    return F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int").alias("part")
+    return F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int")
 
 
 def push_tree(df: DataFrame, key: list[str], measures: list[str], branch: list[str], amount: str = "amt") -> DataFrame:
@@ -59,7 +85,7 @@ def push_tree(df: DataFrame, key: list[str], measures: list[str], branch: list[s
     its keys the rows, their hash sum and their amount. Land it with the run: the next
     push is compared with it before any row of this one is read again."""
     row = F.xxhash64(*key, *measures).cast("decimal(38,0)")
-    return df.groupBy(*branch, _part(key)).agg(F.count("*").alias("rows"), F.sum(row).alias("checksum"), F.sum(amount).alias("amt"))
+    return df.groupBy(*branch, _part(key).alias("part")).agg(F.count("*").alias("rows"), F.sum(row).alias("checksum"), F.sum(amount).alias("amt"))
 
 
 def changed_parts(cur_tree: DataFrame, prev_tree: DataFrame) -> DataFrame:
@@ -71,8 +97,13 @@ def changed_parts(cur_tree: DataFrame, prev_tree: DataFrame) -> DataFrame:
 
 
 def only_parts(df: DataFrame, parts: DataFrame, key: list[str]) -> DataFrame:
-    """The rows of a push in these branches and parts."""
-    return join_same(df.select("*", _part(key)), parts, parts.columns, "left_semi").drop("part")
+    """The rows of a push in these branches and parts. The parts go to the tasks as one
+    row a branch (a mark for each part), so the rows stay where they are."""
+    branch = [c for c in parts.columns if c != "part"]
+    marks = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.array_contains(F.col("_s"), i))
+    held = parts.groupBy(branch).agg(F.collect_set("part").alias("_s")).select(*branch, marks.alias("_marks"))
+    both = join_same(df, held.hint("broadcast"), branch)
+    return both.where(F.get("_marks", _part(key))).select(*df.columns)
 
 
 def push_diff_by_tree(cur: DataFrame, prev: DataFrame, key: list[str], measures: list[str], amount: str = "amt", by: list[str] | None = None, trees: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:

@@ -158,8 +158,8 @@ def a7_mask(spark, sf):
 
 @query("B1_arrival")
 def b1(spark, sf):
-    w = sales_view(spark, sf)
-    return b.arrival(w, w.select(*SITE, "l2"), w.select("month"))
+    there = written(b.arrived(sales_view(spark, sf), [*SITE, "l2", "month"]), "arrived")
+    return b.arrival_grid(there, there.select(*SITE, "l2"), there.select("month"))
 
 
 @query("B2_duplicates")
