@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import join_same
 from ..functions.numeric import ratio, rounded, total
 from ..functions.selection import quantiles
+from ..sources.scratch import written
 
 
 def label_sample(df: DataFrame, leaf: str, n: int, seed: str = "1", top: int = 3, percentile: float = 0.95, accuracy: int | None = None) -> DataFrame:
@@ -17,7 +18,8 @@ def label_sample(df: DataFrame, leaf: str, n: int, seed: str = "1", top: int = 3
     The reason must be kept: only the random stratum speaks for the leaf.
     """
     items = df.groupBy(leaf, "item").agg(F.sum("qty").alias("q"), F.sum("amt").alias("a")).where("q <> 0")
-    items = items.withColumn("price", F.col("a").cast("double") / F.col("q").cast("double"))
+    # every stratum reads the items again, and what made them runs once
+    items = written(items.withColumn("price", F.col("a").cast("double") / F.col("q").cast("double")), "items")
     draw = F.md5(F.concat(F.lit(seed + "|"), F.col("item").cast("string")))
     by_hash, by_amount = (Window.partitionBy(leaf).orderBy(*o) for o in ((draw, "item"), (F.desc("a"), "item")))
     strata = (
