@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from ..functions.joins import join_same
 from ..functions.numeric import ratio
+from ..sources.scratch import written
 
 
 def long_results(df: DataFrame, module: str, key: list[str], metrics: list[str]) -> DataFrame:
@@ -79,8 +80,9 @@ def drill_flags(df: DataFrame, flags: DataFrame, month: str, months: int = 1, n:
     """
     zero = F.lit(0).cast("decimal(20,4)")
     out = []
+    flags = written(flags.select("key").distinct(), "flags")
     for names in keys.grains(flags):
-        flag = keys.of_grain(flags.select("key").distinct(), names, df)
+        flag = keys.of_grain(flags, names, df)
         at = [k for k in names if k != "month"]
         flag = flag.select("key", *at, (F.col("month") if "month" in names else F.lit(month).cast("date")).alias("_m"))
         # what meets the flags is summed to their grain and item first; a row counts for
@@ -88,7 +90,7 @@ def drill_flags(df: DataFrame, flags: DataFrame, month: str, months: int = 1, n:
         sums = df.groupBy("month", *{*at, "item"}).agg(F.sum("amt").alias("_a"))
         side = [F.struct(F.col("month").alias("_m"), F.lit(True).alias("_now")), F.struct(F.add_months("month", months).alias("_m"), F.lit(False).alias("_now"))]
         sums = sums.withColumn("_s", F.explode(F.array(*side))).select(*{*at, "item"}, "_a", "_s.*")
-        out.append(join_same(sums, flag, [*at, "_m"]).select("key", "item", "_a", "_now"))
+        out.append(join_same(sums, keys.short(flag), [*at, "_m"]).select("key", "item", "_a", "_now"))
     if not out:
         return flags.select("key", F.lit(0).alias("rank"), F.lit(None).cast(df.schema["item"].dataType).alias("item"), *(F.lit(0.0).alias(c) for c in ("base_amt", "amt", "change"))).where("false")
     rows = reduce(DataFrame.unionByName, out).groupBy("key", "item").agg(F.sum(F.when(~F.col("_now"), F.col("_a"))).alias("a0"), F.sum(F.when(F.col("_now"), F.col("_a"))).alias("a1"))
