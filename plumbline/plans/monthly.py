@@ -21,8 +21,8 @@ from ..operators import price as f
 from ..operators import screen as m
 from ..operators import tail as g
 from ..operators import tree as i
-from ..sources.sales import SITE, base, current_push, previous_push, sales_view
-from ..sources.scratch import shared_folder
+from ..sources.sales import SITE, base, current_push, previous_push, previous_rows, sales_view
+from ..sources.scratch import shared_folder, written
 from . import run
 
 #: The month under review, the month before, and the price bands' edges.
@@ -49,7 +49,7 @@ _PUSHES = {"all": lambda w: w, "current": current_push, "previous": previous_pus
 
 
 def _base(spark: SparkSession, sf: str, push: str) -> DataFrame:
-    kept = _KEPT.get((spark.sparkContext.applicationId, sf, push))
+    kept = _kept(spark, sf, push)
     return kept if kept is not None else base(_PUSHES[push](sales_view(spark, sf)))
 
 
@@ -80,6 +80,26 @@ def _prev(spark: SparkSession, sf: str) -> DataFrame:
     return _base(spark, sf, "previous")
 
 
+def _kept(spark: SparkSession, sf: str, push: str) -> DataFrame | None:
+    return _KEPT.get((spark.sparkContext.applicationId, sf, push))
+
+
+def _rows(spark: SparkSession, sf: str, push: str) -> DataFrame:
+    """What sums of volumes and amounts by any columns start from: a kept base, or else
+    the push's own rows, as a base would only be summed again."""
+    kept = _kept(spark, sf, push)
+    return kept if kept is not None else _PUSHES[push](sales_view(spark, sf))
+
+
+def _month_amounts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """All pushes' amounts by month, site and item, to be summed. Without kept bases the
+    source is read once for all: an amount that both pushes have is the same in both."""
+    if all(_kept(spark, sf, push) is not None for push in _PUSHES):
+        return {push: _rows(spark, sf, push) for push in _PUSHES}
+    w = written(sales_view(spark, sf).select("month", *SITE, "item", "amt"), "amounts")
+    return {"all": w, "current": current_push(w), "previous": previous_rows(w)}
+
+
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -201,7 +221,8 @@ def b5_tree(spark, sf):
 
 @query("B5_restatement")
 def b5(spark, sf):
-    return b.restatement(_cur(spark, sf), _prev(spark, sf), ["month"])
+    of = _month_amounts(spark, sf)
+    return b.restatement(of["current"], of["previous"], ["month"])
 
 
 @query("C1_site_totals")
@@ -440,7 +461,7 @@ def k2(spark, sf):
 
 @query("K3_release_compare")
 def k3(spark, sf):
-    return k.release_compare(_cur(spark, sf), _prev(spark, sf), ["l1", *SITE])
+    return k.release_compare(_rows(spark, sf, "current"), _rows(spark, sf, "previous"), ["l1", *SITE])
 
 
 _DEFECTS = [(1, "ASIA", None, None, "amt", 60000.0), (2, None, "BUILDING", "SMALL/bolt", "qty", 60.0), (3, "EUROPE", "FURNITURE", None, "qty", 1.0), (4, "NOWHERE", None, None, "amt", 1.0)]
@@ -491,8 +512,9 @@ _RULES = [("change_1", -0.9, 2.0, "month-on-month", 2), ("change_12", -0.9, 3.0,
 
 def _screened(spark, sf):
     rules = spark.createDataFrame(_RULES, "metric string, low double, high double, rule string, severity int")
-    level = m.long_results(c.period_change(_w(spark, sf), SITE), "level", ["month", *SITE], ["change_1", "change_12"])
-    restated = m.long_results(b.restatement(_cur(spark, sf), _prev(spark, sf), ["month", *SITE]), "restated", ["month", *SITE], ["ratio"])
+    of = _month_amounts(spark, sf)
+    level = m.long_results(c.period_change(of["all"], SITE), "level", ["month", *SITE], ["change_1", "change_12"])
+    restated = m.long_results(b.restatement(of["current"], of["previous"], ["month", *SITE]), "restated", ["month", *SITE], ["ratio"])
     return m.screen(level.unionByName(restated), rules)
 
 
@@ -502,7 +524,7 @@ def m1(spark, sf):
 
 
 def _amounts(spark, sf):
-    return _w(spark, sf).groupBy(key_text("month", *SITE).alias("key")).agg(F.sum("amt").alias("amt"))
+    return _rows(spark, sf, "all").groupBy("month", *SITE).agg(F.sum("amt").alias("amt")).groupBy(key_text("month", *SITE).alias("key")).agg(F.sum("amt").alias("amt"))
 
 
 @query("M2_digest")
