@@ -346,13 +346,13 @@ def _chained(spark, sf):
 
 @query("H5_swallowed_families")
 def h5_families(spark, sf):
-    names = _chained(spark, sf)
+    names = written(_chained(spark, sf), "names")
     return h.swallowed_families(names, h.families(names))
 
 
 @query("H6_split_families")
 def h6_families(spark, sf):
-    names = _chained(spark, sf)
+    names = written(_chained(spark, sf), "names")
     return h.split_families(names, h.families(names))
 
 
