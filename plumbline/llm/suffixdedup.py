@@ -7,7 +7,9 @@ rows with the same bytes only the first stays. Where an anchor is left with seve
 contexts, these are fetched and the strings in them compared in tasks of bounded size
 by a Burrows-Wheeler transform whose intervals are expanded up to ``least`` bytes.
 An anchor with more than ``contexts`` contexts (the end of a passage that very many
-documents share) is dealt once more, by the hashes of its single strings.
+documents share) is dealt once more, by longer anchors: neighbouring strings go as one
+run where another text has the run, and few anchors have many contexts again. Only the
+strings of those are dealt singly, by their hashes.
 
 Only hashes of all texts are shuffled, and the texts twice: to fetch contexts, and to
 cut them. Hashes are of 128 bits (an anchor's and its context's).
@@ -135,6 +137,22 @@ def _order(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, differs
 
 
+def _firsts(k: np.ndarray, k2: np.ndarray, d: np.ndarray, row: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows with one key, the first by place, and, in the order given, the others.
+    Rows that repeat an id and a text aren't earlier than each other: of these only the
+    first is told."""
+    order, _ = _order(k, k2, d, row, s)
+    new = np.append(True, (np.diff(k[order]) != 0) | (np.diff(k2[order]) != 0))[: len(order)]
+    one = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    later = (d[order] != d[one]) | (row[order] != row[one]) | (s[order] != s[one])
+    return order[new], np.sort(order[later])
+
+
+def _spread_by(d: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Keys of runs that go, which meet no other."""
+    return mix(s.astype(np.uint64) + (d[0] if len(d) else np.int64(0)).astype(np.uint64)).view(np.int64)
+
+
 def contexts(docs: DataFrame, least: int) -> DataFrame:
     """(x, full, d, row, s, n, gone): the runs of strings by anchor. Of those that a
     step of a task has twice only the first is there as such; the others are runs
@@ -149,62 +167,71 @@ def contexts(docs: DataFrame, least: int) -> DataFrame:
                     of, s, n, x, full = anchored([t for _, _, t in part], least)
                     doc = np.array([i for i, _, _ in part], np.int64)[of] + a
                     s = s + np.array([p for _, p, _ in part], np.int64)[of]
-                    order, new = _order(x, full, ids[doc], rows[doc], s)
-                    of_first = np.maximum.accumulate(np.where(np.append(True, (np.diff(x[order]) != 0) | (np.diff(full[order]) != 0))[: len(order)], np.arange(len(order)), 0))
-                    one = order[of_first] if len(order) else order
-                    # rows that repeat an id and a text aren't earlier than each other
-                    later = (ids[doc[order]] != ids[doc[one]]) | (rows[doc[order]] != rows[doc[one]]) | (s[order] != s[one])
-                    keep, go = order[(of_first == np.arange(len(order)))], np.sort(order[later])
+                    keep, go = _firsts(x, full, ids[doc], rows[doc], s)
                     gd, gs, gn = _runs(doc[go], s[go], n[go])
                     d = np.concatenate((doc[keep], gd))
-                    spread_by = mix(gs.astype(np.uint64) + np.uint64(gd[0] if len(gd) else 0)).view(np.int64)
-                    out = [np.concatenate((x[keep], spread_by)), np.concatenate((full[keep], np.zeros(len(gd), np.int64))), ids[d], rows[d], np.concatenate((s[keep], gs)), np.concatenate((n[keep], gn)), np.arange(len(d)) >= len(keep)]
+                    out = [np.concatenate((x[keep], _spread_by(gd, gs))), np.concatenate((full[keep], np.zeros(len(gd), np.int64))), ids[d], rows[d], np.concatenate((s[keep], gs)), np.concatenate((n[keep], gn)), np.arange(len(d)) >= len(keep)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["x", "full", "d", "row", "s", "n", "gone"])
 
     return docs.select("d", "row", "text").mapInArrow(make, "x long, full long, d long, row long, s long, n long, gone boolean")
 
 
-def _fetch(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Rows of a text and its open runs: the bytes of each run, or, of hot anchors,
-    the hashes of its strings, each at most once a step."""
-    names = ["k", "k2", "d", "row", "s", "n", "gone", "data"]
+def _fetch(batches: Iterator[pa.RecordBatch], least: int, longer: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a text and its open runs, with their bytes: each run as it is, or, of hot
+    anchors, the runs of its strings by ``longer`` anchors, each once a step."""
+    names = ["hot", "k", "k2", "d", "row", "s", "n", "gone", "data"]
     for batch in batches:
-        ids, rows = batch.column("d").to_pylist(), batch.column("row").to_pylist()
+        ids, rows = (batch.column(c).to_numpy() for c in ("d", "row"))
         runs = batch.column("runs").to_pylist()
         for a, b, texts in text_steps(batch, "text"):
             cold, hot, parts = [], [], []
             for i, text in zip(range(a, b), texts, strict=True):
-                for r in runs[i]:
+                for r in sorted(runs[i], key=lambda r: r["s"]):
                     data = text[r["s"] : r["s"] + r["n"] - 1 + least]
                     if r["hot"]:
-                        hot.append((ids[i], rows[i], r["s"], r["n"]))
+                        hot.append((i, r["s"]))
                         parts.append(data)
                     else:
-                        cold.append((r["x"], 0, ids[i], rows[i], r["s"], r["n"], False, data))
+                        cold.append((False, r["x"], 0, ids[i], rows[i], r["s"], r["n"], False, data))
             if cold:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*cold, strict=True)], names)
             # bounded parts, whatever a step holds of them
-            size = np.array([len(p) for p in parts], np.int64)
-            cut = np.append(np.flatnonzero(np.diff(np.cumsum(size) // STEP_BYTES, prepend=-1)), len(parts)).tolist()
+            cut = np.append(np.flatnonzero(np.diff(np.cumsum([len(p) for p in parts]) // STEP_BYTES, prepend=-1)), len(parts)).tolist()
             for x, y in zip(cut, cut[1:], strict=False):
-                buf = np.frombuffer(b"".join(parts[x:y]), np.uint8)
-                d, row, s, n = (np.array(c, np.int64) for c in zip(*hot[x:y], strict=True))
-                begin = segments(size[x:y])[:-1]
-                at, of = spread(begin, n), np.repeat(np.arange(y - x), n)
-                k, k2 = (mix(Rolling(buf, w)(at, at + least)).view(np.int64) for w in (0, 1))
-                d, row, s = d[of], row[of], s[of] + at - begin[of]
-                order, _ = _order(k, k2, d, row, s)
-                first = np.append(True, (np.diff(k[order]) != 0) | (np.diff(k2[order]) != 0))
-                one = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-                later = (d[order] != d[one]) | (row[order] != row[one]) | (s[order] != s[one])
-                keep = order[first | later]
-                gone = later[first | later]
-                cols = [k[keep], k2[keep], d[keep], row[keep], s[keep], np.ones(len(keep), np.int64), gone]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.nulls(len(keep), pa.binary())], names)
-
-
-def _later(strings: list[bytes], ids: list[tuple[int, int, int]], least: int) -> Iterator[tuple[int, int, int, int]]:
-    """Runs (d, row, s, n) of the strings of ``least`` bytes that start earlier, too,
+                of, begin, n, k, k2 = anchored(parts[x:y], least, longer)
+                doc, s = (np.array(c, np.int64)[of] for c in zip(*hot[x:y], strict=True))
+                s = s + begin
+                keep, go = _firsts(k, k2, ids[doc], rows[doc], s)
+                gd, gs, gn = _runs(doc[go], s[go], n[go])
+                d = np.concatenate((doc[keep], gd))
+                data = [parts[x + of[i]][begin[i] : begin[i] + n[i] - 1 + least] for i in keep.tolist()]
+                cols = [np.concatenate((k[keep], _spread_by(gd, gs))), np.concatenate((k2[keep], np.zeros(len(gd), np.int64))), ids[d], rows[d], np.concatenate((s[keep], gs)), np.concatenate((n[keep], gn)), np.arange(len(d)) >= len(keep)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(d), bool)), *(pa.array(c) for c in cols), pa.array([*data, *[None] * len(gd)], pa.binary())], names)
+
+
+def _strings(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The hashes of the single strings in runs, each once a step."""
+    for batch in batches:
+        d, row, s, n = (batch.column(c).to_numpy() for c in _LONGS)
+        order, _ = _order(d, row, s)
+        size = n[order] - 1 + least
+        cut = np.append(np.flatnonzero(np.diff(np.cumsum(size) // STEP_BYTES, prepend=-1)), len(order)).tolist()
+        for x, y in zip(cut, cut[1:], strict=False):
+            part = order[x:y]
+            buf = np.frombuffer(b"".join(batch.column("data").take(pa.array(part)).to_pylist()), np.uint8)
+            begin = segments(size[x:y])[:-1]
+            at, of = spread(begin, n[part]), np.repeat(np.arange(y - x), n[part])
+            k, k2 = (mix(Rolling(buf, w)(at, at + least)).view(np.int64) for w in (0, 1))
+            doc, starts = np.cumsum(np.append(False, (np.diff(d[part]) != 0) | (np.diff(row[part]) != 0))), s[part][of] + at - begin[of]
+            keep, go = _firsts(k, k2, d[part][of], row[part][of], starts)
+            gd, gs, gn = _runs(doc[of[go]], starts[go], np.ones(len(go), np.int64))
+            which = part[np.concatenate((of[keep], np.searchsorted(doc, gd)))]
+            cols = [np.concatenate((k[keep], _spread_by(gd, gs))), np.concatenate((k2[keep], np.zeros(len(gd), np.int64))), d[which], row[which], np.concatenate((starts[keep], gs)), np.concatenate((np.ones(len(keep), np.int64), gn)), np.arange(len(which)) >= len(keep)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["k", "k2", "d", "row", "s", "n", "gone"])
+
+
+def _later(strings: list[bytes], ids: list[tuple[int, int, int]], least: int) -> Iterator[tuple[int, int, int, int, None]]:
+    """Runs (d, row, s, n, no bytes) of the strings of ``least`` bytes that start earlier, too,
     among contexts that begin at (d, row, s)."""
     of, at, name = classes(strings, least)
     if not len(of):
@@ -219,24 +246,25 @@ def _later(strings: list[bytes], ids: list[tuple[int, int, int]], least: int) ->
     go = np.flatnonzero(place > first[name])
     doc, start, n = _runs(of[go], s[go], np.ones(len(go), np.int64))
     for i, a, b in zip(doc.tolist(), start.tolist(), n.tolist(), strict=True):
-        yield (*ids[i][:2], a, b)
+        yield (*ids[i][:2], a, b, None)
 
 
 def _resolve(batches: Iterator[pa.RecordBatch], least: int, batch_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Rows in order of key and place: the runs that go."""
+    """Rows in order of key and place: the runs that go, without bytes, and, with
+    theirs, those of hot anchors."""
 
     def told(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], list(_LONGS))
+            *longs, data = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in longs), pa.array(data, pa.binary())], [*_LONGS, "data"])
 
     held: list[bytes] = []
     ids: list[tuple[int, int, int]] = []
     size, at = 0, None
-    key, first = None, None  # of single strings: the hash, and where it is first
     for batch in batches:
         out = []
-        for k, k2, d, row, s, n, gone, data in zip(*(batch.column(c).to_pylist() for c in ("k", "k2", "d", "row", "s", "n", "gone", "data")), strict=True):
-            if data is not None:
+        for k, d, row, s, n, state, data in zip(*(batch.column(c).to_pylist() for c in ("k", "d", "row", "s", "n", "state", "data")), strict=True):
+            if state == "open":
                 # an anchor's contexts are taken together
                 if k != at and size >= batch_bytes:
                     out += _later(held, ids, least)
@@ -245,12 +273,8 @@ def _resolve(batches: Iterator[pa.RecordBatch], least: int, batch_bytes: int) ->
                 held.append(data)
                 ids.append((d, row, s))
                 size += len(data)
-            elif gone:
-                out.append((d, row, s, n))
-            elif (k, k2) != key:
-                key, first = (k, k2), (d, row, s)
-            elif (d, row, s) != first:
-                out.append((d, row, s, n))
+            else:
+                out.append((d, row, s, n, data if state == "hot" else None))
         yield from told(out)
     if held:
         yield from told(list(_later(held, ids, least)))
@@ -286,6 +310,7 @@ def remove_repeats(docs: DataFrame, least: int = 100, id_col: str = "doc_id", te
     the runs of removed bytes, ``kept`` are the others."""
     if least <= ANCHOR:
         raise ValueError(f"strings of more than {ANCHOR} bytes only")
+    longer = max(ANCHOR + 1, least - least // 6)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(_LEAST_ID)).alias("d"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text"))
 
@@ -298,11 +323,21 @@ def remove_repeats(docs: DataFrame, least: int = 100, id_col: str = "doc_id", te
     run = F.struct("x", "s", "n", (F.col("state") == "hot").alias("hot"))
     wanted = seen.where("state <> 'later'").groupBy("d", "row").agg(F.collect_list(run).alias("runs"))
     fetched = docs.join(wanted, ["d", "row"]).select("d", "row", "text", "runs")
-    fetched = fetched.mapInArrow(lambda b: _fetch(b, least), "k long, k2 long, d long, row long, s long, n long, gone boolean, data binary")
-    dealt = fetched.repartition("k", "k2").sortWithinPartitions("k", "k2", "d", "row", "s")
-    found = materialise(dealt.mapInArrow(lambda b: _resolve(b, least, batch_bytes), "d long, row long, s long, n long"), "later")
+    fetched = fetched.mapInArrow(lambda b: _fetch(b, least, longer), "hot boolean, k long, k2 long, d long, row long, s long, n long, gone boolean, data binary")
+
+    same = Window.partitionBy("hot", "k", "k2").orderBy("d", "row", "s")
+    again = fetched.repartition("k").withColumns({"nth": F.row_number().over(same), "place": F.rank().over(same)})
+    again = again.withColumn("several", F.count(F.when((F.col("nth") == 1) & ~F.col("gone"), 1)).over(Window.partitionBy("hot", "k")))
+    # runs of anchors that weren't hot are open already
+    again = again.withColumn("state", F.expr(f"CASE WHEN NOT hot THEN 'open' WHEN gone OR place > 1 THEN 'later' WHEN nth = 1 AND several > {most_contexts} THEN 'hot' WHEN nth = 1 AND several > 1 THEN 'open' END"))
+    again = again.where("state IS NOT NULL").sortWithinPartitions("hot", "k", "k2", "d", "row", "s").select("k", "d", "row", "s", "n", "state", "data")
+    found = materialise(again.mapInArrow(lambda b: _resolve(b, least, batch_bytes), "d long, row long, s long, n long, data binary"), "later")
+
+    strings = found.where("data IS NOT NULL").mapInArrow(lambda b: _strings(b, least), "k long, k2 long, d long, row long, s long, n long, gone boolean")
+    strings = strings.withColumn("place", F.rank().over(Window.partitionBy("k", "k2").orderBy("d", "row", "s"))).where("gone OR place > 1")
 
-    gone = seen.where("state = 'later'").select("d", "row", "s", "n").unionByName(found)
+    narrow = lambda df: df.select(*_LONGS)
+    gone = narrow(seen.where("state = 'later'")).unionByName(narrow(found.where("data IS NULL"))).unionByName(narrow(strings))
     runs = gone.groupBy("d", "row").agg(F.collect_list(F.struct("s", "n")).alias("runs"))
     nth = F.row_number().over(Window.partitionBy("d", "row").orderBy("doc_id"))
     held = docs.join(runs, ["d", "row"], "left").withColumn("copy", nth > 1)

@@ -97,6 +97,17 @@ def test_families(spark, least, contexts, batch):
     assert _run(spark, rows, least, most_contexts=contexts, batch_bytes=batch) == want
 
 
+def test_strings_of_hot_anchors_go_as_runs(spark, monkeypatch):
+    rng = random.Random(4)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(500))
+    rows = [(i, text[:p] + f"#{i:04}" + text[p + 5 :]) for i, p in enumerate(rng.choices(range(495), k=500))]
+    kept, real = [], suffixdedup.materialise
+    monkeypatch.setattr(suffixdedup, "materialise", lambda df, tag: kept.append(real(df, tag)) or kept[-1])
+    assert _run(spark, rows, 100, most_contexts=20) == _brute(rows, 100)
+    told = [r["n"] for r in kept[-1].collect()]
+    assert 4 * len(told) < sum(told)
+
+
 def test_edges(spark):
     long = "0123456789" * 10 + "tail" * 30
     rows = [(3, long), (3, long), (1, None), (2, ""), (4, "x" * 99), (5, "x" * 100), (6, "x" * 350), (7, "é" * 50), (8, "é" * 50 + "!"), (None, long[:150])]
