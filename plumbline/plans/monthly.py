@@ -21,7 +21,7 @@ from ..operators import price as f
 from ..operators import screen as m
 from ..operators import tail as g
 from ..operators import tree as i
-from ..sources.sales import SITE, base, current_push, previous_push, previous_rows, sales_view
+from ..sources.sales import SITE, base, both_pushes, current_push, previous_push, previous_rows, sales_view
 from ..sources.scratch import shared_folder, written
 from . import run
 
@@ -216,7 +216,13 @@ def b4_parts(spark, sf):
 
 @query("B5_restatement_by_tree")
 def b5_tree(spark, sf):
-    return b.restatement_by_tree(*(b.push_tree(x, GRAIN, ["qty", "amt"], ["month"]) for x in (_cur(spark, sf), _prev(spark, sf))), ["month"])
+    if _kept(spark, sf, "current") is not None and _kept(spark, sf, "previous") is not None:
+        trees = [b.push_tree(x, GRAIN, ["qty", "amt"], ["month"]) for x in (_cur(spark, sf), _prev(spark, sf))]
+    else:
+        # landed in one pass, from the pushes' own rows: a base would only be summed again
+        landed = written(b.push_tree(both_pushes(sales_view(spark, sf)), GRAIN, ["qty", "amt"], ["push", "month"]), "trees")
+        trees = [landed.where(F.col("push") == push).drop("push") for push in ("current", "previous")]
+    return b.restatement_by_tree(*trees, ["month"])
 
 
 @query("B5_restatement")

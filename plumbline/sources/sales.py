@@ -5,7 +5,7 @@ Grain: item x site (country, platform) x month. Money is decimal.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,25 +94,41 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_CURRENT = "item % 29 <> 0"
+_PREVIOUS = "item % 23 <> 0 AND month < DATE'{last}'"
+
+
 def current_push(w: DataFrame) -> DataFrame:
     """The push under review, for tests: without every 29th item."""
-    return w.where("item % 29 <> 0")
+    return w.where(_CURRENT)
 
 
 def previous_rows(w: DataFrame, last: str = "2001-11-01") -> DataFrame:
     """The rows that the push before it had, as they are now."""
-    return w.where(f"item % 23 <> 0 AND month < DATE'{last}'")
+    return w.where(_PREVIOUS.format(last=last))
 
 
-def previous_push(w: DataFrame, last: str = "2001-11-01") -> DataFrame:
-    """The push before it, for tests: a month shorter, with other items, volumes,
-    labels, brands and a node moved."""
-    return previous_rows(w, last).withColumns({
+def _moved() -> dict[str, Column]:
+    return {
         "root": F.when(F.col("node").isin(40, 41), 9).otherwise(F.col("root")),
         "l2": F.when(F.col("item") % 31 == 0, F.concat("l1", F.lit("/moved"))).otherwise(F.col("l2")),
         "brand": F.when(F.col("item") % 37 == 0, F.lit("OTHERS")).otherwise(F.col("brand")),
         "qty": (F.col("qty") + F.when(F.col("item") % 17 == 0, 1).otherwise(0)).cast("decimal(18,2)"),
-    })
+    }
+
+
+def previous_push(w: DataFrame, last: str = "2001-11-01") -> DataFrame:
+    """The push before it, for tests: a month shorter, with other items, volumes,
+    labels, brands and a node moved."""
+    return previous_rows(w, last).withColumns(_moved())
+
+
+def both_pushes(w: DataFrame, last: str = "2001-11-01") -> DataFrame:
+    """The rows of both pushes in one pass, marked ``current`` or ``previous`` in
+    ``push``; a row that both have is there twice."""
+    of = F.array_compact(F.array(F.when(F.expr(_CURRENT), "current"), F.when(F.expr(_PREVIOUS.format(last=last)), "previous")))
+    then = F.col("push") == "previous"
+    return w.withColumn("push", F.explode(of)).withColumns({c: F.when(then, v).otherwise(F.col(c)) for c, v in _moved().items()})
 
 
 def base(sales: DataFrame, checks: bool = False) -> DataFrame:

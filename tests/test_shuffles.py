@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import arrival, screen
+from plumbline.plans import monthly
 from plumbline.plans.monthly import QUERIES
-from plumbline.sources.sales import base, current_push, sales_view
+from plumbline.sources.sales import SALES, base, both_pushes, current_push, previous_push, sales_view
 
 
 def _plan(df) -> str:
@@ -46,6 +48,23 @@ def test_the_source_is_read_once(spark, sf, name):
     assert _scans(QUERIES[name](spark, sf)) == 0  # what is told is made of what that one pass wrote
 
 
+def test_both_trees_are_landed_in_one_pass(spark, sf, monkeypatch):
+    landed, real = [], monthly.written
+    monkeypatch.setattr(monthly, "written", lambda df, tag: landed.append(df) or real(df, tag))
+    assert _scans(QUERIES["B5_restatement_by_tree"](spark, sf)) == 0
+    assert [_scans(df) for df in landed] == [1] and landed[0].columns == ["push", "month", "part", "rows", "checksum", "amt"]
+
+
+def test_rows_of_both_pushes_are_those_of_each(spark, sf):
+    w = sales_view(spark, sf)
+    both = both_pushes(w)
+    assert [(f.name, f.dataType) for f in both.drop("push").schema] == [(f.name, f.dataType) for f in SALES]
+    for push, rows in (("current", current_push(w)), ("previous", previous_push(w))):
+        got = both.where(F.col("push") == push).drop("push")
+        assert rows.exceptAll(got).count() == got.exceptAll(rows).count() == 0
+    assert both.count() == current_push(w).count() + previous_push(w).count()
+
+
 def test_short_lists_of_flags_move_no_rows(spark):
     df = spark.range(100).selectExpr("CAST(id % 5 AS STRING) AS country", "id AS item", "CAST(1 AS DECIMAL(20,4)) AS amt")
     flags = spark.createDataFrame([("m", '{"country":"1"}'), ("n", '{"item":7}')], "module string, key string")
