@@ -547,7 +547,7 @@ def m3(spark, sf):
 def _grained(spark, sf):
     """Flags of three grains: months and sites, leaves of a site, items."""
     w = _w(spark, sf)
-    jumps = f.price_jump(w, 1.8).where("item % 3 = 0")
+    jumps = f.price_jump(w, 1.8)
     return (
         _screened(spark, sf).where("module = 'level'").select("module", "key")
         .unionByName(i.rare_roots(w, "l2", most=0.03).select(F.lit("tree").alias("module"), key_text("l2", "root").alias("key")))

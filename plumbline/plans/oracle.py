@@ -150,7 +150,7 @@ _KEY = "json_object('month', CAST(month AS VARCHAR), 'country', country, 'platfo
 _GRAINED = f"""chg AS ({_CHANGE}), g1 AS (
   SELECT DISTINCT month, country, platform, true AS h1 FROM chg WHERE change_1 < -0.9 OR change_1 > 2.0 OR change_12 < -0.9 OR change_12 > 3.0
 ), g2 AS (SELECT l2, root, true AS h2 FROM ({_LEAF_MIX}) WHERE share < 0.03
-), g3 AS (SELECT DISTINCT month, country, platform, item, true AS h3 FROM jump WHERE item % 3 = 0
+), g3 AS (SELECT DISTINCT month, country, platform, item, true AS h3 FROM jump
 ), hit AS (
   SELECT b.*, h1, h2, h3 FROM (SELECT month, country, platform, l2, root, item, sum(amt) AS amt FROM w GROUP BY ALL) b
   LEFT JOIN g1 USING (month, country, platform) LEFT JOIN g2 USING (l2, root) LEFT JOIN g3 USING (month, country, platform, item)

@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions import keys
-from plumbline.operators import arrival, labels, screen
+from plumbline.operators import arrival, labels, price, screen, tree
+from plumbline.plans import monthly
+from plumbline.plans.monthly import QUERIES
+from plumbline.sources.sales import base, sales_view
 
 JUNE, MAY = datetime.date(2001, 6, 1), datetime.date(2001, 5, 1)
 SITE = ["country", "platform"]
@@ -49,6 +52,18 @@ def test_impact_counts_a_row_once(spark, df):
     assert len(none) == 4 and {r["rows"] for r in none} == {0}
 
 
+def test_impact_of_grains_is_told_of_every_price_jump(spark, sf):
+    w = base(sales_view(spark, sf)).persist()
+    held = lambda d, *names: {tuple(r[n] for n in names) for r in d.collect()}
+    level = {r["key"] for r in QUERIES["M1_screen"](spark, sf).where("module = 'level'").collect()}
+    rare, jumps = held(tree.rare_roots(w, "l2", most=0.03), "l2", "root"), held(price.price_jump(w, 1.8), *monthly.GRAIN)
+    want = dict.fromkeys(held(w, *SITE), 0)
+    for r in w.select(*monthly.GRAIN, "l2", "root", keys.key_text("month", *SITE).alias("key")).collect():
+        want[r["country"], r["platform"]] += r["key"] in level or (r["l2"], r["root"]) in rare or tuple(r[n] for n in monthly.GRAIN) in jumps
+    w.unpersist()
+    assert {(r["country"], r["platform"]): r["rows"] for r in QUERIES["M3_impact_of_grains"](spark, sf).collect()} == want
+
+
 def test_every_flag_is_drilled_in_one_go(spark, df):
     flags = _flags(spark, ("level", '{"month":"2001-06-01","country":null,"platform":"X"}', "open"), ("price", '{"leaf":null}', "open"), ("price", '{"leaf":null}', "explained"))
     got = {(r["key"], r["rank"]): (r["item"], r["change"]) for r in screen.drill_flags(df, flags, "2001-06-01", n=2).collect()}
