@@ -11,6 +11,7 @@ from plumbline.functions import keys
 from plumbline.operators import arrival, labels, price, screen, tree
 from plumbline.plans import monthly
 from plumbline.plans.monthly import QUERIES
+from plumbline.plans.oracle import ORACLE
 from plumbline.sources.sales import base, sales_view
 
 JUNE, MAY = datetime.date(2001, 6, 1), datetime.date(2001, 5, 1)
@@ -64,6 +65,12 @@ def test_impact_of_grains_is_told_of_every_price_jump(spark, sf):
     assert {(r["country"], r["platform"]): r["rows"] for r in QUERIES["M3_impact_of_grains"](spark, sf).collect()} == want
 
 
+def test_module_impact_counts_every_price_jump(spark, sf, duck):
+    every = QUERIES["M3_impact"](spark, sf).first()["rows"]
+    assert sum(r["rows"] for r in QUERIES["M3_module_impact"](spark, sf).where("module = 'price'").collect()) == every
+    assert duck.execute(f"SELECT sum(rows) FROM ({ORACLE['M3_module_impact']}) WHERE module = 'price'").fetchone()[0] == every
+
+
 def test_every_flag_is_drilled_in_one_go(spark, df):
     flags = _flags(spark, ("level", '{"month":"2001-06-01","country":null,"platform":"X"}', "open"), ("price", '{"leaf":null}', "open"), ("price", '{"leaf":null}', "explained"))
     got = {(r["key"], r["rank"]): (r["item"], r["change"]) for r in screen.drill_flags(df, flags, "2001-06-01", n=2).collect()}
