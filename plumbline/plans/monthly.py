@@ -516,12 +516,18 @@ def k8(spark, sf):
 _RULES = [("change_1", -0.9, 2.0, "month-on-month", 2), ("change_12", -0.9, 3.0, "year-on-year", 1), ("ratio", 0.95, 1.05, "restated", 3)]
 
 
+def _rules(spark):
+    return spark.createDataFrame(_RULES, "metric string, low double, high double, rule string, severity int")
+
+
+def _changes(df):
+    return m.long_results(c.period_change(df, SITE), "level", ["month", *SITE], ["change_1", "change_12"])
+
+
 def _screened(spark, sf):
-    rules = spark.createDataFrame(_RULES, "metric string, low double, high double, rule string, severity int")
     of = _month_amounts(spark, sf)
-    level = m.long_results(c.period_change(of["all"], SITE), "level", ["month", *SITE], ["change_1", "change_12"])
     restated = m.long_results(b.restatement(of["current"], of["previous"], ["month", *SITE]), "restated", ["month", *SITE], ["ratio"])
-    return m.screen(level.unionByName(restated), rules)
+    return m.screen(_changes(of["all"]).unionByName(restated), _rules(spark))
 
 
 @query("M1_screen")
@@ -545,24 +551,29 @@ def m3(spark, sf):
 
 
 def _grained(spark, sf):
-    """Flags of three grains: months and sites, leaves of a site, items."""
-    w = _w(spark, sf)
-    jumps = f.price_jump(w, 1.8)
-    return (
-        _screened(spark, sf).where("module = 'level'").select("module", "key")
+    """All rows, and flags of three grains about them: months and sites, leaves of a
+    site, items. Without a kept base one is written, as each kind of flags is made of it
+    and all of them are looked up for it."""
+    w = dealt = _kept(spark, sf, "all")
+    if w is None:
+        w = written(_w(spark, sf).select(*GRAIN, "l2", "root", "qty", "amt"), "base")
+        dealt = w.repartition("item")  # once for an item's months and for their order
+    flags = (
+        m.screen(_changes(w), _rules(spark)).select("module", "key")
         .unionByName(i.rare_roots(w, "l2", most=0.03).select(F.lit("tree").alias("module"), key_text("l2", "root").alias("key")))
-        .unionByName(jumps.select(F.lit("price").alias("module"), key_text("month", *SITE, "item").alias("key")))
+        .unionByName(f.price_jump(dealt, 1.8).select(F.lit("price").alias("module"), key_text("month", *SITE, "item").alias("key")))
     )
+    return w, flags
 
 
 @query("M3_impact_of_grains")
 def m3_grains(spark, sf):
-    return m.impact_of_grains(_w(spark, sf), _grained(spark, sf), SITE)
+    return m.impact_of_grains(*_grained(spark, sf), SITE)
 
 
 @query("M3_module_impact")
 def m3_modules(spark, sf):
-    return m.module_impact(_w(spark, sf), _grained(spark, sf), SITE).withColumn("amt", F.col("amt").cast("double"))
+    return m.module_impact(*_grained(spark, sf), SITE).withColumn("amt", F.col("amt").cast("double"))
 
 
 @query("M4_drill_flags")

@@ -55,6 +55,14 @@ def test_both_trees_are_landed_in_one_pass(spark, sf, monkeypatch):
     assert [_scans(df) for df in landed] == [1] and landed[0].columns == ["push", "month", "part", "rows", "checksum", "amt"]
 
 
+@pytest.mark.parametrize("name", ["M3_impact_of_grains", "M3_module_impact"])
+def test_flags_of_all_grains_and_their_rows_come_of_one_pass(spark, sf, monkeypatch, name):
+    landed, real = [], monthly.written
+    monkeypatch.setattr(monthly, "written", lambda df, tag: landed.append(df) or real(df, tag))
+    assert _scans(QUERIES[name](spark, sf)) == 0
+    assert [_scans(df) for df in landed] == [1]
+
+
 def test_rows_of_both_pushes_are_those_of_each(spark, sf):
     w = sales_view(spark, sf)
     both = both_pushes(w)
